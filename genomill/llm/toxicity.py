@@ -31,8 +31,6 @@ from .common import bounded_batches, fold, steps, table
 BITS = 20
 SAMPLE, SAMPLE_FEATURES = 12_000, 4_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1.0, 0.1
-#: What a toxic document's gradient counts; such documents are few.
-TOXIC_WEIGHT = 3.0
 STEMS = (4, 5, 6, 7)
 EPOCHS = 6
 
@@ -85,7 +83,7 @@ class Ftrl:
     def learn(self, at: np.ndarray, y: int) -> None:
         w, bias = self.weights(at), self.bias
         p = 1.0 / (1.0 + np.exp(-np.clip(w.sum() + bias, -35, 35)))
-        g = (p - y) * (TOXIC_WEIGHT if y else 1.0)
+        g = p - y
         g2 = g * g
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g2) - np.sqrt(n)) / self.alpha * w
