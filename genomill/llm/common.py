@@ -93,3 +93,21 @@ def ragged(values: np.ndarray, lens: np.ndarray, starts: np.ndarray) -> np.ndarr
     if not total:
         return values[:0]
     return values[np.repeat(starts - (to - lens), lens) + np.arange(total)]
+
+
+#: Bits of the filter below: at most 2**17 words of 64 bits, whatever is put in.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` may be among ``ids(id)``: a hashed bitmap of fixed size is
+    broadcast, so that a join that follows shuffles few other rows.  Rows that are among the
+    ids always stay; with very many ids the others stay too."""
+
+    def spot(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(FILTER_BITS))
+
+    words = ids.select(spot("id").alias("h")).groupBy(F.shiftright("h", 6).cast("int").alias("_w"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("_m"))
+    marked = rows.withColumn("_h", spot(column)).withColumn("_w", F.shiftright("_h", 6).cast("int"))
+    return marked.join(F.broadcast(words), "_w").filter("(shiftright(_m, cast(_h & 63 as int)) & 1) = 1").drop("_h", "_w", "_m")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op3_bpe
 from .langid import op4_language_id
+from .minhash import op8_minhash
 from .packing import op5_packing
 from .toxicity import op10_toxicity
 
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": op3_bpe,
         "op4_language_id": op4_language_id,
         "op5_packing": op5_packing,
+        "op8_minhash": op8_minhash,
         "op10_toxicity": op10_toxicity,
     }
 
