@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op3_bpe
+from .kmtree import op7_kmeans_tree
 from .langid import op4_language_id
 from .minhash import op8_minhash
 from .packing import op5_packing
+from .pivots import op1_pivot_index
 from .toxicity import op10_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pivot_index": op1_pivot_index,
         "op3_bpe": op3_bpe,
         "op4_language_id": op4_language_id,
         "op5_packing": op5_packing,
+        "op7_kmeans_tree": op7_kmeans_tree,
         "op8_minhash": op8_minhash,
         "op10_toxicity": op10_toxicity,
     }
