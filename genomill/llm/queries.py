@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op3_bpe
 from .kmtree import op7_kmeans_tree
 from .langid import op4_language_id
+from .linededup import op6_line_dedup
 from .minhash import op8_minhash
 from .packing import op5_packing
 from .pivots import op1_pivot_index
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": op3_bpe,
         "op4_language_id": op4_language_id,
         "op5_packing": op5_packing,
+        "op6_line_dedup": op6_line_dedup,
         "op7_kmeans_tree": op7_kmeans_tree,
         "op8_minhash": op8_minhash,
         "op10_toxicity": op10_toxicity,
