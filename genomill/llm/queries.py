@@ -12,6 +12,7 @@ from .langid import op4_language_id
 from .linededup import op6_line_dedup
 from .minhash import op8_minhash
 from .packing import op5_packing
+from .pii import op9_pii
 from .pivots import op1_pivot_index
 from .toxicity import op10_toxicity
 
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_dedup": op6_line_dedup,
         "op7_kmeans_tree": op7_kmeans_tree,
         "op8_minhash": op8_minhash,
+        "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
 
