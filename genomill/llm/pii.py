@@ -1,8 +1,9 @@
 """Personal data by weak supervision (operator 9), in DataFrame functions only.
 
 Base patterns (e-mail, IP, card, phone) give spans that always stay.  Wider patterns give
-further candidates: written-out e-mail addresses, phone numbers without a plus, digit runs
-of card length that fail the check digit.  Five labelers vote on every candidate:
+further candidates: written-out e-mail addresses, phone numbers without a plus, phone and
+card numbers that other numbers follow at once, digit runs of card length that fail the
+check digit.  Five labelers vote on every candidate:
 
 * ``strict``   regex: it is a base span;
 * ``valid``    form: check digit, octets, number of digits, letters in the name;
@@ -42,6 +43,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Wider candidates.
 SPELT_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+)++"
 PLAIN_PHONE = r"(?<![0-9+(.-])(?<![0-9+]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])"
+FULL_PHONE = r"(?<![0-9])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])"
+SOLID_CARD = r"(?<![0-9])[0-9]{13,19}(?![0-9])"
 #: Gazetteers.
 TLDS = "com org net edu gov mil int info biz io co ai app dev me tv us uk de fr es it nl be ch at pt pl se no dk fi ie eu ca au nz jp cn in br mx ru".split()
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6011|65|64[4-9]|35|62)"
@@ -143,12 +146,17 @@ def candidates(docs: DataFrame) -> DataFrame:
             "_ip": _marked(_found(t, IP, digits & t.rlike(r"[0-9]\.[0-9]")), _octets),
             "_card": _marked(_found(t, CARD, digits), _luhn),
             "_phone": _marked(_found(t, PHONE, F.instr(t, "+") > 0), lambda m: F.char_length(_digits(m)).between(9, 15)),
-            "_email2": _marked(_found(t, SPELT_EMAIL, t.rlike(r"\(dot\)|\[dot\]|\x20dot\x20")), lambda m: F.lit(False)),
-            "_phone2": _marked(_found(t, PLAIN_PHONE, digits & t.rlike(r"[0-9]{3}[.\x20-][0-9]{4}")), lambda m: F.lit(False)),
         }
     )
-    judged = F.concat(*[_judged(t, k.strip("_2"), F.col(k)) for k in ("_email", "_ip", "_card", "_phone", "_email2", "_phone2")])
-    return rows.withColumn("_spans", judged).drop("_t", "_email", "_ip", "_card", "_phone", "_email2", "_phone2")
+    base = F.concat(*[F.filter(F.col(f"_{k}"), lambda x: x["base"]) for k in KINDS])
+    wider = {"_email2": ("email", SPELT_EMAIL, t.rlike(r"\(dot\)|\[dot\]|\x20dot\x20")), "_phone2": ("phone", PLAIN_PHONE, digits & t.rlike(r"[0-9]{3}[.\x20-][0-9]{4}")), "_phone3": ("phone", FULL_PHONE, F.instr(t, "+") > 0), "_card2": ("card", SOLID_CARD, digits & t.rlike("[0-9]{13}"))}
+    rows = rows.withColumn("_base", base)
+    for name, (_, pattern, guard) in wider.items():
+        clear = F.filter(_found(t, pattern, guard), lambda x: ~F.exists(F.col("_base"), lambda o: (o["a"] < x["b"]) & (x["a"] < o["b"])))
+        rows = rows.withColumn(name, _marked(clear, lambda m: F.lit(False)))
+    # What failed a base pattern is judged too, but for digit runs that a wider one splits.
+    judged = F.concat(*[_judged(t, k, F.col(f"_{k}")) for k in KINDS], *[_judged(t, kind, F.col(name)) for name, (kind, _, _) in wider.items()])
+    return rows.withColumn("_spans", judged).drop("_t", "_base", *[f"_{k}" for k in KINDS], *wider)
 
 
 def _sigmoid(x: float) -> float:
@@ -219,7 +227,7 @@ def _accepted(weights: dict[str, float]) -> Column:
         terms += [F.when(s[n] > 0, weights.get(f"{n}+", 0.0)).when(s[n] < 0, weights.get(f"{n}-", 0.0)).otherwise(0.0) for n in LABELERS]
         return reduce(lambda x, y: x + y, terms, _length(s) / 4 * weights.get("long", 0.0))
 
-    added = F.filter(spans, lambda s: ~s["base"] & (value(s) > math.log(ACCEPT / (1 - ACCEPT))) & ~F.exists(base, lambda o: (o["a"] < s["b"]) & (s["a"] < o["b"])))
+    added = F.filter(spans, lambda s: ~s["base"] & (s["valid"] > 0) & (value(s) > math.log(ACCEPT / (1 - ACCEPT))) & ~F.exists(base, lambda o: (o["a"] < s["b"]) & (s["a"] < o["b"])))
     plain = lambda x: F.transform(x, lambda s: F.struct(s["a"].alias("a"), s["kind"].alias("kind"), s["b"].alias("b")))
     return F.array_sort(F.concat(plain(base), plain(added)))
 
