@@ -43,8 +43,8 @@ ROWS, BANDS = 6, 21
 COORDINATES = ROWS * BANDS
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Classes in a block of a crossing, and shingles compared in a slot (about).
-BLOCK, SLOT = 256, 4_000_000
+#: Classes in a block of a crossing; shingles in a part of a neighbourhood, and in a slot.
+BLOCK, PART, SLOT = 256, 60_000, 3_000_000
 
 _RNG = np.random.Generator(np.random.PCG64(8))
 _PERM = _RNG.permutation(CIRCLE).astype(np.uint32)
@@ -123,8 +123,8 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     ids = texts["id"].to_numpy()
     sets, at = document_sets(pa.array(texts["text"].tolist(), pa.large_string()))
     order = np.argsort(ids)
-    a = order[np.searchsorted(ids, pairs["a"].to_numpy(), sorter=order)]
-    b = order[np.searchsorted(ids, pairs["b"].to_numpy(), sorter=order)]
+    a = order[np.searchsorted(ids, np.concatenate(pairs["a"].tolist()), sorter=order)]
+    b = order[np.searchsorted(ids, np.concatenate(pairs["b"].tolist()), sorter=order)]
     size = np.diff(at)
     # The smaller is at least PERCENT of the larger, or they cannot link.
     can = 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
@@ -151,7 +151,7 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
             where[where == len(own)] = 0
             both = np.add.reduceat((own[where] == flat).astype(np.int64), to)
             for other in others[100 * both >= PERCENT * (len(own) + n - both)].tolist():
-                x, y = find(int(a[i])), find(other)
+                x, y = find(int(a[i])), find(int(other))
                 if x != y:
                     root[max(x, y)] = min(x, y)
     for x in range(len(ids)):
@@ -161,33 +161,42 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
 
 def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Edges (a, b) that span the links among ``pairs(slot, a, b)``."""
-    sent = pairs.select(F.explode(F.array("a", "b")).alias("id"), F.col("slot").alias("to")).distinct()
+    """Edges (a, b) that span the links among ``pairs(slot, a, b, ids)``: a slot's arrays of
+    left and right ids, and the distinct ids among them."""
+    sent = pairs.select(F.explode("ids").alias("id"), F.col("slot").alias("to")).distinct()
     texts = maybe_in(docs.select(F.col("doc_id").alias("id"), "text"), "id", sent).join(sent, "id").select("to", "id", "text")
-    return texts.groupBy("to").cogroup(pairs.groupBy("slot")).applyInPandas(lambda t, p: _compare(t.drop_duplicates("id"), p), "a bigint, b bigint")
+    return texts.groupBy("to").cogroup(pairs.select("slot", "a", "b").groupBy("slot")).applyInPandas(lambda t, p: _compare(t.drop_duplicates("id"), p), "a bigint, b bigint")
 
 
-def _slots(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """Deals comparisons into slots of about ``SLOT`` shingles.  Pairs of one neighbourhood
-    mostly meet in one slot; the classes of a large neighbourhood are spread over parts,
-    and pairs over part pairs."""
+def _parts(near: DataFrame) -> DataFrame:
+    """id, n_shingles, part: classes of one neighbourhood are of one part, those of a large
+    one of several, of about ``PART`` shingles each."""
     size = near.groupBy("hub").agg(F.sum("n_shingles").alias("size"))
-    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / F.lit(SLOT // 8)))
-    at = near.join(size, "hub").select("id", "n_shingles", F.struct("hub", part.alias("part")).alias("at"))
-    left = at.select(F.col("id").alias("a"), F.col("at").alias("x"), F.col("n_shingles").alias("m"))
-    right = at.select(F.col("id").alias("b"), F.col("at").alias("y"), F.col("n_shingles").alias("n"))
-    both = save(pairs.join(left, "a").join(right, "b"), "pairs")
-    slots = max(1, -(-int(both.agg(F.sum(F.col("m") + F.col("n"))).first()[0] or 0) // SLOT))
-    return both.select(F.pmod(F.xxhash64(F.least("x", "y"), F.greatest("x", "y")), F.lit(slots)).alias("slot"), "a", "b")
+    part = F.xxhash64("hub", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / F.lit(PART))))
+    return near.join(size, "hub").select("id", "n_shingles", part.alias("part"))
 
 
-def _crossing_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+def _slots(parts: DataFrame) -> int:
+    return max(1, -(-int(parts.agg(F.sum("n_shingles")).first()[0] or 0) * 2 // SLOT))
+
+
+def _dealt(stars: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stars as comparisons of slots; a pair's slot is that of its parts."""
+    left = parts.select(F.col("id").alias("a"), F.col("part").alias("x"))
+    right = parts.select(F.col("id").alias("b"), F.col("part").alias("y"))
+    slot = F.pmod(F.xxhash64(F.least("x", "y"), F.greatest("x", "y")), F.lit(_slots(parts)))
+    return stars.join(left, "a").join(right, "b").select(slot.alias("slot"), F.array("a").alias("a"), F.array("b").alias("b"), F.array("a", "b").alias("ids"))
+
+
+def _crossing_pairs(rows: pd.DataFrame, slots: int) -> pd.DataFrame:
     """Pairs of two blocks of one bucket that lie in different components, may link by
-    their signatures, and share no earlier band.  One call has many buckets."""
+    their signatures, and share no earlier band, as arrays for each slot.  One call has
+    many buckets."""
     rows = rows.sort_values(["band", "key", "i", "j"], kind="stable")
     key = rows[["band", "key", "i", "j"]].to_numpy()
     cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
     ids, comp, size = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["n_shingles"].to_numpy()
+    part = rows["part"].to_numpy()
     block, lead = rows["block"].to_numpy(), (rows["id"] == rows["lead"]).to_numpy()
     sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), COORDINATES)
     keys = np.array(rows["bands"].tolist(), dtype=np.int64).reshape(len(rows), BANDS)
@@ -202,9 +211,16 @@ def _crossing_pairs(rows: pd.DataFrame) -> pd.DataFrame:
             y = y[PERCENT * np.maximum(size[y], size[x]) <= 100 * np.minimum(size[y], size[x])]
             y = y[(sig[y] == sig[x]).sum(axis=1) >= LEAST]
             y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)] if band else y
-            out_a.append(np.minimum(ids[x], ids[y]))
-            out_b.append(np.maximum(ids[x], ids[y]))
-    return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)}).drop_duplicates()
+            out_a.append(np.full(len(y), x))
+            out_b.append(y)
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
+    x, y = np.minimum(part[a], part[b]), np.maximum(part[a], part[b])
+    slot = (tk.mix(x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + y.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    a, b, slot = ids[a[order]], ids[b[order]], slot[order]
+    heads = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else slot
+    cuts = list(zip(heads, [*heads[1:], len(slot)], strict=True))
+    return pd.DataFrame({"slot": slot[heads], "a": [a[s:e] for s, e in cuts], "b": [b[s:e] for s, e in cuts], "ids": [np.unique(np.concatenate([a[s:e], b[s:e]])) for s, e in cuts]})
 
 
 #: Equal signature bytes of a pair that may link: 0.85 * 126 = 107, less 5.8 deviations.
@@ -225,7 +241,8 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     stars = members.filter("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     near = save(members.groupBy("id").agg(F.min("lead").alias("hub")).join(whole.select("id", "n_shingles"), "id"), "near")
-    first = save(verify(docs, _slots(stars, near)), "links")
+    parts = save(_parts(near), "parts")
+    first = save(verify(docs, save(_dealt(stars, parts), "stars")), "links")
     found = connected_components(first)
 
     placed = members.filter("n > 2").join(found, "id", "left").select("band", "key", "lead", "n", "id", F.coalesce("component", "id").alias("component"))
@@ -236,9 +253,10 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     meets = meets.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks", "n")
     meets = save(meets, "meets")
     groups = max(1, -(-meets.count() // 8192))
-    meets = meets.join(whole.select("id", "n_shingles", "bands", "sig"), "id").withColumn("group", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(groups)))
-    crossing = save(meets.groupBy("group").applyInPandas(_crossing_pairs, "a bigint, b bigint"), "crossings")
-    second = verify(docs, _slots(crossing.distinct(), near))
+    meets = meets.join(whole.select("id", "n_shingles", "bands", "sig"), "id").join(parts.select("id", "part"), "id").withColumn("group", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(groups)))
+    slots = _slots(parts)
+    crossing = meets.groupBy("group").applyInPandas(lambda rows: _crossing_pairs(rows, slots), "slot bigint, a array<bigint>, b array<bigint>, ids array<bigint>")
+    second = verify(docs, save(crossing, "crossings"))
     links = save(first.union(second), "links")
     found = connected_components(links)
 
