@@ -10,6 +10,7 @@ from .bpe import op3_bpe
 from .kmtree import op7_kmeans_tree
 from .langid import op4_language_id
 from .linededup import op6_line_dedup
+from .lm import op2_lm_score
 from .minhash import op8_minhash
 from .packing import op5_packing
 from .pii import op9_pii
@@ -20,6 +21,7 @@ from .toxicity import op10_toxicity
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pivot_index": op1_pivot_index,
+        "op2_lm_score": op2_lm_score,
         "op3_bpe": op3_bpe,
         "op4_language_id": op4_language_id,
         "op5_packing": op5_packing,
