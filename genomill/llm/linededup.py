@@ -336,10 +336,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """The documents less their removed lines; a document all of whose lines are removed
     goes.  Other columns stay as they are."""
-    gone = removed.filter("size(removed) > 0").select(F.col("doc_id").alias("_id"), F.col("n_lines").alias("_n"), F.col("removed").alias("_gone"))
-    rows = docs.join(gone, F.col("doc_id") == F.col("_id"), "left").filter("_id is null or size(_gone) < _n")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (l, i) -> not array_contains(_gone, i)), '\\n')")
-    return rows.withColumn("text", F.when(F.col("_id").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    gone = removed.filter("size(removed) > 0").select(F.col("doc_id").alias("id"), "n_lines", "removed")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    rows = rows.join(gone, "id", "left").filter("removed is null or size(removed) < n_lines")
+    kept = F.expr("array_join(filter(split(row.text, '\\n', -1), (l, i) -> not array_contains(removed, i)), '\\n')")
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept)
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

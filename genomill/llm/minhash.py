@@ -8,8 +8,9 @@ second permutation, and a signature is the column-wise minimum of such slices.
 
 1.  *Sets.*  Documents with the same set form one class, whatever their number; the class
     is represented by its smallest doc_id.
-2.  *Bands.*  ``BANDS`` groups of ``ROWS`` coordinates; classes that agree on a band share a
-    bucket.  At a similarity of 0.85 a pair shares one with probability 1 - 5e-5.
+2.  *Bands.*  Coordinates are grouped in bands; classes that agree on a band share a bucket.
+    For a similarity of 0.85 there are 21 bands of 6: a pair just that similar shares a
+    bucket with probability 1 - 5e-5.
 3.  *Stars.*  In each bucket every class is compared with the bucket's smallest; all
     comparisons are exact, on the full sets.  Links found join classes into components.
 4.  *Crossings.*  Only classes of one bucket that stars left in different components are
@@ -25,6 +26,7 @@ documents of their own with the same id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +41,27 @@ from .components import connected_components
 
 SHINGLE = 5
 CIRCLE = 1 << 20
-ROWS, BANDS = 6, 21
-COORDINATES = ROWS * BANDS
+COORDINATES = 126
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """(coordinates of a band, bands): a pair just at the threshold shares no bucket with
+    a probability of 1e-4 at most, from 75 percent on."""
+    for rows in (8, 7, 6, 5, 4):
+        bands = COORDINATES // rows
+        if (1 - (percent / 100) ** rows) ** bands <= 1e-4:
+            return rows, bands
+    return 3, COORDINATES // 3
+
+
+def least_equal(percent: int) -> int:
+    """Equal coordinates of a pair that may link: 5.8 deviations below the expectation."""
+    p = percent / 100
+    return math.floor(COORDINATES * p - 5.8 * math.sqrt(COORDINATES * p * (1 - p)))
+
+
 #: Classes in a block of a crossing; shingles in a part of a neighbourhood, and in a slot.
 BLOCK, PART, SLOT = 256, 60_000, 3_000_000
 
@@ -73,18 +92,18 @@ def signatures(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sigs: np.ndarray) -> np.ndarray:
+def band_keys(sigs: np.ndarray, rows: int, bands: int) -> np.ndarray:
     """A 64-bit key for each band of each signature; bands never share keys by design."""
-    keys = np.empty((len(sigs), BANDS), np.uint64)
-    for b in range(BANDS):
+    keys = np.empty((len(sigs), bands), np.uint64)
+    for b in range(bands):
         x = np.full(len(sigs), b + 1, np.uint64)
-        for k in range(b * ROWS, (b + 1) * ROWS):
+        for k in range(b * rows, (b + 1) * rows):
             x = tk.mix(x * np.uint64(0x9E3779B97F4A7C15) + sigs[:, k])
         keys[:, b] = x
     return keys
 
 
-def describe(docs: DataFrame) -> DataFrame:
+def describe(docs: DataFrame, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, two 64-bit digests of the set, band keys and signature bytes."""
     bounded_batches(docs.sparkSession)
 
@@ -93,7 +112,7 @@ def describe(docs: DataFrame) -> DataFrame:
             sets, at = document_sets(step.column("text"))
             n = np.diff(at)
             sigs = signatures(sets, at)
-            keys = band_keys(sigs)
+            keys = band_keys(sigs, rows, bands)
             m = len(n)
             with np.errstate(over="ignore"):
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(tk.mix(sets))])
@@ -106,7 +125,7 @@ def describe(docs: DataFrame) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(d1.view(np.int64)),
                     pa.array(d2.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(m + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(m + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
                     pa.array([r.tobytes() for r in low], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "d1", "d2", "bands", "sig"],
@@ -115,7 +134,7 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sig binary")
 
 
-def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links among the pairs of one slot, less those that other links of it imply."""
     empty = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
     if not len(texts) or not len(pairs):
@@ -126,8 +145,8 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     a = order[np.searchsorted(ids, np.concatenate(pairs["a"].tolist()), sorter=order)]
     b = order[np.searchsorted(ids, np.concatenate(pairs["b"].tolist()), sorter=order)]
     size = np.diff(at)
-    # The smaller is at least PERCENT of the larger, or they cannot link.
-    can = 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
+    # The smaller is at least that part of the larger, or they cannot link.
+    can = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
     a, b = a[can], b[can]
     root = np.arange(len(ids))
 
@@ -150,7 +169,7 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
             where = np.searchsorted(own, flat)
             where[where == len(own)] = 0
             both = np.add.reduceat((own[where] == flat).astype(np.int64), to)
-            for other in others[100 * both >= PERCENT * (len(own) + n - both)].tolist():
+            for other in others[100 * both >= percent * (len(own) + n - both)].tolist():
                 x, y = find(int(a[i])), find(int(other))
                 if x != y:
                     root[max(x, y)] = min(x, y)
@@ -160,12 +179,12 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[root[joined]], "b": ids[joined]})
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verify(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) that span the links among ``pairs(slot, a, b, ids)``: a slot's arrays of
     left and right ids, and the distinct ids among them."""
     sent = pairs.select(F.explode("ids").alias("id"), F.col("slot").alias("to")).distinct()
     texts = maybe_in(docs.select(F.col("doc_id").alias("id"), "text"), "id", sent).join(sent, "id").select("to", "id", "text")
-    return texts.groupBy("to").cogroup(pairs.select("slot", "a", "b").groupBy("slot")).applyInPandas(lambda t, p: _compare(t.drop_duplicates("id"), p), "a bigint, b bigint")
+    return texts.groupBy("to").cogroup(pairs.select("slot", "a", "b").groupBy("slot")).applyInPandas(lambda t, p: _compare(t.drop_duplicates("id"), p, percent), "a bigint, b bigint")
 
 
 def _parts(near: DataFrame) -> DataFrame:
@@ -188,7 +207,7 @@ def _dealt(stars: DataFrame, parts: DataFrame) -> DataFrame:
     return stars.join(left, "a").join(right, "b").select(slot.alias("slot"), F.array("a").alias("a"), F.array("b").alias("b"), F.array("a", "b").alias("ids"))
 
 
-def _crossing_pairs(rows: pd.DataFrame, slots: int) -> pd.DataFrame:
+def _crossing_pairs(rows: pd.DataFrame, slots: int, percent: int) -> pd.DataFrame:
     """Pairs of two blocks of one bucket that lie in different components, may link by
     their signatures, and share no earlier band, as arrays for each slot.  One call has
     many buckets."""
@@ -196,10 +215,10 @@ def _crossing_pairs(rows: pd.DataFrame, slots: int) -> pd.DataFrame:
     key = rows[["band", "key", "i", "j"]].to_numpy()
     cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
     ids, comp, size = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["n_shingles"].to_numpy()
-    part = rows["part"].to_numpy()
+    part, least = rows["part"].to_numpy(), least_equal(percent)
     block, lead = rows["block"].to_numpy(), (rows["id"] == rows["lead"]).to_numpy()
     sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), COORDINATES)
-    keys = np.array(rows["bands"].tolist(), dtype=np.int64).reshape(len(rows), BANDS)
+    keys = np.array(rows["bands"].tolist(), dtype=np.int64)
     out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for s, e in zip(cuts, cuts[1:], strict=False):
         band, _, i, j = key[s].tolist() if e > s else (0, 0, 0, 0)
@@ -208,8 +227,8 @@ def _crossing_pairs(rows: pd.DataFrame, slots: int) -> pd.DataFrame:
             y = right[(comp[right] != comp[x]) & ~lead[right]]  # the lead has been compared
             if i == j:
                 y = y[y > x]
-            y = y[PERCENT * np.maximum(size[y], size[x]) <= 100 * np.minimum(size[y], size[x])]
-            y = y[(sig[y] == sig[x]).sum(axis=1) >= LEAST]
+            y = y[percent * np.maximum(size[y], size[x]) <= 100 * np.minimum(size[y], size[x])]
+            y = y[(sig[y] == sig[x]).sum(axis=1) >= least]
             y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)] if band else y
             out_a.append(np.full(len(y), x))
             out_b.append(y)
@@ -223,14 +242,10 @@ def _crossing_pairs(rows: pd.DataFrame, slots: int) -> pd.DataFrame:
     return pd.DataFrame({"slot": slot[heads], "a": [a[s:e] for s, e in cuts], "b": [b[s:e] for s, e in cuts], "ids": [np.unique(np.concatenate([a[s:e], b[s:e]])) for s, e in cuts]})
 
 
-#: Equal signature bytes of a pair that may link: 0.85 * 126 = 107, less 5.8 deviations.
-LEAST = 84
-
-
-def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(described, classes): one row per document with its set's digests, and for each class
     ``d1, d2, component_id`` where the component holds more than one document."""
-    described = save(describe(docs), "sets")
+    described = save(describe(docs, *banding(percent)), "sets")
     reps = described.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
     # n_shingles, bands and signature are functions of the set.
     full = described.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "d1", "d2", "n_shingles", "bands", "sig")
@@ -242,7 +257,7 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stars = members.filter("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     near = save(members.groupBy("id").agg(F.min("lead").alias("hub")).join(whole.select("id", "n_shingles"), "id"), "near")
     parts = save(_parts(near), "parts")
-    first = save(verify(docs, save(_dealt(stars, parts), "stars")), "links")
+    first = save(verify(docs, save(_dealt(stars, parts), "stars"), percent), "links")
     found = connected_components(first)
 
     placed = members.filter("n > 2").join(found, "id", "left").select("band", "key", "lead", "n", "id", F.coalesce("component", "id").alias("component"))
@@ -255,8 +270,8 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = max(1, -(-meets.count() // 8192))
     meets = meets.join(whole.select("id", "n_shingles", "bands", "sig"), "id").join(parts.select("id", "part"), "id").withColumn("group", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(groups)))
     slots = _slots(parts)
-    crossing = meets.groupBy("group").applyInPandas(lambda rows: _crossing_pairs(rows, slots), "slot bigint, a array<bigint>, b array<bigint>, ids array<bigint>")
-    second = verify(docs, save(crossing, "crossings"))
+    crossing = meets.groupBy("group").applyInPandas(lambda rows: _crossing_pairs(rows, slots, percent), "slot bigint, a array<bigint>, b array<bigint>, ids array<bigint>")
+    second = verify(docs, save(crossing, "crossings"), percent)
     links = save(first.union(second), "links")
     found = connected_components(links)
 
@@ -264,9 +279,9 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return described, reps.join(found, "id").select("d1", "d2", F.col("component").alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
-    described, classes = components(docs)
+    described, classes = components(docs, percent)
     reps = described.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     known = reps.join(classes, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
     out = described.select("doc_id", "n_shingles", "d1", "d2").join(known, ["d1", "d2"], "left")

@@ -267,8 +267,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.lit(2**31 - 1)))
     text = F.aggregate(F.col("_keep"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    rows = candidates(docs).withColumn("_keep", _accepted(weights))
-    return rows.withColumn("text", F.when(F.size("_keep") > 0, text).otherwise(F.col("text"))).select(*docs.columns)
+    rows = candidates(docs.select(F.struct(*docs.columns).alias("row"), "text")).withColumn("_keep", _accepted(weights))
+    text = F.when(F.size("_keep") > 0, text).otherwise(F.col("text"))
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
