@@ -148,6 +148,8 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataF
     # The smaller is at least that part of the larger, or they cannot link.
     can = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
     a, b = a[can], b[can]
+    if not len(a):
+        return empty
     root = np.arange(len(ids))
 
     def find(x: int) -> int:
@@ -158,7 +160,7 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataF
 
     by = np.argsort(a, kind="stable")
     a, b = a[by], b[by]
-    heads = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else a
+    heads = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
     for i, j in zip(heads, [*heads[1:], len(a)], strict=True):
         own = sets[at[a[i]] : at[a[i] + 1]]
         for k in range(i, j, 512):
@@ -237,8 +239,9 @@ def _crossing_pairs(rows: pd.DataFrame, slots: int, percent: int) -> pd.DataFram
     slot = (tk.mix(x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + y.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
     order = np.argsort(slot, kind="stable")
     a, b, slot = ids[a[order]], ids[b[order]], slot[order]
-    heads = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else slot
-    cuts = list(zip(heads, [*heads[1:], len(slot)], strict=True))
+    ends = np.flatnonzero(np.concatenate([slot[1:] != slot[:-1], [True]])) + 1 if len(slot) else slot
+    heads = np.concatenate([[0], ends[:-1]]) if len(slot) else slot
+    cuts = list(zip(heads, ends, strict=True))
     return pd.DataFrame({"slot": slot[heads], "a": [a[s:e] for s, e in cuts], "b": [b[s:e] for s, e in cuts], "ids": [np.unique(np.concatenate([a[s:e], b[s:e]])) for s, e in cuts]})
 
 
