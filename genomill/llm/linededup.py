@@ -45,7 +45,7 @@ CHUNK = 1 << 16
 #: Postings of a slot (about), lines of a block of a long list, pairs expanded at a time.
 SLOT_ROWS, BLOCK, PAIRS = 150_000, 8192, 1 << 19
 #: Candidates that are carried for a line besides the earliest.
-CARRIED = 5
+CARRIED = 40
 
 _POSTING = "slot bigint, token bigint, i int, j int, block int, doc bigint, line int, size int, pos int, b1 bigint, b2 bigint"
 
@@ -78,7 +78,7 @@ def _survey(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKETS_LOG2, np.int32)
         names = ["doc", "line", "d1", "d2", "counts"]
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", 3 << 20):
             words, at, text, number = line_sets(step.column("text"))
             if not len(text):
                 continue
@@ -122,14 +122,14 @@ def _prefixes(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", 3 << 20):
             words, at, text, number = line_sets(step.column("text"))
             if not len(text):
                 continue
             size = np.diff(at)
             owner = np.repeat(np.arange(len(size)), size)
             q = sent.value[(words >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)]
-            order = np.argsort((owner << 8) | q, kind="stable")
+            order = tk.grouped_order(owner, q)
             ranked, q = words[order], q[order]
             pos = np.arange(len(words)) - np.repeat(at[:-1], size)
             prefix = size - -(-4 * size // 5) + 1

@@ -144,19 +144,26 @@ def shingles(ids: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np
     return out, to
 
 
+def grouped_order(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The order by owner, then value; owners are small numbers."""
+    order = np.argsort(values, kind="stable" if values.dtype.itemsize == 1 else None)
+    if len(owner) and int(owner.max()) < 1 << 16:  # a stable sort of 16-bit keys is a radix sort
+        return order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+    return np.lexsort((values, owner))
+
+
 def distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each text, with new offsets."""
     n = np.diff(at)
-    owner = np.repeat(np.arange(len(n)), n)
     parts, sizes = [], np.zeros(len(n), np.int64)
     for a, b in text_blocks(at, 1 << 17):
-        v, o = values[at[a] : at[b]], owner[at[a] : at[b]]
-        order = np.lexsort((v, o)) if b - a > 1 else np.argsort(v)
+        v, o = values[at[a] : at[b]], np.repeat(np.arange(b - a), n[a:b])
+        order = grouped_order(o, v) if b - a > 1 else np.argsort(v)
         v, o = v[order], o[order]
         new = np.ones(len(v), dtype=bool)
         new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
         parts.append(v[new])
-        sizes[a:b] = np.bincount(o[new] - a, minlength=b - a)
+        sizes[a:b] = np.bincount(o[new], minlength=b - a)
     out = np.concatenate(parts) if parts else values[:0]
     return out, np.concatenate([[0], np.cumsum(sizes)])
 
