@@ -10,7 +10,8 @@ that line is itself removed.  Lines without a word stay and match nothing.
     each line's words from rare to common (ties by hash).
 3.  *Prefix.*  Two lines of sizes m and n that match share one of the first
     ``m - ceil(0.8 m) + 1`` words of each.  Only these words are posted, with the word's
-    position, the line's size and a 128-bit parity map of its set.
+    position, the line's size and a 192-bit parity map of its set; postings travel as packed
+    columns, one row for many.
 4.  *Filters.*  Within a word's list, ordered by size, only lines of similar sizes meet; the
     positions bound the overlap, and so does the distance of the parity maps.  None of
     these ever drops a match.  Long lists are split into blocks, compared pair by pair.
@@ -45,9 +46,12 @@ CHUNK = 1 << 16
 #: Postings of a slot (about), lines of a block of a long list, pairs expanded at a time.
 SLOT_ROWS, BLOCK, PAIRS = 150_000, 8192, 1 << 19
 #: Candidates that are carried for a line besides the earliest.
-CARRIED = 40
+CARRIED = 200
 
-_POSTING = "slot bigint, token bigint, i int, j int, block int, doc bigint, line int, size int, pos int, b1 bigint, b2 bigint"
+#: Bits of a parity map; a posting in a line's row, and the columns of packed postings.
+MAP_WORDS = 3
+_POST = np.dtype([("token", "<u8"), ("pos", "<u4"), ("blocks", "u1")])
+_COLUMNS = (("token", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u4"), *((f"b{k}", "<u8") for k in range(MAP_WORDS)), ("i", "u1"), ("j", "u1"), ("block", "u1"), ("open", "u1"))
 
 
 def line_sets(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,8 +120,8 @@ def _rarity(survey: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """doc, line, size, b1, b2, tokens (the prefix, rare first; words that stand in one line
-    alone are left out), pos (of each), blocks (of each one's list)."""
+    """doc, line, size, maps (the parity map), posts (of each prefix word, rare first: the word,
+    its position and the blocks of its list; words of one line alone are left out)."""
     sent = docs.sparkSession.sparkContext.broadcast(rarity)
     bounded_batches(docs.sparkSession)
 
@@ -134,43 +138,73 @@ def _prefixes(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
             pos = np.arange(len(words)) - np.repeat(at[:-1], size)
             prefix = size - -(-4 * size // 5) + 1
             post = (pos < prefix[owner]) & (size[owner] > 3) & (q > 16)
-            bit = (words >> np.uint64(20)) & np.uint64(127)
-            mask = np.uint64(1) << (bit & np.uint64(63))
-            b1 = np.bitwise_xor.reduceat(np.where(bit < 64, mask, np.uint64(0)), at[:-1])
-            b2 = np.bitwise_xor.reduceat(np.where(bit < 64, np.uint64(0), mask), at[:-1])
+            spot = (words >> np.uint64(20)) % np.uint64(64 * MAP_WORDS)
+            mask = np.uint64(1) << (spot & np.uint64(63))
+            maps = np.stack([np.bitwise_xor.reduceat(np.where(spot >> np.uint64(6) == k, mask, np.uint64(0)), at[:-1]) for k in range(MAP_WORDS)], axis=1)
             n = np.bincount(owner[post], minlength=len(size))
             some = np.flatnonzero(n)
-            to = pa.array(np.concatenate([[0], np.cumsum(n[some])]), pa.int32())
+            posts = np.empty(int(n.sum()), _POST)
+            posts["token"], posts["pos"] = ranked[post], pos[post]
             # A count's upper bound, from its logarithm.
-            blocks = np.maximum(1, np.ceil(2.0 ** ((q[post] + 0.5) / 16) / BLOCK)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(to, pa.array(v)) for v in (ranked[post].view(np.int64), pos[post].astype(np.int32), blocks)]
-            yield pa.RecordBatch.from_arrays(
-                [step.column("id").take(pa.array(text[some])), pa.array(number[some], pa.int32()), pa.array(size[some], pa.int32()), pa.array(b1[some].view(np.int64)), pa.array(b2[some].view(np.int64)), *lists],
-                names=["doc", "line", "size", "b1", "b2", "tokens", "pos", "blocks"],
-            )
+            posts["blocks"] = np.clip(np.ceil(2.0 ** ((q[post] + 0.5) / 16) / BLOCK), 1, 255)
+            to = np.concatenate([[0], np.cumsum(n[some])]) * _POST.itemsize
+            packed = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(posts)])
+            maps_ = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer((np.arange(len(some) + 1) * 8 * MAP_WORDS).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(maps[some]))])
+            yield pa.RecordBatch.from_arrays([step.column("id").take(pa.array(text[some])), pa.array(number[some], pa.int32()), pa.array(size[some], pa.int32()), maps_, packed], names=["doc", "line", "size", "maps", "posts"])
 
-    return docs.mapInArrow(run, "doc bigint, line int, size int, b1 bigint, b2 bigint, tokens array<bigint>, pos array<int>, blocks array<int>")
+    return docs.mapInArrow(run, "doc bigint, line int, size int, maps binary, posts binary")
 
 
 def _postings(lines: DataFrame, slots: int) -> DataFrame:
-    """A row for each prefix word of each line, for each pair of blocks where it is wanted."""
-    each = lines.select("doc", "line", "size", "b1", "b2", *[c for c in lines.columns if c == "open"], F.explode(F.arrays_zip("tokens", "pos", "blocks")).alias("t"))
-    each = each.select("*", F.col("t.tokens").alias("token"), F.col("t.pos").alias("pos"), F.col("t.blocks").alias("n")).drop("t")
-    each = each.withColumn("block", F.pmod(F.xxhash64("doc", "line"), F.col("n").cast("bigint")).cast("int"))
-    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    return each.withColumn("slot", F.pmod(F.xxhash64("token", "i", "j"), F.lit(slots))).drop("n", "other")
-
-
-def candidates(rows: pa.Table, carried: int | None = CARRIED) -> pa.Table:
-    """For each later line of a slot: its earliest candidate, then up to ``carried`` others,
-    nearest by parity first (all if None), and whether there are more.  With a column
-    ``open``, only for lines where it is true."""
-    col = {c: rows.column(c).to_numpy() for c in ("token", "i", "j", "block", "doc", "line", "size", "pos", "b1", "b2")}
-    wanted = rows.column("open").to_numpy() if "open" in rows.column_names else None
+    """slot, n, data: packed columns of the postings of each batch for each slot.  A posting
+    goes to every pair of blocks of its list that has its own block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw, at = tk.buffers(batch.column("posts"))
+            posts = np.frombuffer(raw.tobytes(), _POST)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at) // _POST.itemsize)
+            col = {c: batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("doc", "line", "size", "open")}
+            maps = np.frombuffer(tk.buffers(batch.column("maps"))[0].tobytes(), np.uint64).reshape(-1, MAP_WORDS)[row]
+            nb = posts["blocks"].astype(np.int64)
+            mine = tk.mix(col["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + col["line"].astype(np.uint64)) % nb.astype(np.uint64)
+            again = np.repeat(np.arange(len(nb)), nb)
+            other = np.arange(len(again)) - np.repeat(np.cumsum(nb) - nb, nb)
+            mine = mine.astype(np.int64)[again]
+            col = {c: v[again] for c, v in col.items()} | {"token": posts["token"][again], "pos": posts["pos"][again], "i": np.minimum(mine, other), "j": np.maximum(mine, other), "block": mine} | {f"b{k}": maps[again, k] for k in range(MAP_WORDS)}
+            slot = (tk.mix(col["token"] + (col["i"] * 256 + col["j"]).astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            cuts = np.searchsorted(slot[order], np.arange(slots + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            sorted_ = [np.ascontiguousarray(col[c][order].astype(t)) for c, t in _COLUMNS]
+            data = [b"".join(v[cuts[s] : cuts[s + 1]].tobytes() for v in sorted_) for s in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.diff(cuts)[some]), pa.array(data, pa.binary())], names=["slot", "n", "data"])
+
+    own = lines.select("doc", "line", "size", "maps", "posts", F.col("open") if "open" in lines.columns else F.lit(True).alias("open"))
+    return own.mapInArrow(run, "slot bigint, n bigint, data binary")
+
+
+def unpacked(rows: pa.Table) -> dict[str, np.ndarray]:
+    """The columns of a slot's packed postings."""
+    parts: dict[str, list[np.ndarray]] = {c: [] for c, _ in _COLUMNS}
+    for n, data in zip(rows.column("n").to_pylist(), rows.column("data").to_pylist(), strict=True):
+        at = 0
+        for c, t in _COLUMNS:
+            parts[c].append(np.frombuffer(data, t, n, at))
+            at += n * np.dtype(t).itemsize
+    wide = {"line": np.int64, "size": np.int64, "pos": np.int64, "i": np.int64, "j": np.int64, "open": bool}
+    return {c: np.concatenate(v).astype(wide.get(c, v[0].dtype)) if v else np.empty(0, wide.get(c, t)) for (c, t), v in zip(_COLUMNS, parts.values(), strict=True)}
+
+
+def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.Table:
+    """For each later line of a slot that is ``open``: its earliest candidate, then up to
+    ``carried`` others, nearest by parity first (all if None), and whether there are more."""
     order = np.lexsort((col["size"], col["j"], col["i"], col["token"]))
     col = {c: v[order] for c, v in col.items()}
-    wanted = None if wanted is None else wanted[order]
-    b1, b2 = col["b1"].view(np.uint64), col["b2"].view(np.uint64)
+    wanted = col["open"]
+    maps = [col[f"b{k}"] for k in range(MAP_WORDS)]
     n = len(order)
     # The place of each line in the order of lines.
     by = np.lexsort((col["line"], col["doc"]))
@@ -196,14 +230,12 @@ def candidates(rows: pa.Table, carried: int | None = CARRIED) -> pa.Table:
         total = size[x] + size[y]
         ok = IN * (1 + np.minimum(size[x] - col["pos"][x], size[y] - col["pos"][y]) - 1) >= OF * total
         x, y, total = x[ok], y[ok], total[ok]
-        apart = np.bitwise_count(b1[x] ^ b1[y]).astype(np.int64) + np.bitwise_count(b2[x] ^ b2[y])
+        apart = sum(np.bitwise_count(b[x] ^ b[y]).astype(np.int64) for b in maps)
         ok = IN * ((total - apart) // 2) >= OF * total
         ok &= (col["i"][x] == col["j"][x]) | (col["block"][x] != col["block"][y])
         x, y, apart = x[ok], y[ok], apart[ok]
         early, late = np.minimum(place[x], place[y]), np.maximum(place[x], place[y])
-        ok = early != late
-        if wanted is not None:
-            ok &= np.where(place[x] > place[y], wanted[x], wanted[y])
+        ok = (early != late) & np.where(place[x] > place[y], wanted[x], wanted[y])
         early, late, apart = early[ok], late[ok], apart[ok]
         if len(late):
             pair, one = np.unique(late * len(lines) + early, return_index=True)
@@ -310,7 +342,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     slots = max(1, -(-firsts.count() * 8 // SLOT_ROWS))
     prefixes = _prefixes(texts, rarity).join(firsts, ["doc", "line"], "left_semi")
     out = "doc bigint, line int, xdoc array<bigint>, xline array<int>, more boolean"
-    found = save(_postings(prefixes, slots).groupBy("slot").applyInArrow(lambda t: candidates(t), out), "candidates")
+    found = save(_postings(prefixes, slots).groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t)), out), "candidates")
 
     def opened(frame: DataFrame) -> DataFrame:
         each = frame.select("doc", "line", "more", F.posexplode(F.arrays_zip("xdoc", "xline")).alias("at", "x"))
@@ -325,7 +357,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rest = save(found.filter("more").select("doc", "line").distinct().join(matched, ["doc", "line"], "left_anti"), "rest")
     if rest.limit(1).count():
         again = _prefixes(texts, rarity).join(firsts, ["doc", "line"], "left_semi").join(rest.withColumn("open", F.lit(True)), ["doc", "line"], "left").fillna(False, ["open"])
-        all_ = _postings(again, slots).groupBy("slot").applyInArrow(lambda t: candidates(t, None), out)
+        all_ = _postings(again, slots).groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t), None), out)
         matched = matched.union(_matched(texts, opened(all_).select("doc", "line", "xdoc", "xline").distinct()))
 
     gone = repeats.union(matched).distinct().groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
