@@ -59,7 +59,7 @@ def calls(depths: DataFrame, min_depth: int = 1) -> DataFrame:
 def counts(called: DataFrame) -> DataFrame:
     """chrom, pos, population, n_called, ref_n, alt_n, p (null where nothing is called).
     Known alleles of half calls are counted."""
-    known = lambda allele: F.coalesce(sum(((F.col(c) == allele).cast("int") for c in ("a0", "a1")), F.lit(0)), F.lit(0))
+    known = lambda allele: sum((F.coalesce((F.col(c) == allele).cast("int"), F.lit(0)) for c in ("a0", "a1")), F.lit(0))
     both = called.groupBy(*SITE, "population").agg(
         F.sum(F.col("n_alt").isNotNull().cast("int")).cast("bigint").alias("n_called"),
         F.sum(known(0)).cast("bigint").alias("ref_n"),

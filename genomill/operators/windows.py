@@ -96,7 +96,7 @@ def viterbi(logs: np.ndarray, switch: float = 0.02) -> np.ndarray:
     return path
 
 
-def local_ancestry(windows: DataFrame, sources: list, switch: float = 0.02) -> DataFrame:
+def local_ancestry(windows: DataFrame, sources: list, switch: float = 0.02, types: dict[str, str] | None = None) -> DataFrame:
     """The source of each window, by a path through each sample's contigs on their own.  A
     group is one sample's windows on one contig."""
     names = [str(s) for s in sources]
@@ -106,7 +106,8 @@ def local_ancestry(windows: DataFrame, sources: list, switch: float = 0.02) -> D
         logs = rows[[f"l{i}" for i in range(len(names))]].to_numpy()
         return rows[["sample_id", "chrom", "start"]].assign(ancestry=[names[i] for i in viterbi(logs, switch)])
 
-    return windows.groupBy("sample_id", "chrom").applyInPandas(path, "sample_id bigint, chrom bigint, start bigint, ancestry string")
+    t = types or {f.name: f.dataType.simpleString() for f in windows.schema}
+    return windows.groupBy("sample_id", "chrom").applyInPandas(path, f"sample_id {t['sample_id']}, chrom {t['chrom']}, start bigint, ancestry string")
 
 
 def ancestry_fractions(paths: DataFrame, sources: list) -> DataFrame:
