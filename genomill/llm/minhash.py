@@ -242,7 +242,8 @@ def _crossing_pairs(rows: pd.DataFrame, slots: int, percent: int) -> pd.DataFram
     ends = np.flatnonzero(np.concatenate([slot[1:] != slot[:-1], [True]])) + 1 if len(slot) else slot
     heads = np.concatenate([[0], ends[:-1]]) if len(slot) else slot
     cuts = list(zip(heads, ends, strict=True))
-    return pd.DataFrame({"slot": slot[heads], "a": [a[s:e] for s, e in cuts], "b": [b[s:e] for s, e in cuts], "ids": [np.unique(np.concatenate([a[s:e], b[s:e]])) for s, e in cuts]})
+    lists = {"a": [a[s:e] for s, e in cuts], "b": [b[s:e] for s, e in cuts], "ids": [np.unique(np.concatenate([a[s:e], b[s:e]])) for s, e in cuts]}
+    return pd.DataFrame({"slot": slot[heads]} | {k: pd.Series(v, dtype=object) for k, v in lists.items()})
 
 
 def components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
