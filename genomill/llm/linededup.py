@@ -292,40 +292,54 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _confirm(lines: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-    """Later lines of the pairs that match on their words."""
+    """Later lines that match one of their candidates on their words.  Candidates are tried in
+    growing portions, and a line that has matched is done."""
     none = pd.DataFrame({"doc": np.empty(0, np.int64), "line": np.empty(0, np.int32)})
     if not len(lines) or not len(pairs):
         return none
     lines = lines.drop_duplicates(["doc", "line"])
     words, at, text, _ = line_sets(pa.array(lines["text"].tolist(), pa.large_string()))
     where = {k: i for i, k in enumerate(zip(lines["doc"].to_numpy()[text].tolist(), lines["line"].to_numpy()[text].tolist(), strict=True))}
-    x = np.array([where.get(k, -1) for k in zip(pairs["xdoc"].tolist(), pairs["xline"].tolist(), strict=True)], np.int64)
-    y = np.array([where.get(k, -1) for k in zip(pairs["doc"].tolist(), pairs["line"].tolist(), strict=True)], np.int64)
-    some = np.flatnonzero((x >= 0) & (y >= 0))
-    x, y = x[some], y[some]
     size = np.diff(at)
-    out = np.zeros(len(x), bool)
-    for s in range(0, len(x), 8192):
-        a, b = x[s : s + 8192], y[s : s + 8192]
-        pair = np.concatenate([np.repeat(np.arange(len(a)), size[a]), np.repeat(np.arange(len(b)), size[b])])
-        both = np.concatenate([ragged(words, size[a], at[a]), ragged(words, size[b], at[b])])
-        order = np.lexsort((both, pair))
-        p, w = pair[order], both[order]
-        same = np.bincount(p[1:][(p[1:] == p[:-1]) & (w[1:] == w[:-1])], minlength=len(a))
-        out[s : s + 8192] = IN * same >= OF * (size[a] + size[b])
-    return pairs.iloc[some[out]][["doc", "line"]].drop_duplicates()
+    many = pairs["xdoc"].map(len).to_numpy()
+    x = np.array([where.get(k, -1) for k in zip(np.concatenate(pairs["xdoc"].tolist()).tolist(), np.concatenate(pairs["xline"].tolist()).tolist(), strict=True)], np.int64)
+    own = np.array([where.get(k, -1) for k in zip(pairs["doc"].tolist(), pairs["line"].tolist(), strict=True)], np.int64)
+    y, nth = np.repeat(own, many), np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+    done = np.zeros(len(size) + 1, bool)
+    low, high = 0, 1
+    while low < int(many.max()):
+        now = np.flatnonzero((nth >= low) & (nth < high) & (x >= 0) & (y >= 0) & ~done[y])
+        for s in range(0, len(now), 8192):
+            a, b = x[now[s : s + 8192]], y[now[s : s + 8192]]
+            pair = np.concatenate([np.repeat(np.arange(len(a)), size[a]), np.repeat(np.arange(len(b)), size[b])])
+            order = tk.grouped_order(pair, both := np.concatenate([ragged(words, size[a], at[a]), ragged(words, size[b], at[b])]))
+            p, w = pair[order], both[order]
+            same = np.bincount(p[1:][(p[1:] == p[:-1]) & (w[1:] == w[:-1])], minlength=len(a))
+            done[b[IN * same >= OF * (size[a] + size[b])]] = True
+        low, high = high, high * 4
+    return pairs.loc[done[own] & (own >= 0), ["doc", "line"]].drop_duplicates()
 
 
 def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc, line) of ``pairs(doc, line, xdoc, xline)`` whose line matches its x."""
-    pairs = save(pairs, "pairs")
+    """(doc, line) of ``pairs(doc, line, xdoc, xline)`` whose line matches one of its candidates
+    (arrays).  Lines with the same first candidate meet in one slot, a large group in several,
+    and each slot gets each text once."""
+    pairs = save(pairs.withColumns({"hdoc": F.col("xdoc")[0], "hline": F.col("xline")[0]}), "pairs")
     slots = max(1, -(-pairs.count() // 20_000))
-    # Lines with the same earliest candidate meet in one slot, a large group in several.
-    hubs = pairs.groupBy("xdoc", "xline").agg(F.count(F.lit(1)).alias("n"))
+    hubs = pairs.groupBy("hdoc", "hline").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("doc", "line"), F.ceil(F.col("n") / F.lit(10_000)))
-    dealt = save(pairs.join(hubs, ["xdoc", "xline"]).withColumn("slot", F.pmod(F.xxhash64("xdoc", "xline", part), F.lit(slots))).drop("n"), "pairs")
-    wanted = dealt.select(F.col("slot"), F.explode(F.array(F.struct("doc", "line"), F.struct(F.col("xdoc").alias("doc"), F.col("xline").alias("line")))).alias("l")).select(F.col("slot").alias("to"), "l.doc", "l.line")
-    lines = _fetch(docs, wanted.withColumnRenamed("to", "slot")).withColumnRenamed("slot", "to")
+    dealt = save(pairs.join(hubs, ["hdoc", "hline"]).select(F.pmod(F.xxhash64("hdoc", "hline", part), F.lit(slots)).alias("slot"), "doc", "line", "xdoc", "xline"), "pairs")
+
+    def want(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                n = f["xdoc"].map(len).to_numpy()
+                mine = f[["slot", "doc", "line"]]
+                theirs = pd.DataFrame({"slot": np.repeat(f["slot"].to_numpy(), n), "doc": np.concatenate(f["xdoc"].tolist()), "line": np.concatenate(f["xline"].tolist())})
+                yield pd.concat([mine, theirs]).drop_duplicates()
+
+    wanted = dealt.mapInPandas(want, "slot bigint, doc bigint, line int").distinct()
+    lines = _fetch(docs, save(wanted, "wanted")).withColumnRenamed("slot", "to")
     return save(lines.groupBy("to").cogroup(dealt.groupBy("slot")).applyInPandas(_confirm, "doc bigint, line int").distinct(), "matched")
 
 
@@ -344,21 +358,16 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     out = "doc bigint, line int, xdoc array<bigint>, xline array<int>, more boolean"
     found = save(_postings(prefixes, slots).groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t)), out), "candidates")
 
-    def opened(frame: DataFrame) -> DataFrame:
-        each = frame.select("doc", "line", "more", F.posexplode(F.arrays_zip("xdoc", "xline")).alias("at", "x"))
-        return each.select("doc", "line", "more", "at", F.col("x.xdoc").alias("xdoc"), F.col("x.xline").alias("xline"))
-
-    earliest = opened(found).filter("at = 0").groupBy("doc", "line").agg(F.min(F.struct("xdoc", "xline")).alias("x")).select("doc", "line", "x.xdoc", "x.xline")
+    first = F.struct(F.col("xdoc")[0].alias("xdoc"), F.col("xline")[0].alias("xline"))
+    earliest = found.groupBy("doc", "line").agg(F.min(first).alias("x")).select("doc", "line", F.array("x.xdoc").alias("xdoc"), F.array("x.xline").alias("xline"))
     one = _matched(texts, earliest)
-    left = opened(found).join(one, ["doc", "line"], "left_anti").select("doc", "line", "xdoc", "xline").distinct()
-    left = left.join(earliest, ["doc", "line", "xdoc", "xline"], "left_anti")
-    two = _matched(texts, left)
+    two = _matched(texts, found.join(one, ["doc", "line"], "left_anti").select("doc", "line", "xdoc", "xline"))
     matched = one.union(two)
     rest = save(found.filter("more").select("doc", "line").distinct().join(matched, ["doc", "line"], "left_anti"), "rest")
     if rest.limit(1).count():
         again = _prefixes(texts, rarity).join(firsts, ["doc", "line"], "left_semi").join(rest.withColumn("open", F.lit(True)), ["doc", "line"], "left").fillna(False, ["open"])
         all_ = _postings(again, slots).groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t), None), out)
-        matched = matched.union(_matched(texts, opened(all_).select("doc", "line", "xdoc", "xline").distinct()))
+        matched = matched.union(_matched(texts, all_.select("doc", "line", "xdoc", "xline")))
 
     gone = repeats.union(matched).distinct().groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     n = lines.groupBy("doc").agg(F.count(F.lit(1)).alias("n_lines"))
