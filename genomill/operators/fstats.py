@@ -125,6 +125,16 @@ def paired_difference(freqs: DataFrame, a, o, x, y, b, c, **how) -> DataFrame:
     return statistic(freqs, [a, o, x, y, b, c], lambda a, o, x, y, b, c: ((a - o) * (x - y), (a - o) * (b - c)), **how)
 
 
+def rotations(freqs: DataFrame, outgroup) -> DataFrame:  # noqa: ANN001
+    """f4(x, y; t, outgroup) for every pair of references and every other target.  Differences
+    from the outgroup are made per site first; a site's populations meet through its key."""
+    o = freqs.filter((F.col("population") == outgroup) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias("o"))
+    own = freqs.filter((F.col("population") != outgroup) & F.col("p").isNotNull()).join(o, SITE)
+    side = lambda n: own.select(*SITE, F.col("population").alias(n), F.col("p").alias(f"p_{n}"), *([F.col("o")] if n == "t" else []))
+    each = side("x").join(side("y"), SITE).filter("x < y").join(side("t"), SITE).filter("t != x and t != y")
+    return each.groupBy("x", "y", "t").agg(F.count(F.lit(1)).alias("n_sites"), F.avg((F.col("p_x") - F.col("p_y")) * (F.col("p_t") - F.col("o"))).alias("f4"))
+
+
 def f3_matrix(freqs: DataFrame, outgroup) -> DataFrame:  # noqa: ANN001
     """Mean (o - a)(o - b) of all pairs, a = b included."""
     o = freqs.filter((F.col("population") == outgroup) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias("o"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model import SITE
+from ..model import SITE, wide
 
 FLOOR = 1e-4
 
@@ -35,6 +35,13 @@ def source_fraction(calls: DataFrame, freqs: DataFrame, source, base, least_gap:
     return out.select("sample_id", "n_loci", "fraction", F.sqrt(rss / F.col("n_loci")).alias("rmse"))
 
 
+def informative(freqs: DataFrame, panels: list, base, least_gap: float = 0.15) -> DataFrame:  # noqa: ANN001
+    """Sites known in all panels where one differs enough from the base."""
+    rows = wide(freqs, [*panels, base])
+    gap = F.greatest(*[F.abs(F.col(f"p{i}") - F.col(f"p{len(panels)}")) for i in range(len(panels))], F.lit(0.0))
+    return rows.filter(gap >= least_gap).select(*SITE)
+
+
 def panel_likelihoods(calls: DataFrame, freqs: DataFrame) -> DataFrame:
     """Log-likelihood of each sample under each panel, and the number of loci used."""
     both = calls.filter("n_alt is not null").select(*SITE, "sample_id", "n_alt").join(freqs.filter("p is not null").select(*SITE, F.col("population").alias("panel"), "p"), SITE)

@@ -61,6 +61,15 @@ def pbs_windows(count: DataFrame, populations: list, window_bp: int = 100_000) -
     return out.select("chrom", start.alias("start"), "n_sites", ((t[0] + t[1] - t[2]) / 2).alias("pbs"))
 
 
+def difference_windows(count: DataFrame, a, b, window_bp: int = 100_000) -> DataFrame:  # noqa: ANN001
+    """Mean absolute frequency difference of two populations in windows."""
+    rows = wide(count, [a, b])
+    first = rows.groupBy("chrom").agg(F.min("pos").alias("first"))
+    start = F.col("first") + F.floor((F.col("pos") - F.col("first")) / window_bp) * window_bp
+    each = rows.join(F.broadcast(first), "chrom").withColumn("start", start)
+    return each.groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("n_sites"), F.avg(F.abs(F.col("p0") - F.col("p1"))).alias("difference"))
+
+
 def emissions(called: DataFrame, freqs: DataFrame, sources: list, targets: list, window_bp: int = 200_000, min_sites: int = 5) -> DataFrame:
     """Log-likelihood of each target's calls under each source, per window of at least
     ``min_sites`` sites; a source without a frequency counts as 0.5."""

@@ -168,9 +168,11 @@ def laplace_freq(spark, d):
     return rounded(population.laplace(called(spark, d)), "p")
 
 
-@query("shrunk_freq", ", m AS (SELECT chrom, pos, avg(p) AS prior FROM f GROUP BY ALL) SELECT chrom, pos, population, round(prior, 6) AS prior, round((alt_n + 6 * prior) / (2 * n_called + 6), 6) AS p FROM f JOIN m USING (chrom, pos)")
+@query("shrunk_freq", ", m AS (SELECT chrom, pos, avg(p) AS prior FROM f GROUP BY ALL) SELECT chrom, pos, population, round(prior + 1e-10, 6) AS prior, round((alt_n + 6 * prior) / (2 * n_called + 6) + 1e-10, 6) AS p FROM f JOIN m USING (chrom, pos)")
 def shrunk_freq(spark, d):
-    return rounded(population.shrunk(freqs(spark, d)), "prior", "p")
+    # Means of few frequencies often end in an exact half; both sides round it up.
+    out = population.shrunk(freqs(spark, d)).withColumns({"prior": F.col("prior") + 1e-10, "p": F.col("p") + 1e-10})
+    return rounded(out, "prior", "p")
 
 
 @query("diversity", """, h AS (SELECT sample_id, population, avg(CASE WHEN n_alt = 1 THEN 1.0::DOUBLE ELSE 0 END) AS h FROM c GROUP BY ALL), hp AS (SELECT population, count(*) AS n_samples, avg(h) AS het FROM h GROUP BY 1)
@@ -576,6 +578,82 @@ def gl_em_freq(spark, d):
     return rounded(population.gl_em(rows, 8), "p", digits=5)
 
 
+# -- reports, joins, parsing --------------------------------------------------------------
+
+
+@query("sample_concordance", "--rawWITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_nationkey % 2 = 0) SELECT CAST(k AS BIGINT) AS sample_id, 'calls only' AS \"where\" FROM a ANTI JOIN b USING (k) UNION ALL SELECT CAST(k AS BIGINT), 'sheet only' FROM b ANTI JOIN a USING (k)")
+def sample_concordance(spark, d):
+    a = table(spark, d, "customer").select(F.col("c_nationkey").cast("bigint").alias("sample_id")).distinct()
+    b = table(spark, d, "supplier").filter("s_nationkey % 2 = 0").select(F.col("s_nationkey").cast("bigint").alias("sample_id")).distinct()
+    return harmonize.sample_concordance(a, b)
+
+
+@query("shared_samples", "--rawSELECT CAST(k AS BIGINT) AS sample_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT c_nationkey AS k, 0 AS s FROM customer UNION ALL SELECT DISTINCT s_nationkey, 1 FROM supplier) GROUP BY 1 HAVING count(*) > 1")
+def shared_samples(spark, d):
+    return harmonize.shared_samples([table(spark, d, t).select(F.col(c).cast("bigint").alias("sample_id")) for t, c in (("customer", "c_nationkey"), ("supplier", "s_nationkey"))])
+
+
+@query("aligned_labels", "--rawSELECT CAST(n_nationkey AS BIGINT) AS sample_id, coalesce(CASE WHEN n_nationkey % 4 <> 0 THEN r_name END, 'unknown') AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+def aligned_labels(spark, d):
+    from ..sources.panels import aligned
+
+    samples = table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("sample_id"))
+    sheet = table(spark, d, "nation").filter("n_nationkey % 4 != 0").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return aligned(samples, sheet.select(F.col("n_nationkey").cast("bigint").alias("sample_id"), F.col("r_name").alias("population"), F.col("r_name").alias("region"))).select("sample_id", "region")
+
+
+@query("pl_parse", "--rawSELECT CAST(p_partkey AS BIGINT) AS k, CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE least(255, p_size * 7) END AS BIGINT) AS pl0, CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE least(255, p_partkey % 300) END AS BIGINT) AS pl1 FROM part")
+def pl_parse(spark, d):
+    text = F.when(F.col("p_partkey") % 5 == 0, F.lit("3,x")).otherwise(F.concat_ws(",", (F.col("p_size") * 7).cast("string"), (F.col("p_partkey") % 300).cast("string"), F.lit("9")))
+    rows = table(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("k"), strings.likelihoods(text).alias("pl"))
+    return rows.select("k", F.col("pl")[0].cast("bigint").alias("pl0"), F.col("pl")[1].cast("bigint").alias("pl1"))
+
+
+@query("flipped_calls", "SELECT sample_id, CAST(sum(CASE WHEN site_ord % 3 = 0 THEN 2 - n_alt ELSE n_alt END) AS BIGINT) AS alt FROM c GROUP BY 1")
+def flipped_calls(spark, d):
+    c = called(spark, d).withColumn("orientation", F.when(F.col("site_ord") % 3 == 0, "complement_swap").otherwise("same"))
+    return harmonize.flipped(c).groupBy("sample_id").agg(F.sum("n_alt").cast("bigint").alias("alt"))
+
+
+@query("reference_rotation", """, rt AS (SELECT a.population AS x, b.population AS y, o.population AS t FROM (SELECT DISTINCT population FROM f) a, (SELECT DISTINCT population FROM f) b, (SELECT DISTINCT population FROM f) o WHERE a.population < b.population AND o.population NOT IN (a.population, b.population, 4) AND 4 NOT IN (a.population, b.population)),
+ v AS (SELECT x, y, t, (a.p - b.p) AS d, (tt.p - o.p) AS e FROM rt JOIN f a ON a.population = x JOIN f b ON b.population = y AND b.chrom = a.chrom AND b.pos = a.pos JOIN f tt ON tt.population = t AND tt.chrom = a.chrom AND tt.pos = a.pos JOIN f o ON o.population = 4 AND o.chrom = a.chrom AND o.pos = a.pos)
+ SELECT x, y, t, CAST(count(*) AS BIGINT) AS n_sites, round(avg(d * e), 6) AS f4 FROM v GROUP BY ALL""")
+def reference_rotation(spark, d):
+    return rounded(fstats.rotations(freqs(spark, d), OUT), "f4")
+
+
+@query("top_windows", """, q AS (SELECT a.chrom, a.pos, abs(a.p - b.p) AS x FROM f a JOIN f b USING (chrom, pos) WHERE a.population = 0 AND b.population = 1), fi AS (SELECT chrom, min(pos) AS first FROM q GROUP BY 1),
+ w AS (SELECT q.chrom, first + (pos - first) // 100000 * 100000 AS start, count(*) AS n, round(avg(x), 6) AS difference FROM q JOIN fi USING (chrom) GROUP BY ALL) SELECT chrom, CAST(start AS BIGINT) AS start, CAST(n AS BIGINT) AS n_sites, difference FROM w ORDER BY difference DESC, chrom, start LIMIT 10""")
+def top_windows(spark, d):
+    out = rounded(windows.difference_windows(freqs(spark, d), 0, 1, 100_000), "difference")
+    return longs(out.orderBy(F.desc("difference"), "chrom", "start").limit(10), "start", "n_sites")
+
+
+@query("d_summary", f", {_TRIOS}, {_JACK} SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN abs(estimate / se) > 1 THEN 1 ELSE 0 END) AS BIGINT) AS strong, round(max(abs(estimate / se)), 4) AS top_z FROM r")
+def d_summary(spark, d):
+    z = fstats.d_statistics(freqs(spark, d), [0, 1, 2, 3, OUT], OUT)
+    return z.agg(F.count(F.lit(1)).alias("n"), F.sum((F.abs("z") > 1).cast("bigint")).alias("strong"), F.round(F.max(F.abs("z")), 4).alias("top_z"))
+
+
+@query("het_median", "SELECT round(median(h), 6) AS median, round(max(h), 6) AS top_value, max_by(sample_id, h) AS top FROM (SELECT sample_id, avg(CASE WHEN n_alt = 1 THEN 1.0::DOUBLE ELSE 0 END) AS h FROM c GROUP BY 1)")
+def het_median(spark, d):
+    per = called(spark, d).groupBy("sample_id").agg(F.avg((F.col("n_alt") == 1).cast("double")).alias("h"))
+    return rounded(population.median_top(per, "sample_id", "h"), "median", "top_value")
+
+
+@query("informative_loci", ", k AS (SELECT chrom, pos, max(CASE WHEN population = 0 THEN p END) AS a, max(CASE WHEN population = 1 THEN p END) AS b, max(CASE WHEN population = 2 THEN p END) AS e FROM f GROUP BY ALL) SELECT chrom, pos FROM k WHERE a IS NOT NULL AND b IS NOT NULL AND e IS NOT NULL AND (abs(a - e) >= 0.15 OR abs(b - e) >= 0.15)")
+def informative_loci(spark, d):
+    return mixture.informative(freqs(spark, d), [0, 1], 2)
+
+
+@query("event_windows", "--rawSELECT strftime(ts, '%Y-%m-%d') AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL")
+def event_windows(spark, d):
+    from ..streaming.counts import windowed_events
+
+    out = windowed_events(table(spark, d, "events"), "1 day")
+    return out.withColumns({"start": F.date_format("start", "yyyy-MM-dd"), "value": F.round("value", 4)})
+
+
 # -- matrix and trees ---------------------------------------------------------------------
 
 
