@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 #: Autosomes of the study species (fixed value).
 AUTOSOMES = 38
-#: Groups by name, in order of precedence (fixed values).
-WILD, VILLAGE, MIXED = ("wolf", "coyote", "jackal", "dhole", "fox"), ("village", "street", "pariah"), ("mix", "cross", "hybrid")
+#: Name rules of the reference panel's groups (fixed values, in order of precedence).
+BREEDS_ALL_THE_SAME = ("IrishWolfhound",)
+WILD = ("coyote", "wolf", "jackal", "fox", "dhole", "lycaon", "wilddog", "dingo", "ngsd", "newguineasinging")
+VILLAGE_PREFIX, VILLAGE = "VillDog_", "indigenousdog"
+VILLAGE_CODES, UNRESOLVED = ("PER", "BAN"), ("CFA.", "Helsinki_BC")
+MIXED = ("mix", "unknown")
 
 
 def canonical_contig(c: Column) -> Column:
@@ -35,9 +39,13 @@ def group_name(sample: Column) -> Column:
 
 
 def group_kind(group: Column) -> Column:
+    """wild, village, mixed, ambiguous or breed; names that are short or hold digits tell nothing."""
     low = F.lower(group)
     has = lambda words: low.rlike("|".join(words))
-    return F.when(group.isNull() | (F.trim(group) == ""), "ambiguous").when(has(VILLAGE), "village").when(has(MIXED), "mixed").when(has(WILD), "wild").otherwise("breed")
+    village = group.startswith(VILLAGE_PREFIX) | low.contains(VILLAGE) | group.isin(*VILLAGE_CODES)
+    unclear = group.isNull() | group.isin(*UNRESOLVED) | group.rlike("[0-9]") | (F.length(group) <= 3)
+    out = F.when(group.isin(*BREEDS_ALL_THE_SAME), "breed").when(has(WILD), "wild").when(village, "village")
+    return out.when(group.isin(UNRESOLVED[0]), "ambiguous").when(has(MIXED), "mixed").when(unclear, "ambiguous").otherwise("breed")
 
 
 def genotype(field: Column, index: int = 0) -> Column:

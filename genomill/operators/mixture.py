@@ -48,28 +48,39 @@ def panel_likelihoods(calls: DataFrame, freqs: DataFrame) -> DataFrame:
     return both.groupBy("sample_id", "panel").agg(F.count(F.lit(1)).alias("n_loci"), F.sum(log_pmf(F.col("n_alt"), F.col("p"))).alias("loglik"))
 
 
-def ranked(scores: DataFrame, top: int = 5, gap: float = 5.0, value: str = "loglik") -> DataFrame:
-    """The best panels of each sample with their lead on the next; ``single``: the best leads
-    by more than ``gap``."""
-    w = Window.partitionBy("sample_id").orderBy(F.desc(value), "panel")
+def ranked(scores: DataFrame, top: int = 5, value: str = "loglik") -> DataFrame:
+    """The best panels of each sample with their lead on the next; of equal ones the larger
+    name comes first."""
+    w = Window.partitionBy("sample_id").orderBy(F.desc(value), F.desc("panel"))
     out = scores.withColumns({"rank": F.row_number().over(w), "gap_to_next": F.col(value) - F.lead(value).over(w)})
-    return out.filter(F.col("rank") <= top).withColumn("single", F.coalesce((F.col("rank") == 1) & (F.col("gap_to_next") > gap), F.lit(False)))
-
-
-def leave_one_out(calls: DataFrame, least_share: float = 0.9) -> DataFrame:
-    """Each sample against each panel of Laplace frequencies, its own panel less itself.  The
-    panels' counts are corrected by the sample's own, so there is no scan per sample."""
-    own = calls.filter("n_alt is not null").select(*SITE, "sample_id", "population", "n_alt")
+    return out.filter(F.col("rank") <= top)
+
+
+def candidate_scores(calls: DataFrame, freqs: DataFrame, pooled: DataFrame, n_loci: int, top: int = 5, gap: float = 5.0, least_share: float = 0.9) -> DataFrame:
+    """The best panels of each sample beside the pooled panel (``pooled``: chrom, pos, p).
+    Panels known at too few loci do not compete.  ``single``: the best panel explains the
+    sample better than the pool by more than ``gap``."""
+    own = panel_likelihoods(calls, freqs).filter(F.col("n_loci") >= least_share * n_loci)
+    pool = panel_likelihoods(calls, pooled.withColumn("population", F.lit("any"))).select("sample_id", F.col("loglik").alias("any_loglik"))
+    best = own.groupBy("sample_id").agg(F.max("loglik").alias("best"))
+    out = ranked(own, top).join(best, "sample_id").join(pool, "sample_id", "left").withColumn("gap", F.col("best") - F.col("any_loglik"))
+    return out.withColumn("single", F.col("gap") > gap).drop("best")
+
+
+def leave_one_out(calls: DataFrame, n_loci: int, least_share: float = 0.9, min_group: int = 3) -> DataFrame:
+    """Each sample against each panel of Laplace frequencies, its own panel less itself; panels
+    of fewer than ``min_group`` samples, and panels that share too few loci with the sample,
+    do not compete.  The panels' counts are corrected by the sample's own, so there is no
+    scan per sample."""
+    each = calls.groupBy("population", "sample_id").agg(F.lit(1).alias("x")).groupBy("population").agg(F.count(F.lit(1)).alias("m"))
+    own = calls.filter("n_alt is not null").join(F.broadcast(each.filter(F.col("m") >= min_group).select("population")), "population", "left_semi").select(*SITE, "sample_id", "population", "n_alt")
     panel = own.groupBy(*SITE, "population").agg(F.count(F.lit(1)).alias("n"), F.sum("n_alt").alias("alt")).withColumnRenamed("population", "panel")
     both = own.join(panel, SITE)
     mine = (F.col("population") == F.col("panel")).cast("int")
     n, alt = F.col("n") - mine, F.col("alt") - mine * F.col("n_alt")
     scored = both.filter(n > 0).withColumn("ll", log_pmf(F.col("n_alt"), (alt + 1) / (2 * n + 2)))
-    sums = scored.groupBy("sample_id", "population", "panel").agg(F.count(F.lit(1)).alias("n_loci"), F.sum("ll").alias("ll"))
-    total = own.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_called"))
-    # Panels with enough of the sample's loci compete by their mean per locus.
-    fit = sums.join(total, "sample_id").filter(F.col("n_loci") >= least_share * F.col("n_called")).withColumn("mean_ll", F.col("ll") / F.col("n_loci"))
-    best = fit.groupBy("sample_id", "population").agg(F.max_by("panel", F.struct("mean_ll", -F.col("panel"))).alias("assigned"), F.count(F.lit(1)).alias("n_panels"))
+    sums = scored.groupBy("sample_id", "population", "panel").agg(F.count(F.lit(1)).alias("n_loci"), F.sum("ll").alias("loglik")).filter(F.col("n_loci") >= least_share * n_loci)
+    best = ranked(sums, 1).select("sample_id", "population", F.col("panel").alias("assigned"), F.col("gap_to_next").alias("gap"))
     return best.withColumn("correct", F.col("population") == F.col("assigned"))
 
 

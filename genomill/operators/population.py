@@ -24,7 +24,7 @@ def shrunk(count: DataFrame, weight: float = 6.0) -> DataFrame:
     return count.join(prior, SITE).select(*SITE, "population", "prior", ((F.col("alt_n") + weight * F.col("prior")) / (2 * F.col("n_called") + weight)).alias("p"))
 
 
-def differences(count: DataFrame) -> DataFrame:
+def with_differences(count: DataFrame) -> DataFrame:
     """Mean difference within each population at each site; 0 below two alleles."""
     n = F.col("ref_n") + F.col("alt_n")
     return count.withColumn("within", F.when(n > 1, 2 * F.col("ref_n") * F.col("alt_n") / (n * (n - 1))).otherwise(0.0))
@@ -34,7 +34,7 @@ def diversity(count: DataFrame, called: DataFrame, callable_sites: int = 0) -> D
     """Sites, segregating sites, pi and mean heterozygosity of each population."""
     per = callable_sites or None
     pi = F.sum("within") / per if per else F.avg("within")
-    stats = differences(count).groupBy("population").agg(
+    stats = with_differences(count).groupBy("population").agg(
         F.count(F.lit(1)).alias("n_sites"), F.sum(((F.col("ref_n") > 0) & (F.col("alt_n") > 0)).cast("bigint")).alias("segregating"), pi.alias("pi")
     )
     het = called.groupBy("sample_id", "population").agg(F.avg((F.col("n_alt") == 1).cast("double")).alias("h"))
@@ -44,7 +44,7 @@ def diversity(count: DataFrame, called: DataFrame, callable_sites: int = 0) -> D
 def hudson_terms(count: DataFrame) -> DataFrame:
     """num and den of Hudson's F_ST at each site and unordered pair of populations.  One
     shuffle: a site's populations meet through the site key."""
-    own = differences(count).filter("ref_n + alt_n > 1").select(*SITE, "population", "ref_n", "alt_n", "within")
+    own = with_differences(count).filter("ref_n + alt_n > 1").select(*SITE, "population", "ref_n", "alt_n", "within")
     other = own.select(*SITE, *[F.col(c).alias(f"{c}_2") for c in ("population", "ref_n", "alt_n", "within")])
     pairs = own.join(other, SITE).filter("population < population_2")
     n1, n2 = F.col("ref_n") + F.col("alt_n"), F.col("ref_n_2") + F.col("alt_n_2")
@@ -80,26 +80,36 @@ def folded_spectrum(count: DataFrame) -> DataFrame:
     return count.groupBy("population", F.least("ref_n", "alt_n").alias("minor_count")).agg(F.count(F.lit(1)).alias("n_sites"))
 
 
-def demography(count: DataFrame, n_chromosomes: Column | None = None, mutation_rate: float = 0.0) -> DataFrame:
-    """Segregating sites, Watterson's theta per site, pi and Tajima's D of each population;
-    n is the largest number of alleles seen at a site.  D needs three segregating sites."""
-    seg = (F.col("ref_n") > 0) & (F.col("alt_n") > 0)
-    base = differences(count).groupBy("population").agg(
-        F.max(F.col("ref_n") + F.col("alt_n")).alias("n"), F.count(F.lit(1)).alias("sites"), F.sum(seg.cast("bigint")).alias("s"), F.sum("within").alias("diff")
-    )
-    upto = F.sequence(F.lit(1), F.greatest(F.col("n") - 1, F.lit(1)).cast("int"))
+def tajima_d(n: Column, s: Column, diff: Column) -> Column:
+    """Tajima's D of s segregating sites and a summed mean difference among n alleles; null
+    below three sites."""
+    upto = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)).cast("int"))
     add = lambda f: F.aggregate(upto, F.lit(0.0), lambda acc, i: acc + f(i))
-    out = base.withColumns({"a1": add(lambda i: 1 / i), "a2": add(lambda i: 1 / (i * i))})
-    n, s, a1, a2 = F.col("n"), F.col("s"), F.col("a1"), F.col("a2")
+    a1, a2 = add(lambda i: 1 / i), add(lambda i: 1 / (i * i))
     b1, b2 = (n + 1) / (3 * (n - 1)), 2 * (n * n + n + 3) / (9 * n * (n - 1))
     c1, c2 = b1 - 1 / a1, b2 - (n + 2) / (a1 * n) + a2 / (a1 * a1)
     spread = F.sqrt(c1 / a1 * s + c2 / (a1 * a1 + a2) * s * (s - 1))
-    d = F.when((s >= 3) & (n > 2), (F.col("diff") - s / a1) / spread)
-    theta = F.when(n > 1, s / a1 / F.col("sites"))
-    cols = [F.col("population"), n, s.alias("segregating"), theta.alias("theta_w"), (F.col("diff") / F.col("sites")).alias("pi"), d.alias("tajima_d")]
-    if mutation_rate > 0:
-        cols.append((F.col("diff") / F.col("sites") / (4 * mutation_rate)).cast("bigint").alias("ne"))
-    return out.select(*cols)
+    return F.when((s >= 3) & (n > 2), (diff - s / a1) / spread)
+
+
+def demography(count: DataFrame, called: DataFrame, callable_sites: int = 0, mutation_rate: float = 0.0) -> DataFrame:
+    """Chromosomes, segregating sites and mean difference of each population; Watterson's theta
+    and pi per callable site, Tajima's D and the effective size are given only if the number of
+    callable sites is known, because a panel of chosen sites says nothing per base."""
+    seg = (F.col("ref_n") > 0) & (F.col("alt_n") > 0)
+    size = called.groupBy("population", "sample_id").agg(F.lit(1).alias("x")).groupBy("population").agg((2 * F.count(F.lit(1))).alias("n_chromosomes"))
+    base = with_differences(count).groupBy("population").agg(
+        F.max(F.col("ref_n") + F.col("alt_n")).alias("n"), F.sum(seg.cast("bigint")).alias("n_segregating"), F.sum("within").alias("diff"), F.avg("within").alias("mean_difference")
+    )
+    out = base.join(F.broadcast(size), "population")
+    if not callable_sites:
+        none = F.lit(None).cast("double")
+        return out.select("population", "n_chromosomes", "n_segregating", "mean_difference", none.alias("theta_w"), none.alias("pi"), none.alias("tajima_d"), F.lit(None).cast("bigint").alias("ne"))
+    a = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("n_chromosomes") - 1, F.lit(1)).cast("int")), F.lit(0.0), lambda acc, i: acc + 1 / i)
+    pi = F.col("diff") / callable_sites
+    ne = (pi / (4 * mutation_rate)).cast("bigint") if mutation_rate > 0 else F.lit(None).cast("bigint")
+    d = tajima_d(F.col("n"), F.col("n_segregating"), F.col("diff"))
+    return out.select("population", "n_chromosomes", "n_segregating", "mean_difference", (F.col("n_segregating") / a / callable_sites).alias("theta_w"), pi.alias("pi"), d.alias("tajima_d"), ne.alias("ne"))
 
 
 def haversine(places: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SITE, wide
-from .population import differences
+from .population import hudson_terms, tajima_d, with_differences
+
+#: Source frequencies stay this far from 0 and 1.
+EDGE = 1e-6
 
 
 def runs_of_homozygosity(called: DataFrame, sites: DataFrame, window_bp: int = 100_000, most_het: float = 0.02, min_bp: int = 200_000) -> DataFrame:
@@ -40,25 +43,26 @@ def roh_summary(called: DataFrame, sites: DataFrame, **how) -> DataFrame:
 
 
 def pbs_windows(count: DataFrame, populations: list, window_bp: int = 100_000) -> DataFrame:
-    """Population branch statistic of the first of three populations in windows that start at
-    each contig's first position; F_ST is held to [0, 0.9999]."""
+    """Population branch statistic and Tajima's D of the first of three populations, in windows
+    from each contig's first position.  A pair's F_ST sums the sites that both have; it is
+    held to [0, 0.9999]; D needs three segregating sites and takes the contig's largest n."""
+    first = count.groupBy("chrom").agg(F.min("pos").alias("first"))
+    placed = lambda f: f.join(F.broadcast(first), "chrom").withColumn("w", F.floor((F.col("pos") - F.col("first")) / window_bp))
+    own = count.filter(F.col("population").isin(populations))
     a, b, c = populations
-    own = differences(count).filter("ref_n + alt_n > 1")
-    n = F.col("ref_n") + F.col("alt_n")
-    cols = own.withColumns({"f": F.col("alt_n") / n, "x": F.col("within")})
-    rows = cols.filter(F.col("population").isin(populations)).groupBy(*SITE).pivot("population", populations).agg(F.first("f").alias("f"), F.first("x").alias("x")).dropna()
-    first = rows.groupBy("chrom").agg(F.min("pos").alias("first"))
-    each = rows.join(F.broadcast(first), "chrom").withColumn("w", F.floor((F.col("pos") - F.col("first")) / window_bp))
-    aggs = [F.first("first").alias("first"), F.count(F.lit(1)).alias("n_sites")]
-    for i, (p, q) in enumerate(((a, b), (a, c), (b, c))):
-        f, g, x, y = (F.col(f"{k}_{v}") for k, v in ((p, "f"), (q, "f"), (p, "x"), (q, "x")))
-        between = 1 - (f * g + (1 - f) * (1 - g))
-        aggs += [F.sum(between - (x + y) / 2).alias(f"n{i}"), F.sum(between).alias(f"d{i}")]
-    out = each.groupBy("chrom", "w").agg(*aggs)
-    fst = [F.least(F.greatest(F.when(F.col(f"d{i}") > 0, F.col(f"n{i}") / F.col(f"d{i}")), F.lit(0.0)), F.lit(0.9999)) for i in range(3)]
-    t = [-F.log(1 - F.when(F.col(f"d{i}") > 0, x)) for i, x in enumerate(fst)]
+    pair = lambda p, q: (F.col("pop1") == min(p, q)) & (F.col("pop2") == max(p, q))
+    aggs = [F.sum(F.when(pair(p, q), F.col(v))).alias(f"{v}{i}") for i, (p, q) in enumerate(((a, b), (a, c), (b, c))) for v in ("num", "den")]
+    fst = placed(hudson_terms(own)).groupBy("chrom", "w", "first").agg(*aggs)
+    t = [-F.log(1 - F.least(F.greatest(F.when(F.col(f"den{i}") > 0, F.col(f"num{i}") / F.col(f"den{i}")), F.lit(0.0)), F.lit(0.9999))) for i in range(3)]
+    # greatest and least skip nulls: a pair without a denominator makes the whole null.
+    known = F.col("den0").isNotNull() & (F.col("den0") > 0) & F.col("den1").isNotNull() & (F.col("den1") > 0) & F.col("den2").isNotNull() & (F.col("den2") > 0)
+    focal = with_differences(own.filter(F.col("population") == a))
+    n = focal.groupBy("chrom").agg(F.max(F.col("ref_n") + F.col("alt_n")).alias("n"))
+    seg = ((F.col("ref_n") > 0) & (F.col("alt_n") > 0)).cast("bigint")
+    d = placed(focal).groupBy("chrom", "w").agg(F.count(F.lit(1)).alias("n_sites"), F.sum(seg).alias("s"), F.sum("within").alias("diff")).join(F.broadcast(n), "chrom")
+    out = fst.join(d.select("chrom", "w", "n_sites", tajima_d(F.col("n"), F.col("s"), F.col("diff")).alias("tajima_d")), ["chrom", "w"], "left")
     start = F.col("first") + F.col("w") * window_bp
-    return out.select("chrom", start.alias("start"), "n_sites", ((t[0] + t[1] - t[2]) / 2).alias("pbs"))
+    return out.select("chrom", start.alias("start"), "n_sites", F.when(known, (t[0] + t[1] - t[2]) / 2).alias("pbs"), "tajima_d")
 
 
 def difference_windows(count: DataFrame, a, b, window_bp: int = 100_000) -> DataFrame:  # noqa: ANN001
@@ -78,7 +82,7 @@ def emissions(called: DataFrame, freqs: DataFrame, sources: list, targets: list,
     own = called.filter(F.col("population").isin(targets) & F.col("n_alt").isNotNull()).join(src, SITE, "left").join(F.broadcast(span), "chrom")
     aggs = []
     for i, s in enumerate(sources):
-        p = F.least(F.greatest(F.coalesce(F.col(str(s)), F.lit(0.5)), F.lit(1e-3)), F.lit(1 - 1e-3))
+        p = F.least(F.greatest(F.coalesce(F.col(str(s)), F.lit(0.5)), F.lit(EDGE)), F.lit(1 - EDGE))
         ll = F.when(F.col("n_alt") == 0, 2 * F.log(1 - p)).when(F.col("n_alt") == 2, 2 * F.log(p)).otherwise(F.log(2 * p * (1 - p)))
         aggs.append(F.sum(ll).alias(f"l{i}"))
     out = own.withColumn("w", F.floor((F.col("pos") - F.col("first")) / window_bp)).groupBy("sample_id", "chrom", "w").agg(F.first("first").alias("first"), F.count(F.lit(1)).alias("n_sites"), *aggs)

@@ -218,12 +218,16 @@ def sfs_folded(spark, d):
     return population.folded_spectrum(freqs(spark, d))
 
 
-@query("demography", """, b AS (SELECT population, max(ref_n + alt_n) AS n, count(*) AS sites, CAST(sum(CASE WHEN ref_n > 0 AND alt_n > 0 THEN 1 ELSE 0 END) AS BIGINT) AS s, sum(within) AS diff FROM f GROUP BY 1),
- a AS (SELECT *, list_sum([1.0::DOUBLE / i FOR i IN range(1, n)]) AS a1, list_sum([1.0::DOUBLE / (i * i) FOR i IN range(1, n)]) AS a2 FROM b),
- e AS (SELECT *, (n + 1) / (3.0::DOUBLE * (n - 1)) - 1 / a1 AS c1, 2.0::DOUBLE * (n * n + n + 3) / (9 * n * (n - 1)) - (n + 2) / (a1 * n) + a2 / (a1 * a1) AS c2 FROM a)
- SELECT population, CAST(n AS BIGINT) AS n, s AS segregating, round(s / a1 / sites, 6) AS theta_w, round(diff / sites, 6) AS pi, round((diff - s / a1) / sqrt(c1 / a1 * s + c2 / (a1 * a1 + a2) * s * (s - 1)), 6) AS tajima_d FROM e""")
+_TAJIMA = "CASE WHEN s >= 3 AND n > 2 THEN (diff - s / a1) / sqrt(((n + 1) / (3.0::DOUBLE * (n - 1)) - 1 / a1) / a1 * s + (2.0::DOUBLE * (n * n + n + 3) / (9 * n * (n - 1)) - (n + 2) / (a1 * n) + a2 / (a1 * a1)) / (a1 * a1 + a2) * s * (s - 1)) END"
+
+
+@query("demography", f""", b AS (SELECT population, max(ref_n + alt_n) AS n, CAST(sum(CASE WHEN ref_n > 0 AND alt_n > 0 THEN 1 ELSE 0 END) AS BIGINT) AS s, sum(within) AS diff, avg(within) AS mean FROM f GROUP BY 1), m AS (SELECT population, 2 * count(DISTINCT sample_id) AS m FROM c GROUP BY 1),
+ a AS (SELECT *, list_sum([1.0::DOUBLE / i FOR i IN range(1, n)]) AS a1, list_sum([1.0::DOUBLE / (i * i) FOR i IN range(1, n)]) AS a2, list_sum([1.0::DOUBLE / i FOR i IN range(1, m)]) AS am FROM b JOIN m USING (population))
+ SELECT population, CAST(m AS BIGINT) AS n_chromosomes, s AS n_segregating, round(mean, 6) AS mean_difference, round(s / am / 100000, 8) AS theta_w, round(diff / 100000, 8) AS pi, round({_TAJIMA}, 5) AS tajima_d, CAST(floor(diff / 100000 / 4e-8) AS BIGINT) AS ne FROM a""")
 def demography(spark, d):
-    return rounded(population.demography(freqs(spark, d)), "theta_w", "pi", "tajima_d")
+    c = called(spark, d)
+    out = rounded(rounded(population.demography(counts(c), c, 100_000, 1e-8), "mean_difference"), "theta_w", "pi", digits=8)
+    return longs(rounded(out, "tajima_d", digits=5), "n_chromosomes")
 
 
 # -- f-statistics -------------------------------------------------------------------------
@@ -338,20 +342,20 @@ def roh(spark, d):
     return longs(rounded(out, "f_roh"), "roh_bp", "segments")
 
 
-def _pbs_fst(i: int) -> str:
-    return f"least(greatest(n{i} / d{i}, 0), 0.9999)"
+def _pbs_t(i: int) -> str:
+    return f"-ln(1 - least(greatest(n{i} / d{i}, 0), 0.9999))"
 
 
-@query("pbs_windows", """, q AS (SELECT a.chrom, a.pos, a.p AS f0, b.p AS f1, e.p AS f2, a.within AS x0, b.within AS x1, e.within AS x2 FROM f a JOIN f b USING (chrom, pos) JOIN f e USING (chrom, pos) WHERE a.population = 0 AND b.population = 1 AND e.population = 2),
- fi AS (SELECT chrom, min(pos) AS first FROM q GROUP BY 1), x AS (SELECT q.chrom, first + (pos - first) // 100000 * 100000 AS start, count(*) AS n_sites,
- sum(1 - (f0 * f1 + (1 - f0) * (1 - f1)) - (x0 + x1) / 2) AS n0, sum(1 - (f0 * f1 + (1 - f0) * (1 - f1))) AS d0, sum(1 - (f0 * f2 + (1 - f0) * (1 - f2)) - (x0 + x2) / 2) AS n1, sum(1 - (f0 * f2 + (1 - f0) * (1 - f2))) AS d1,
- sum(1 - (f1 * f2 + (1 - f1) * (1 - f2)) - (x1 + x2) / 2) AS n2, sum(1 - (f1 * f2 + (1 - f1) * (1 - f2))) AS d2 FROM q JOIN fi USING (chrom) GROUP BY ALL)
- SELECT chrom, CAST(start AS BIGINT) AS start, CAST(n_sites AS BIGINT) AS n_sites, """ + f"round((-ln(1 - {_pbs_fst(0)}) - ln(1 - {_pbs_fst(1)}) + ln(1 - {_pbs_fst(2)})) / 2, 6) AS pbs FROM x WHERE n_sites >= 3 AND d0 > 1e-9 AND d1 > 1e-9 AND d2 > 1e-9")
+@query("pbs_windows", f""", {_HUD}, fi AS (SELECT chrom, min(pos) AS first FROM f GROUP BY 1), x AS (SELECT hu.chrom, (pos - first) // 100000 AS w, any_value(first) AS first, """ + ", ".join(f"sum(CASE WHEN pop1 = {p} AND pop2 = {q} THEN den - w END) AS n{i}, sum(CASE WHEN pop1 = {p} AND pop2 = {q} THEN den END) AS d{i}" for i, (p, q) in enumerate(((0, 1), (0, 2), (1, 2)))) + """ FROM hu JOIN fi USING (chrom) GROUP BY ALL),
+ mx AS (SELECT chrom, max(ref_n + alt_n) AS n FROM f WHERE population = 0 GROUP BY 1), td AS (SELECT f.chrom, (pos - first) // 100000 AS w, any_value(mx.n) AS n, count(*) AS n_sites, sum(CASE WHEN ref_n > 0 AND alt_n > 0 THEN 1 ELSE 0 END) AS s, sum(within) AS diff FROM f JOIN fi USING (chrom) JOIN mx ON mx.chrom = f.chrom WHERE population = 0 GROUP BY ALL),
+ ta AS (SELECT *, list_sum([1.0::DOUBLE / i FOR i IN range(1, n)]) AS a1, list_sum([1.0::DOUBLE / (i * i) FOR i IN range(1, n)]) AS a2 FROM td)
+ """ + f"SELECT x.chrom, CAST(first + x.w * 100000 AS BIGINT) AS start, CAST(n_sites AS BIGINT) AS n_sites, round(({_pbs_t(0)} + {_pbs_t(1)} - ({_pbs_t(2)})) / 2, 5) AS pbs, round({_TAJIMA}, 5) AS tajima_d FROM x JOIN ta USING (chrom, w) WHERE d0 > 1e-9 AND d1 > 1e-9 AND d2 > 1e-9")
 def pbs_windows(spark, d):
-    return longs(rounded(windows.pbs_windows(freqs(spark, d), [0, 1, 2], 100_000).filter("n_sites >= 3 and pbs is not null"), "pbs"), "start", "n_sites")
+    out = windows.pbs_windows(freqs(spark, d), [0, 1, 2], 100_000).filter("pbs is not null")
+    return longs(rounded(out, "pbs", "tajima_d", digits=5), "start", "n_sites")
 
 
-@query("window_emissions", """, sp AS (SELECT chrom, min(pos) AS first FROM sites GROUP BY 1), o AS (SELECT c.sample_id, c.chrom, first + (c.pos - first) // 200000 * 200000 AS start, n_alt, least(greatest(coalesce(a.p, 0.5), 1e-3), 0.999) AS q0, least(greatest(coalesce(b.p, 0.5), 1e-3), 0.999) AS q1 FROM c JOIN sp USING (chrom)
+@query("window_emissions", """, sp AS (SELECT chrom, min(pos) AS first FROM sites GROUP BY 1), o AS (SELECT c.sample_id, c.chrom, first + (c.pos - first) // 200000 * 200000 AS start, n_alt, least(greatest(coalesce(a.p, 0.5), 1e-6), 1 - 1e-6) AS q0, least(greatest(coalesce(b.p, 0.5), 1e-6), 1 - 1e-6) AS q1 FROM c JOIN sp USING (chrom)
  LEFT JOIN f a ON a.chrom = c.chrom AND a.pos = c.pos AND a.population = 0 LEFT JOIN f b ON b.chrom = c.chrom AND b.pos = c.pos AND b.population = 1 WHERE c.population = 2)
  SELECT sample_id, chrom, CAST(start AS BIGINT) AS start, CAST(count(*) AS BIGINT) AS n_sites, round(sum(CASE n_alt WHEN 0 THEN 2 * ln(1 - q0) WHEN 2 THEN 2 * ln(q0) ELSE ln(2 * q0 * (1 - q0)) END), 6) AS l0, round(sum(CASE n_alt WHEN 0 THEN 2 * ln(1 - q1) WHEN 2 THEN 2 * ln(q1) ELSE ln(2 * q1 * (1 - q1)) END), 6) AS l1 FROM o GROUP BY ALL HAVING count(*) >= 3""")
 def window_emissions(spark, d):
@@ -399,18 +403,24 @@ def dog_fraction(spark, d):
 _LL = "CASE n_alt WHEN 0 THEN 2 * ln(1 - q) WHEN 2 THEN 2 * ln(q) ELSE ln(2 * q * (1 - q)) END"
 
 
-@query("breed_loglik", f", x AS (SELECT sample_id, f.population AS panel, n_alt, least(greatest(p, 1e-4), 1 - 1e-4) AS q FROM c JOIN f USING (chrom, pos)), y AS (SELECT sample_id, panel, count(*) AS n_loci, sum({_LL}) AS loglik FROM x GROUP BY ALL), z AS (SELECT *, row_number() OVER w AS rank, loglik - lead(loglik) OVER w AS gap FROM y WINDOW w AS (PARTITION BY sample_id ORDER BY loglik DESC, panel)) SELECT sample_id, panel, CAST(n_loci AS BIGINT) AS n_loci, CAST(rank AS BIGINT) AS rank, round(loglik, 4) AS loglik, round(gap, 4) AS gap_to_next, coalesce(rank = 1 AND gap > 5.0, false) AS single FROM z WHERE rank <= 3")
+@query("breed_loglik", f""", nl AS (SELECT count(*) AS n FROM sites), po AS (SELECT chrom, pos, sum(alt_n) * 1.0::DOUBLE / sum(ref_n + alt_n) AS p FROM f GROUP BY ALL), x AS (SELECT sample_id, f.population AS panel, n_alt, least(greatest(p, 1e-4), 1 - 1e-4) AS q FROM c JOIN f USING (chrom, pos)),
+ y AS (SELECT sample_id, panel, count(*) AS n_loci, sum({_LL}) AS loglik FROM x GROUP BY ALL HAVING count(*) >= 0.2 * (SELECT n FROM nl)), px AS (SELECT sample_id, n_alt, least(greatest(p, 1e-4), 1 - 1e-4) AS q FROM c JOIN po USING (chrom, pos)), py AS (SELECT sample_id, sum({_LL}) AS any_ll FROM px GROUP BY 1),
+ z AS (SELECT *, row_number() OVER w AS rank, loglik - lead(loglik) OVER w AS gap_to_next, max(loglik) OVER (PARTITION BY sample_id) AS best FROM y WINDOW w AS (PARTITION BY sample_id ORDER BY loglik DESC, panel DESC))
+ SELECT sample_id, panel, CAST(n_loci AS BIGINT) AS n_loci, CAST(rank AS BIGINT) AS rank, round(loglik, 4) AS loglik, round(gap_to_next, 4) AS gap_to_next, round(any_ll, 4) AS any_loglik, round(best - any_ll, 4) AS gap, best - any_ll > 5 AS single FROM z JOIN py USING (sample_id) WHERE rank <= 3""")
 def breed_loglik(spark, d):
     c = called(spark, d)
-    out = mixture.ranked(mixture.panel_likelihoods(c, counts(c)), 3)
-    return longs(rounded(out, "loglik", "gap_to_next", digits=4), "rank")
+    f = counts(c)
+    pooled = f.groupBy(*SITE).agg((F.sum("alt_n") / F.sum(F.col("ref_n") + F.col("alt_n"))).alias("p"))
+    out = mixture.candidate_scores(c, f, pooled, n_sites(c), 3, least_share=0.2)
+    return longs(rounded(out, "loglik", "gap_to_next", "any_loglik", "gap", digits=4), "rank")
 
 
 @query("loo_assign", """, x AS (SELECT c.sample_id, c.population, f.population AS panel, n_alt, n_called - CAST(c.population = f.population AS INT) AS n, alt_n - CAST(c.population = f.population AS INT) * n_alt AS alt FROM c JOIN f USING (chrom, pos)),
- y AS (SELECT *, least(greatest((alt + 1) / (2.0::DOUBLE * n + 2), 1e-4), 1 - 1e-4) AS q FROM x WHERE n > 0), """ + f"z AS (SELECT sample_id, population, panel, count(*) AS n_loci, sum({_LL}) AS ll FROM y GROUP BY ALL), " + """tt AS (SELECT sample_id, count(*) AS m FROM c GROUP BY 1),
- k AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll / n_loci DESC, panel) AS rk, count(*) OVER (PARTITION BY sample_id) AS np FROM z JOIN tt USING (sample_id) WHERE n_loci >= 0.3 * m) SELECT sample_id, population, panel AS assigned, CAST(np AS BIGINT) AS n_panels, population = panel AS correct FROM k WHERE rk = 1""")
+ y AS (SELECT *, least(greatest((alt + 1) / (2.0::DOUBLE * n + 2), 1e-4), 1 - 1e-4) AS q FROM x WHERE n > 0), """ + f"z AS (SELECT sample_id, population, panel, count(*) AS n_loci, sum({_LL}) AS ll FROM y GROUP BY ALL HAVING count(*) >= 0.2 * (SELECT count(*) FROM sites)), " + """k AS (SELECT *, row_number() OVER w AS rk, ll - lead(ll) OVER w AS gap FROM z WINDOW w AS (PARTITION BY sample_id ORDER BY ll DESC, panel DESC))
+ SELECT sample_id, population, panel AS assigned, round(gap, 4) AS gap, population = panel AS correct FROM k WHERE rk = 1""")
 def loo_assign(spark, d):
-    return mixture.leave_one_out(called(spark, d), 0.3)
+    c = called(spark, d)
+    return rounded(mixture.leave_one_out(c, n_sites(c), 0.2), "gap", digits=4)
 
 
 _GRID_LL = "CASE n_alt WHEN 0 THEN 2 * ln(1 - q) WHEN 2 THEN 2 * ln(q) ELSE ln(2 * q * (1 - q)) END"
@@ -492,10 +502,12 @@ def batch_diagnostics(spark, d):
     return rounded(harmonize.batch_diagnostics(c, "batch", n_sites(c)), "mean_rate", "min_rate")
 
 
-@query("name_groups", "--rawSELECT kind, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT grp) AS BIGINT) AS n_groups FROM (SELECT grp, CASE WHEN regexp_matches(lower(grp), 'village|street|pariah') THEN 'village' WHEN regexp_matches(lower(grp), 'mix|cross|hybrid') THEN 'mixed' WHEN regexp_matches(lower(grp), 'wolf|coyote|jackal|dhole|fox') THEN 'wild' ELSE 'breed' END AS kind FROM (SELECT regexp_replace(p_brand || ['Wolf', 'VillageDog', 'Mix', 'Boxer'][p_partkey % 4 + 1] || p_partkey, '[0-9]+$', '') AS grp FROM part)) GROUP BY 1")
+@query("name_groups", """--rawSELECT kind, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT grp) AS BIGINT) AS n_groups FROM (SELECT grp, CASE WHEN grp = 'IrishWolfhound' THEN 'breed' WHEN regexp_matches(lower(grp), 'coyote|wolf|jackal|fox|dhole|lycaon|wilddog|dingo|ngsd|newguineasinging') THEN 'wild'
+ WHEN starts_with(grp, 'VillDog_') OR contains(lower(grp), 'indigenousdog') OR grp IN ('PER', 'BAN') THEN 'village' WHEN grp = 'CFA.' THEN 'ambiguous' WHEN regexp_matches(lower(grp), 'mix|unknown') THEN 'mixed' WHEN regexp_matches(grp, '[0-9]') OR length(grp) <= 3 OR grp = 'Helsinki_BC' THEN 'ambiguous' ELSE 'breed' END AS kind
+ FROM (SELECT regexp_replace(['GrayWolf', 'VillDog_A', 'PoodleMix', 'Boxer', 'PER', 'BC', 'IrishWolfhound', 'CFA.', 'B2x', 'Helsinki_BC'][p_partkey % 10 + 1] || p_partkey, '[0-9]+$', '') AS grp FROM part)) GROUP BY 1""")
 def name_groups(spark, d):
-    names = F.array(*[F.lit(x) for x in ("Wolf", "VillageDog", "Mix", "Boxer")])
-    grp = strings.group_name(F.concat("p_brand", F.element_at(names, (F.col("p_partkey") % 4 + 1).cast("int")), F.col("p_partkey").cast("string")))
+    names = F.array(*[F.lit(x) for x in ("GrayWolf", "VillDog_A", "PoodleMix", "Boxer", "PER", "BC", "IrishWolfhound", "CFA.", "B2x", "Helsinki_BC")])
+    grp = strings.group_name(F.concat(F.element_at(names, (F.col("p_partkey") % 10 + 1).cast("int")), F.col("p_partkey").cast("string")))
     each = table(spark, d, "part").select(grp.alias("grp")).withColumn("kind", strings.group_kind(F.col("grp")))
     return each.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("grp").alias("n_groups"))
 

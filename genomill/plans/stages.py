@@ -247,8 +247,9 @@ def selection(ctx, cfg):
 
 @STAGES.register("demography", takes=(*GENOTYPES, "sample_sheet"), makes=("demography", "sfs"), params={"mutation_rate": Param(0.0, 0), "callable_sites": Param(0, 0)})
 def demography(ctx, cfg):
-    c = counts(genotypes(ctx))
-    return {"demography": population.demography(c, mutation_rate=cfg["mutation_rate"]), "sfs": population.folded_spectrum(c)}
+    g = genotypes(ctx)
+    c = counts(g)
+    return {"demography": population.demography(c, g, cfg["callable_sites"], cfg["mutation_rate"]), "sfs": population.folded_spectrum(c)}
 
 
 @STAGES.register("pseudohaploid", needs=("genotypes",), makes=("pseudohaploid",), params={})
@@ -305,8 +306,10 @@ def breed_assign(ctx, cfg):
     panel = ctx.get("panel")
     big = panel.groupBy("population").agg(F.count_distinct("sample_id").alias("n")).filter(F.col("n") >= cfg["min_group"]).select("population")
     panel = panel.join(F.broadcast(big), "population", "left_semi")
-    scores = mixture.panel_likelihoods(ctx.get("calls"), population.laplace(panel))
-    return {"breed_scores": mixture.ranked(scores, cfg["top_k"], cfg["single_breed_gap"]), "breed_loo": mixture.leave_one_out(panel)}
+    n = panel.select(*SITE).distinct().count()
+    pooled = population.laplace(panel.withColumn("any", F.lit(0)), "any").select(*SITE, "p")
+    scores = mixture.candidate_scores(ctx.get("calls"), population.laplace(panel), pooled, n, cfg["top_k"], cfg["single_breed_gap"])
+    return {"breed_scores": scores, "breed_loo": mixture.leave_one_out(panel, n, min_group=cfg["min_group"])}
 
 
 @STAGES.register("multiway_admixture", needs=("calls", "panel_freqs"), makes=("mixture",), params={"base": Param(required=True), "one": Param(required=True), "two": Param(None), "step": Param(0.05, 0.005, 0.5), "min_panel_separation": Param(0.15, 0)})
