@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import textkernel as tk
-from .common import bounded_batches, ragged, steps
+from .common import bounded_batches, hold, ragged, steps
 
 #: Chunks of more characters than this are encoded by tree concatenation.
 LONG_CHUNK = 8192
@@ -202,6 +202,7 @@ def encoder(vocab: bytes) -> Encoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(vocab)
+    hold("bpe", _ENCODERS.clear)
     return _ENCODERS[key]
 
 
@@ -255,7 +256,7 @@ def encode(docs: DataFrame, vocab_path: str | None = None, *, decoded: bool = Fa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
         dec = Decoder(enc) if decoded else None
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             cols = [step.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
             if dec:
@@ -274,7 +275,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str | None = None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
         dec = Decoder(enc)
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(dec.id_digests(ids, at)), pa.array(dec.text_digests(ids, at))],

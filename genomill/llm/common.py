@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 _OWN: dict[str, str] = {}
 _DEFAULT: dict[str, str] = {}
 #: Text bytes that one step of a Python worker handles at a time.
-STEP_BYTES = 6 << 20
+STEP_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,11 +57,11 @@ def drop(*frames: DataFrame) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 16 MB, however long the texts are, unless the session has
+    """Arrow batches of at most 8 MB, however long the texts are, unless the session has
     set a bound of its own."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == _DEFAULT.setdefault(key, spark.conf.get(key)):
-        spark.conf.set(key, "16m")
+        spark.conf.set(key, "8m")
 
 
 def fold(doc_id: str | Column, mod: int) -> Column:
@@ -67,8 +69,33 @@ def fold(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % F.lit(mod)
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+#: What a worker keeps between tasks, by owner, and how to let it go.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, clear: Callable[[], None]) -> None:
+    _HELD[owner] = clear
+
+
+def only(owner: str = "") -> None:
+    """Lets go of what other operators' tasks have left in this worker."""
+    others = [k for k in _HELD if k != owner]
+    for k in others:
+        _HELD.pop(k)()
+    if others:
+        trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES, owner: str = "") -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose text column has about ``most`` bytes (one row at least)."""
+    only(owner)
     for batch in batches:
         col = batch.column(column)
         n = batch.num_rows
@@ -84,6 +111,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES
             j = max(i + 1, int(np.searchsorted(total, base + most, side="right")))
             yield batch.slice(i, j - i)
             i = j
+    trim()
 
 
 def ragged(values: np.ndarray, lens: np.ndarray, starts: np.ndarray) -> np.ndarray:

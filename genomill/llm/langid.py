@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, steps, table
+from .common import bounded_batches, fold, hold, steps, table
 
 #: Training sample: documents of each language (about), and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 600, 6_000
@@ -112,6 +112,7 @@ def _classifier(dictionaries: dict[str, bytes]) -> Classifier:
     if key not in _CLASSIFIERS:
         _CLASSIFIERS.clear()
         _CLASSIFIERS[key] = Classifier(dictionaries)
+    hold("language", _CLASSIFIERS.clear)
     return _CLASSIFIERS[key]
 
 
@@ -122,7 +123,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _classifier(sent.value)
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", owner="language"):
             rows = [model.classify(t, margin) for t in step.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), step.column("held_out"), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_())],
@@ -140,7 +141,7 @@ def filter_language(docs: DataFrame, dictionaries: dict[str, bytes], margin: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _classifier(sent.value)
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", owner="language"):
             yield step.filter(pa.array([not model.classify(t, margin)[2] for t in step.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

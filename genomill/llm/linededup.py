@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bounded_batches, maybe_in, ragged, save, steps, table
+from .common import bounded_batches, maybe_in, ragged, save, steps, table, trim
 
 #: Matches have 9 * intersection >= 4 * (sum of sizes), that is, Jaccard >= 0.8.
 IN, OF = 9, 4
@@ -246,6 +246,7 @@ def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.
     heads = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]])) if len(late) else late
     to = pa.array(np.append(heads, len(late)), pa.int32())
     y, x = lines[late[heads]], lines[early]
+    trim()
     return pa.table(
         {
             "doc": col["doc"][y],
@@ -317,6 +318,7 @@ def _confirm(lines: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
             same = np.bincount(p[1:][(p[1:] == p[:-1]) & (w[1:] == w[:-1])], minlength=len(a))
             done[b[IN * same >= OF * (size[a] + size[b])]] = True
         low, high = high, high * 4
+    trim()
     return pairs.loc[done[own] & (own >= 0), ["doc", "line"]].drop_duplicates()
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bounded_batches, maybe_in, save, steps, table
+from .common import bounded_batches, maybe_in, save, steps, table, trim
 from .components import connected_components
 
 SHINGLE = 5
@@ -178,6 +178,7 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataF
     for x in range(len(ids)):
         root[x] = find(x)
     joined = np.flatnonzero(root != np.arange(len(ids)))
+    trim()
     return pd.DataFrame({"a": ids[root[joined]], "b": ids[joined]})
 
 

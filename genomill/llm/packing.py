@@ -81,7 +81,7 @@ def cut(docs: DataFrame, vocab_path: str | None = None, capacity: int = CAPACITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
-        for step in steps(batches, "text"):
+        for step in steps(batches, "text", owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             n = len(at) - 1
             sizes = np.diff(at) + 1
