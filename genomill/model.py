@@ -12,12 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shipping import ship
+
 #: Allele balance of a homozygous call (fixed values).
 HOM_REF, HOM_ALT = 0.15, 0.85
 SITE = ["chrom", "pos"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -15,6 +15,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ship
 from .config import Config, Param, checked, digest
 
 
@@ -125,6 +126,7 @@ class Executor:
         plan = self.plan()
         if dry_run:
             return record | {"plan": [[s.name for s, _ in level] for level in plan]}
+        ship(self.spark)
         for level in plan:
             def one(item: tuple[Stage, dict]) -> tuple[Stage, dict]:
                 return item[0], self._stage(ctx, *item, prints)
