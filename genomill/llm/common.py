@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 _OWN: dict[str, str] = {}
 _DEFAULT: dict[str, str] = {}
 #: Text bytes that one step of a Python worker handles at a time.
@@ -23,6 +25,7 @@ STEP_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -59,6 +62,7 @@ def drop(*frames: DataFrame) -> None:
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 8 MB, however long the texts are, unless the session has
     set a bound of its own."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == _DEFAULT.setdefault(key, spark.conf.get(key)):
         spark.conf.set(key, "8m")

@@ -9,7 +9,10 @@ there is nothing to go by.
 Texts are folded first (lower case; ASCII characters other than letters become spaces; a
 word repeated at once is taken once), and
 compressed whole, in blocks of ``BLOCK`` bytes that each start from the dictionary, so
-that a long text weighs all its parts alike.
+that a long text weighs all its parts alike.  Where the margin is below ``CLOSE`` a second
+look decides: a higher level, and a run of zeros after each block, without which the
+compressor would store short texts as they are.  A text is narrow if its second look is
+within ``MARGIN``.
 
 Null texts and texts without a letter: ``und``, score 0, rejected.  Without any training
 language every text is ``und``.  Ties go to the language that sorts first.
@@ -33,8 +36,10 @@ SAMPLE_DOCS, SAMPLE_CHARS = 600, 6_000
 DICTIONARY = 224 << 10
 LEVEL = 3
 BLOCK = 64 << 10
-#: Margins below this are narrow.
-MARGIN = 0.004
+#: Margins below this get a second look, with this level and so many zeros; second looks
+#: below the other are narrow.
+CLOSE, CLOSE_LEVEL, ZEROS = 0.03, 9, bytes(4096)
+MARGIN = 0.001
 
 _LETTER = re.compile(r"[^\W\d_]")
 _ASCII = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -77,31 +82,43 @@ def train(docs: DataFrame, test_mod: int = 5, sample_docs: int = SAMPLE_DOCS, sa
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL) -> None:
+        self.langs = sorted(dictionaries)
+        self.dictionaries = dictionaries
+        self.compressors = self._compressors(level)
+        self.close: list = []
+
+    def _compressors(self, level: int) -> list:
         import zstandard as z
 
-        self.langs = sorted(dictionaries)
-        self.compressors = []
+        out = []
         for lang in self.langs:
-            d = z.ZstdCompressionDict(dictionaries[lang], dict_type=z.DICT_TYPE_RAWCONTENT)
+            d = z.ZstdCompressionDict(self.dictionaries[lang], dict_type=z.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
-            self.compressors.append(z.ZstdCompressor(dict_data=d, level=level, write_checksum=False, write_content_size=False, write_dict_id=False))
+            out.append(z.ZstdCompressor(dict_data=d, level=level, write_checksum=False, write_content_size=False, write_dict_id=False))
+        return out
 
-    def sizes(self, text: str) -> list[int]:
+    def sizes(self, text: str, close: bool = False) -> list[int]:
         b = normal(text)
         blocks = [b[i : i + BLOCK] for i in range(0, len(b), BLOCK)]
+        if close:
+            self.close = self.close or self._compressors(CLOSE_LEVEL)
+            return [sum(len(c.compress(x + ZEROS)) for x in blocks) for c in self.close]
         return [sum(len(c.compress(x)) for x in blocks) for c in self.compressors]
 
+    def _best(self, sizes: list[int]) -> tuple[str, float]:
+        best, second = sorted(sizes)[:2]
+        return self.langs[sizes.index(best)], (second - best) / max(second, 1)
+
     def classify(self, text: str | None, margin: float = MARGIN) -> tuple[str, float, bool]:
         if not self.langs or text is None or not _LETTER.search(text):
             return "und", 0.0, True
-        sizes = self.sizes(text)
-        best = min(sizes)
-        lang = self.langs[sizes.index(best)]
-        if len(sizes) == 1:
-            return lang, 1.0, False
-        second = sorted(sizes)[1]
-        score = (second - best) / max(second, 1)
-        return lang, score, score < margin
+        if len(self.langs) == 1:
+            return self.langs[0], 1.0, False
+        lang, score = self._best(self.sizes(text))
+        if score < CLOSE:
+            lang, score = self._best(self.sizes(text, close=True))
+            return lang, score, score < margin
+        return lang, score, False
 
 
 _CLASSIFIERS: dict[int, Classifier] = {}
