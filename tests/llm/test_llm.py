@@ -278,6 +278,19 @@ def test_near_vectors(vectors, spark):
     assert pivots.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_near_vectors_of_a_dense_group(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:2000] = math.sqrt(0.97) * x[5999] + math.sqrt(0.03) * x[:2000]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.95).sum(axis=1) - 1
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>").repartition(4)
+    got = {r["vec_id"]: r for r in pivots.near_duplicates(table).collect()}
+    assert [got[i]["n_links"] for i in range(6000)] == links.tolist()
+    assert all(got[i]["component_id"] == 0 for i in np.flatnonzero(links) if i < 2000)
+
+
 def test_neighbours(vectors):
     own = usable(vectors)
     got = {}
