@@ -241,8 +241,8 @@ def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.
             pair, one = np.unique(late * len(lines) + early, return_index=True)
             kept.append(_best(pair // len(lines), pair % len(lines), apart[one], carried, seen))
             if len(kept) > 64:
-                kept = [_best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, None)]
-    late, early, _ = _best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, None, first=True) if kept else (np.empty(0, np.int64),) * 3
+                kept = [_best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, seen)]
+    late, early, _ = _best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, seen) if kept else (np.empty(0, np.int64),) * 3
     heads = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]])) if len(late) else late
     to = pa.array(np.append(heads, len(late)), pa.int32())
     y, x = lines[late[heads]], lines[early]
@@ -258,7 +258,7 @@ def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.
     )
 
 
-def _best(late: np.ndarray, early: np.ndarray, apart: np.ndarray, carried: int | None, seen: np.ndarray | None, first: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _best(late: np.ndarray, early: np.ndarray, apart: np.ndarray, carried: int | None, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each late line's earliest candidate and its ``carried`` nearest others, in that order;
     ``seen`` counts the candidates that are let go."""
     pair, one = np.unique(late * (int(early.max()) + 1 if len(early) else 1) + early, return_index=True)
@@ -272,7 +272,7 @@ def _best(late: np.ndarray, early: np.ndarray, apart: np.ndarray, carried: int |
         start = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]])) if len(late) else late
         nth = np.arange(len(late)) - np.repeat(start, np.diff(np.append(start, len(late))))
         keep = nth <= carried
-        np.add.at(seen, late[~keep], 1) if seen is not None else None
+        np.add.at(seen, late[~keep], 1)
         late, early, apart = late[keep], early[keep], apart[keep]
     return late, early, apart
 

@@ -363,6 +363,18 @@ def test_line_candidates_beyond_those_carried():
     assert all(x[0] == share[d][0] for d, x in zip(few["doc"].to_pylist(), few["xdoc"].to_pylist(), strict=True))
 
 
+@pytest.mark.parametrize("pairs", [1, 40, 1 << 19])
+def test_line_candidates_let_go_between_batches(pairs, monkeypatch):
+    monkeypatch.setattr(linededup, "PAIRS", pairs)
+    n = 100  # equal lines of one list: each is a candidate of all that follow
+    col = {"token": np.zeros(n, np.uint64), "doc": np.arange(n), "line": np.zeros(n, np.int64), "size": np.full(n, 20), "pos": np.zeros(n, np.int64), "open": np.ones(n, bool)}
+    col |= {f"b{k}": np.zeros(n, np.uint64) for k in range(linededup.MAP_WORDS)} | {c: np.zeros(n, np.int64) for c in ("i", "j", "block")}
+    got = linededup.candidates(col, 5)
+    assert got["doc"].to_pylist() == list(range(1, n))
+    assert [len(x) for x in got["xdoc"].to_pylist()] == [min(d, 6) for d in range(1, n)]
+    assert got["more"].to_pylist() == [d > 6 for d in range(1, n)]
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_near_documents(docs, spark, percent):
     rng = random.Random(12)
