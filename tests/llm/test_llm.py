@@ -328,10 +328,21 @@ def near_texts(rng, n=14):
 
 @pytest.mark.parametrize("tight", [False, True])
 def test_line_dedup(docs, spark, tight, monkeypatch):
+    opened = []
     if tight:  # few lines a block and one candidate carried, so that every way is taken
         monkeypatch.setattr(linededup, "BLOCK", 3)
+        monkeypatch.setattr(linededup, "CARRIED", 0)
+        ways = linededup._open_lists
+        monkeypatch.setattr(linededup, "_open_lists", lambda p, rest: opened.append(rest.count()) or ways(p, rest))
     rng = random.Random(11)
-    more = spark.createDataFrame([(500 + i, t, "en", "s") for i, t in enumerate(near_texts(rng, 30))], "doc_id bigint, text string, lang string, source string")
+    texts, base = near_texts(rng, 30), [f"base{k}" for k in range(300)]
+    for i in range(30 * tight):  # long lines, not quite similar: their maps tell little
+        w = list(base)
+        for k in rng.sample(range(300), 43):
+            w[k] = f"w{i}x{k}"
+        texts.append(" ".join(w))
+    texts += [t[: -len("rest of it")] + "changed" for t in texts[45:48]]
+    more = spark.createDataFrame([(500 + i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")
     every = docs.select("doc_id", "text", "lang", "source").unionByName(more)
     lines = [(d, k, frozenset(words(x))) for d, t in sorted(texts_of(every).items()) for k, x in enumerate((t or "").split("\n"))]
     lines = [x for x in lines if x[2]]
@@ -342,12 +353,35 @@ def test_line_dedup(docs, spark, tight, monkeypatch):
     got = {r["doc_id"]: r for r in linededup.removed_lines(every).collect()}
     assert {d: r["removed"] for d, r in got.items() if r["removed"]} == gone
     assert {d: r["n_lines"] for d, r in got.items()} == Counter(d for d, _, _ in lines)
-    if not tight:
+    if tight:
+        assert opened and opened[0] > 0
+    else:
         kept = linededup.without_lines(docs, linededup.removed_lines(docs))
         assert kept.columns == docs.columns
         assert linededup.removed_lines(empty(spark)).count() == 0
 
 
+def test_lines_of_repeated_rows(spark):
+    a, b, c = "one two three four five", "six seven eight nine ten", "red green blue black white"
+    rows = [(1, f"{a}\n{b}"), (2, a), (2, a), (3, c), (3, c), (4, f"{c}\n\nten nine eight seven six five"), (5, "zz yy xx"), (5, b), (6, None), (6, ""), (None, a), (7, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    removed = linededup.removed_lines(docs)
+    got = {r["doc_id"]: (r["n_lines"], r["removed"]) for r in removed.collect()}
+    assert got == {1: (2, []), 2: (1, [0]), 3: (1, []), 4: (2, [0, 2]), 5: (1, [0])}
+    kept = sorted(((r["doc_id"], r["text"]) for r in linededup.without_lines(docs, removed).collect()), key=str)
+    assert kept == sorted([(1, f"{a}\n{b}"), (3, c), (3, c), (6, None), (6, ""), (None, a), (7, "  ")], key=str)
+
+
+def test_counts_of_words_are_exact():
+    n = np.zeros(linededup.CHUNK, np.int64)
+    n[[3, 9, 70]] = [1, 255, 3_000_000]
+    sums = np.zeros(linededup.CHUNK, np.int64)
+    for _ in range(40):
+        linededup._add_counts(sums, linededup._packed_counts(n))
+    assert (sums == 40 * n).all()
+    assert (linededup.most_of(linededup.rarity_of(sums)) >= sums).all() and linededup.rarity_of(np.array([1]))[0] == linededup.SCALE
+
+
 def test_line_candidates_beyond_those_carried():
     rng = np.random.default_rng(3)
     sets = [rng.choice(60, 20, replace=False) for _ in range(60)]
