@@ -135,12 +135,19 @@ def rotations(freqs: DataFrame, outgroup) -> DataFrame:  # noqa: ANN001
     return each.groupBy("x", "y", "t").agg(F.count(F.lit(1)).alias("n_sites"), F.avg((F.col("p_x") - F.col("p_y")) * (F.col("p_t") - F.col("o"))).alias("f4"))
 
 
-def f3_matrix(freqs: DataFrame, outgroup) -> DataFrame:  # noqa: ANN001
-    """Mean (o - a)(o - b) of all pairs, a = b included."""
+def f3_matrix(freqs: DataFrame, outgroup, n_blocks: int | None = None) -> DataFrame:  # noqa: ANN001
+    """Mean (o - a)(o - b) of all pairs, a = b included; with ``n_blocks`` also its delete-one
+    error over so many runs of sites of equal number."""
     o = freqs.filter((F.col("population") == outgroup) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias("o"))
-    own = freqs.filter((F.col("population") != outgroup) & F.col("p").isNotNull()).join(o, SITE).select(*SITE, F.col("population").alias("i"), (F.col("o") - F.col("p")).alias("x"))
+    if n_blocks:
+        o = block_of(o, "sites", n_blocks=n_blocks)
+    extra = ["block"] if n_blocks else []
+    own = freqs.filter((F.col("population") != outgroup) & F.col("p").isNotNull()).join(o, SITE).select(*SITE, *extra, F.col("population").alias("i"), (F.col("o") - F.col("p")).alias("x"))
     pairs = own.join(own.select(*SITE, F.col("i").alias("j"), F.col("x").alias("y")), SITE).filter("i <= j")
-    return pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_sites"), F.avg(F.col("x") * F.col("y")).alias("f3"))
+    if not n_blocks:
+        return pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_sites"), F.avg(F.col("x") * F.col("y")).alias("f3"))
+    sums = block_sums(pairs.select("i", "j", "block", (F.col("x") * F.col("y")).alias("num"), F.lit(1.0).alias("den")), ["i", "j"])
+    return jackknife(sums, ["i", "j"]).select("i", "j", "n_sites", F.col("estimate").alias("f3"), "se", "z")
 
 
 def auto_outgroup(freqs: DataFrame) -> DataFrame:
@@ -161,44 +168,66 @@ def fd_windows(freqs: DataFrame, quartet: list, window_bp: int = 100_000, min_si
     num, den = d_terms(p1, p2, p3, po)[0], d_terms(p1, donor, donor, po)[0]
     out = each.groupBy("chrom", "w").agg(F.first("first").alias("first"), F.count(F.lit(1)).alias("n_sites"), F.sum(num).alias("num"), F.sum(den).alias("den")).filter(F.col("n_sites") >= min_sites)
     start = F.col("first") + F.col("w") * window_bp
-    return out.select("chrom", start.alias("start"), (start + window_bp).alias("end"), "n_sites", F.when(F.col("den") != 0, F.col("num") / F.col("den")).alias("f_d"))
+    return out.select("chrom", start.alias("start"), (start + window_bp).alias("end"), "n_sites", F.when(F.abs(F.col("den")) > 1e-12, F.col("num") / F.col("den")).alias("f_d"))
 
 
-def qpadm(freqs: DataFrame, target, sources: list, rights: list) -> dict:  # noqa: ANN001
-    """Weights of the sources in the target by least squares on f4(target, S0; R0, Ri), with
-    delete-one errors by contig and a chi-squared test.  Spark sums each block's terms in one
-    pass; the rest works on (blocks x sources x rights) numbers on the driver."""
+def qpadm(freqs: DataFrame, target, sources: list, rights: list, **block) -> dict:  # noqa: ANN001
+    """Weights of the sources in the target by least squares on f4(target, S0; R0, Ri) against
+    f4(Ss, S0; R0, Ri), S0 taking the rest.  Errors, and the covariance of what the fit leaves,
+    are those of a weighted block jackknife that refits without each block; the chi-squared
+    test looks at the ``len(rights) - len(sources)`` directions in which they vary most.
+
+    Spark sums each block's terms in one pass; the rest works on (blocks x sources x rights)
+    numbers on the driver.  At least two sources, as many rights, two blocks and sources that
+    the rights tell apart are needed."""
     import numpy as np
 
     from ..functions.special import chi2_sf
 
+    if len(sources) < 2 or len(rights) < len(sources):
+        raise ValueError("at least two sources, and no fewer rights than sources, are needed")
     pops = [target, *sources, *rights]
-    rows = block_of(wide(freqs, pops))
+    rows = block_of(wide(freqs, pops), **block)
     p = {x: F.col(f"p{i}") for i, x in enumerate(pops)}
-    left = [p[target] - p[sources[0]], *[p[s] - p[sources[0]] for s in sources[1:]]]
+    left = [p[x] - p[sources[0]] for x in (target, *sources[1:])]
     right = [p[rights[0]] - p[r] for r in rights[1:]]
     sums = [F.sum(a * b).alias(f"t{i}_{j}") for i, a in enumerate(left) for j, b in enumerate(right)]
     got = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"), *sums).orderBy("block").collect()
-    n = np.array([r["n"] for r in got], float)
-    t = np.array([[[r[f"t{i}_{j}"] for j in range(len(right))] for i in range(len(left))] for r in got])
-
-    def solve(total: np.ndarray) -> np.ndarray:
-        y, m = total[0], total[1:].T
-        w = np.linalg.lstsq(m, y, rcond=None)[0] if m.shape[1] else np.empty(0)
-        return np.concatenate([[1 - w.sum()], w])
-
-    whole, g = t.sum(axis=0), len(n)
-    est = solve(whole / n.sum())
-    minus = np.array([solve((whole - t[b]) / (n.sum() - n[b])) for b in range(g)])
-    se = np.sqrt((g - 1) / g * ((minus - minus.mean(axis=0)) ** 2).sum(axis=0))
-
-    def residual(total: np.ndarray, size: float) -> np.ndarray:
-        x = total / size
-        return x[0] - est[1:] @ x[1:]
-
-    r = residual(whole, n.sum())
-    loo = np.array([residual(whole - t[b], n.sum() - n[b]) for b in range(g)])
-    cov = (g - 1) / g * (loo - loo.mean(axis=0)).T @ (loo - loo.mean(axis=0))
-    dof = len(rights) - len(sources)
-    chi = float(r @ np.linalg.pinv(cov) @ r)
-    return {"weights": dict(zip(sources, est, strict=True)), "se": dict(zip(sources, se, strict=True)), "chisq": chi, "dof": dof, "p": chi2_sf(chi, dof)}
+    if len(got) < 2:
+        raise ValueError("at least two blocks are needed")
+    size = np.array([r["n"] for r in got], float)
+    terms = np.array([[[r[f"t{i}_{j}"] for j in range(len(right))] for i in range(len(left))] for r in got])
+    total, n = terms.sum(axis=0), size.sum()
+
+    def fit(mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weights of all sources, what the fit leaves of the target's f4)."""
+        own, of = mean[0], mean[1:].T
+        w = np.linalg.lstsq(of, own, rcond=None)[0]
+        return np.array([1 - w.sum(), *w]), own - of @ w
+
+    if np.linalg.matrix_rank(total[1:] / n) < len(sources) - 1:
+        raise ValueError("the rights do not tell the sources apart")
+    weights, rest = fit(total / n)
+    without = [fit((total - t) / (n - m)) for t, m in zip(terms, size, strict=True)]
+    h = (n / size)[:, None]
+
+    def deviations(whole: np.ndarray, minus: np.ndarray) -> np.ndarray:
+        """Pseudovalues less their centre, a row for each block, of unit weight."""
+        centre = len(size) * whole - ((1 - 1 / h) * minus).sum(axis=0)
+        return (h * whole - (h - 1) * minus - centre) / np.sqrt(h - 1)
+
+    se = np.sqrt((deviations(weights, np.array([w for w, _ in without])) ** 2).mean(axis=0))
+    dof, chi = len(rights) - len(sources), 0.0
+    if dof:
+        dev = deviations(rest, np.array([r for _, r in without]))
+        values, axes = np.linalg.eigh(dev.T @ dev / len(size))
+        chi = float(((axes[:, -dof:].T @ rest) ** 2 / values[-dof:]).sum())
+    return {
+        "weights": dict(zip(sources, weights.tolist(), strict=True)),
+        "se": dict(zip(sources, se.tolist(), strict=True)),
+        "chisq": chi,
+        "dof": dof,
+        "p": chi2_sf(chi, dof) if dof else None,
+        "n_sites": int(n),
+        "n_blocks": len(size),
+    }

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SITE, wide
+from ..shipping import ship
 
 FLOOR = 1e-4
+#: Loci whose likelihoods are held for a whole grid at a time.
+PART = 500
 
 
 def clipped(p: Column, floor: float = FLOOR) -> Column:
@@ -48,6 +55,25 @@ def panel_likelihoods(calls: DataFrame, freqs: DataFrame) -> DataFrame:
     return both.groupBy("sample_id", "panel").agg(F.count(F.lit(1)).alias("n_loci"), F.sum(log_pmf(F.col("n_alt"), F.col("p"))).alias("loglik"))
 
 
+def blended(freqs: DataFrame, parts: dict, shares: DataFrame) -> DataFrame:  # noqa: ANN001
+    """sample_id, chrom, pos, panel, p: each panel's frequencies, blended with those of other
+    populations.  ``parts`` maps a population to the column of ``shares(sample_id, ...)`` that
+    is its share; the panel has the rest.  Sites known in all of them."""
+    out = freqs.filter("p is not null").select(*SITE, F.col("population").alias("panel"), F.col("p").alias("own"))
+    total, left = F.lit(0.0), F.lit(1.0)
+    for i, (pop, share) in enumerate(parts.items()):
+        out = out.join(freqs.filter((F.col("population") == pop) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias(f"q{i}")), SITE)
+        total, left = total + F.col(share) * F.col(f"q{i}"), left - F.col(share)
+    # The samples asked about are few: they are named by the caller.
+    return out.join(F.broadcast(shares)).select("sample_id", *SITE, "panel", (total + left * F.col("own")).alias("p"))
+
+
+def blended_likelihoods(calls: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Log-likelihood of each sample under each of its blends, and the number of loci used."""
+    both = calls.filter("n_alt is not null").select(*SITE, "sample_id", "n_alt").join(mixed, ["sample_id", *SITE])
+    return both.groupBy("sample_id", "panel").agg(F.count(F.lit(1)).alias("n_loci"), F.sum(log_pmf(F.col("n_alt"), F.col("p"))).alias("loglik"))
+
+
 def ranked(scores: DataFrame, top: int = 5, value: str = "loglik") -> DataFrame:
     """The best panels of each sample with their lead on the next; of equal ones the larger
     name comes first."""
@@ -61,7 +87,12 @@ def candidate_scores(calls: DataFrame, freqs: DataFrame, pooled: DataFrame, n_lo
     Panels known at too few loci do not compete.  ``single``: the best panel explains the
     sample better than the pool by more than ``gap``."""
     own = panel_likelihoods(calls, freqs).filter(F.col("n_loci") >= least_share * n_loci)
-    pool = panel_likelihoods(calls, pooled.withColumn("population", F.lit("any"))).select("sample_id", F.col("loglik").alias("any_loglik"))
+    return beside_pool(own, panel_likelihoods(calls, pooled.withColumn("population", F.lit("any"))), top, gap)
+
+
+def beside_pool(own: DataFrame, pool: DataFrame, top: int = 5, gap: float = 5.0) -> DataFrame:
+    """The best of the likelihoods ``own`` of each sample, beside that of its pool."""
+    pool = pool.select("sample_id", F.col("loglik").alias("any_loglik"))
     best = own.groupBy("sample_id").agg(F.max("loglik").alias("best"))
     out = ranked(own, top).join(best, "sample_id").join(pool, "sample_id", "left").withColumn("gap", F.col("best") - F.col("any_loglik"))
     return out.withColumn("single", F.col("gap") > gap).drop("best")
@@ -115,6 +146,58 @@ def mixture_grid(calls: DataFrame, freqs: DataFrame, base, one, two=None, step:
     return top.select("sample_id", "n_loci", *cols, F.col("best.ll").alias("loglik"))
 
 
+def alleles(calls: DataFrame) -> DataFrame:
+    """sample_id, chrom, pos, alt, ref (alleles) and const (the binomial constants) of calls;
+    samples that share an id are a cohort, taken as one."""
+    g = F.col("n_alt")
+    return calls.filter("n_alt is not null").groupBy("sample_id", *SITE).agg(F.sum(g).alias("alt"), F.sum(2 - g).alias("ref"), F.sum(F.when(g == 1, math.log(2.0)).otherwise(0.0)).alias("const"))
+
+
+def blend_grid(counted: DataFrame, freqs: DataFrame, base, one, two=None, step: float = 0.01, reps: int = 0, seed: int = 0) -> DataFrame:  # noqa: ANN001
+    """Maximum-likelihood shares of ``one`` (and ``two``) against ``base`` for each id of
+    ``alleles``, the first maximum in order of the first share, then the second; with ``reps``
+    also 2.5 and 97.5 percentiles over resampled loci.  A locus counts Poisson(1) times in a
+    replicate, by a hash.  The grid stays in the workers: loci x grid numbers of ``PART`` loci
+    at a time, and replicates x grid sums of each id."""
+    k = round(1 / step)
+    at = lambda pop, name: freqs.filter((F.col("population") == pop) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias(name))
+    loci = at(base, "b").join(at(one, "x"), SITE)
+    loci = loci.join(at(two, "y"), SITE) if two is not None else loci.withColumn("y", F.lit(0.0))
+    points = np.array([(i, j) for i in range(k + 1) for j in (range(k + 1 - i) if two is not None else [0])]) / k
+    cuts = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(8)])
+
+    def fit(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("chrom", "ascending"), ("pos", "ascending")])
+        sums = np.zeros((reps + 1, len(points)))
+        alt, ref, const, b, x, y, h = (rows.column(c).to_numpy().astype(np.uint64 if c == "h" else float) for c in ("alt", "ref", "const", "b", "x", "y", "h"))
+        for s in range(0, len(alt), PART):
+            o = slice(s, s + PART)
+            p = np.clip(b[o, None] + (x - b)[o, None] * points[:, 0] + (y - b)[o, None] * points[:, 1] * (two is not None), FLOOR, 1 - FLOOR)
+            ll = alt[o, None] * np.log(p) + ref[o, None] * np.log(1 - p) + const[o, None]
+            u = h[o, None] ^ (np.arange(1, reps + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+            for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                u = (u ^ (u >> np.uint64(shift))) * np.uint64(times)
+            w = np.searchsorted(cuts, (u >> np.uint64(11)) / float(1 << 53), side="right")
+            sums += np.concatenate([np.ones((1, len(ll))), w.T]) @ ll
+        # Rounded, so that equal likelihoods tie whatever their rounding errors.
+        best = np.argmax(np.round(sums, 9), axis=1)
+        low, high = (np.percentile(points[best[1:]], q, axis=0) if reps else (None, None) for q in (2.5, 97.5))
+        out = {"sample_id": rows.column("sample_id")[:1], "n_loci": [len(alt)], "share_one": [points[best[0], 0]]}
+        if two is not None:
+            out["share_two"] = [points[best[0], 1]]
+        out["loglik"] = [sums[0, best[0]]]
+        if reps:
+            for i, name in enumerate(("one", "two")[: 1 + (two is not None)]):
+                out |= {f"{name}_low": [low[i]], f"{name}_high": [high[i]]}
+        return pa.table(out)
+
+    names = ["one", "two"][: 1 + (two is not None)]
+    schema = "sample_id string, n_loci bigint, " + "".join(f"share_{n} double, " for n in names) + "loglik double" + "".join(f", {n}_low double, {n}_high double" for n in names if reps)
+    own = counted.withColumn("sample_id", F.col("sample_id").cast("string")).join(loci, SITE).withColumn("h", F.xxhash64(F.lit(seed), *SITE))
+    ship(counted.sparkSession)
+    return own.groupBy("sample_id").applyInArrow(fit, schema)
+
+
 def bootstrap_interval(calls: DataFrame, freqs: DataFrame, source, base, reps: int = 100, seed: int = 0, least_gap: float = 0.4) -> DataFrame:  # noqa: ANN001
     """2.5 and 97.5 percentiles of the source fraction over resampled loci.  A locus' weight in
     a replicate is Poisson(1), drawn from a hash, so replicates are sums of one pass."""

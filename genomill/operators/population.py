@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SITE
+from . import dense
 
 EARTH_KM = 6371.0088
 
@@ -63,16 +62,19 @@ def fst(count: DataFrame) -> DataFrame:
 
 def distance(called: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
     """Mean allele difference of pairs of samples over the given sites; a missing call counts
-    as homozygous reference.  Only called genotypes are joined: a pair's sum over all sites is
-    ``sum a + sum b - 2 sum min(a, b)``."""
-    own = called.join(sites, SITE, "left_semi").select(*SITE, "sample_id", F.coalesce("n_alt", F.lit(0)).alias("g")).filter("g > 0")
-    n = sites.agg(F.count(F.lit(1)).alias("n"))
-    sums = samples.select("sample_id").join(own.groupBy("sample_id").agg(F.sum("g").alias("s")), "sample_id", "left").fillna(0, ["s"])
-    both = own.select(*SITE, F.col("sample_id").alias("s1"), "g").join(own.select(*SITE, F.col("sample_id").alias("s2"), F.col("g").alias("h")), SITE)
-    shared = both.filter("s1 < s2").groupBy("s1", "s2").agg(F.sum(F.least("g", "h")).alias("m"))
-    pairs = sums.select(F.col("sample_id").alias("s1"), F.col("s").alias("a")).join(sums.select(F.col("sample_id").alias("s2"), F.col("s").alias("b")), F.col("s1") < F.col("s2"))
-    out = pairs.join(shared, ["s1", "s2"], "left").join(F.broadcast(n))
-    return out.select("s1", "s2", ((F.col("a") + F.col("b") - 2 * F.coalesce("m", F.lit(0))) / (2 * F.col("n"))).alias("distance"))
+    as homozygous reference.  Sites are vectors over samples; the result has samples**2 rows."""
+    called = called.persist()
+    kind = dict(samples.dtypes)["sample_id"]
+    try:
+        ids = dense.sample_ids(samples)
+        every = sorted({*ids, *dense.sample_ids(called)})
+        got = dense.pair_sums(called, sites, every, dense.differences).get("")
+    finally:
+        called.unpersist()
+    n = int(got[1, 0, 0]) if got is not None else 0
+    at = {x: i for i, x in enumerate(every)}
+    rows = [(a, b, float(got[0, at[a], at[b]]) / (2 * n) if n else None) for i, a in enumerate(ids) for b in ids[i + 1 :]]
+    return called.sparkSession.createDataFrame(rows, f"s1 {kind}, s2 {kind}, distance double")
 
 
 def folded_spectrum(count: DataFrame) -> DataFrame:
@@ -139,23 +141,24 @@ def adjusted_rand(labels: DataFrame, a: str, b: str) -> DataFrame:
 def gl_em(likelihoods: DataFrame, rounds: int = 60, tol: float = 1e-7) -> DataFrame:
     """ALT frequency of each site and population by EM over phred likelihoods (``pl``, three
     numbers), under Hardy-Weinberg from 0.5; all-zero likelihoods are missing.  A site's
-    likelihoods are folded into one array, and the rounds are an expression over it."""
+    likelihoods are folded into one array, and the rounds are an expression over it; a site
+    and population whose frequency moves by less than ``tol`` is done."""
     weight = F.transform("pl", lambda x: F.pow(F.lit(10.0), -x / 10))
     good = likelihoods.filter("pl[0] + pl[1] + pl[2] > 0").withColumn("w", weight)
     sites = good.groupBy(*SITE, "population").agg(F.collect_list("w").alias("ws"))
 
-    def step(p: Column, _: Column) -> Column:
+    def step(state: Column, _: Column) -> Column:
+        p = state["p"]
+
         def expected(w: Column) -> Column:
             a, b, c = w[0] * (1 - p) * (1 - p), w[1] * 2 * p * (1 - p), w[2] * p * p
             return (b + 2 * c) / (a + b + c)
 
-        return F.aggregate(F.col("ws"), F.lit(0.0), lambda acc, w: acc + expected(w)) / (2 * F.size("ws"))
-
-    return sites.select(*SITE, "population", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(0.5), step).alias("p"))
-
+        new = F.aggregate(F.col("ws"), F.lit(0.0), lambda acc, w: acc + expected(w)) / (2 * F.size("ws"))
+        return F.when(state["moves"], F.struct(new.alias("p"), (F.abs(new - p) >= tol).alias("moves"))).otherwise(state)
 
-def watterson_a(n: int) -> float:
-    return math.fsum(1 / i for i in range(1, n))
+    start = F.struct(F.lit(0.5).alias("p"), F.lit(True).alias("moves"))
+    return sites.select(*SITE, "population", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, lambda state: state["p"]).alias("p"))
 
 
 def median_top(frame: DataFrame, key: str, value: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import is_autosome
 from ..model import SITE
+from . import dense
 
 
 def sample_metrics(calls: DataFrame, samples: DataFrame, n_sites: int | F.Column, least: float = 0.5) -> DataFrame:
@@ -80,11 +81,17 @@ def marker_panel(sites: DataFrame, target: int) -> DataFrame:
 
 
 def concordance(calls: DataFrame, least_sites: int = 100, threshold: float = 0.98) -> DataFrame:
-    """Pairs of samples whose calls agree at ``threshold`` of the sites both have called."""
-    a = calls.filter("n_alt is not null").select(*SITE, F.col("sample_id").alias("s1"), F.col("n_alt").alias("g1"))
-    b = calls.filter("n_alt is not null").select(*SITE, F.col("sample_id").alias("s2"), F.col("n_alt").alias("g2"))
-    pairs = a.join(b, SITE).filter("s1 < s2").groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n_sites"), F.avg((F.col("g1") == F.col("g2")).cast("double")).alias("concordance"))
-    return pairs.filter((F.col("n_sites") >= least_sites) & (F.col("concordance") >= threshold))
+    """Pairs of samples whose calls agree at ``threshold`` of the sites both have called.
+    Sites are vectors over samples; the result has at most samples**2 rows."""
+    calls = calls.persist()
+    kind = dict(calls.dtypes)["sample_id"]
+    try:
+        ids = dense.sample_ids(calls)
+        got = dense.pair_sums(calls, None, ids, dense.agreements).get("")
+    finally:
+        calls.unpersist()
+    rows = [(a, b, int(got[0, i, j]), float(got[1, i, j] / got[0, i, j])) for i, a in enumerate(ids) for j, b in enumerate(ids) if i < j and got[0, i, j] >= max(1, least_sites) and got[1, i, j] / got[0, i, j] >= threshold]
+    return calls.sparkSession.createDataFrame(rows, f"s1 {kind}, s2 {kind}, n_sites bigint, concordance double")
 
 
 def pseudohaploid(calls: DataFrame, seed: int = 0) -> DataFrame:

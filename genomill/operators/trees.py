@@ -6,9 +6,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..model import SITE
+from . import dense
 
 
 @dataclass
@@ -81,40 +80,47 @@ def newick(root: Node, support: dict[frozenset[str], float] | None = None) -> st
     return go(root, True)
 
 
-def block_distances(called: DataFrame, sites: DataFrame, by: str = "chrom") -> DataFrame:
-    """Sums of allele differences of pairs of samples per block: block, s1, s2, d, n.  A
-    missing call counts as homozygous reference."""
-    own = called.join(sites, SITE, "left_semi").select(*SITE, "sample_id", F.coalesce("n_alt", F.lit(0)).alias("g")).filter("g > 0")
-    samples = called.select("sample_id").distinct()
-    n = sites.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    sums = own.groupBy(by, "sample_id").agg(F.sum("g").alias("s"))
-    grid = n.join(samples).join(sums, [by, "sample_id"], "left").fillna(0, ["s"])
-    both = own.select(*SITE, F.col("sample_id").alias("s1"), "g").join(own.select(*SITE, F.col("sample_id").alias("s2"), F.col("g").alias("h")), SITE).filter("s1 < s2")
-    shared = both.groupBy(by, "s1", "s2").agg(F.sum(F.least("g", "h")).alias("m"))
-    pairs = grid.select(by, "n", F.col("sample_id").alias("s1"), F.col("s").alias("a")).join(grid.select(by, F.col("sample_id").alias("s2"), F.col("s").alias("b")), by).filter("s1 < s2")
-    out = pairs.join(shared, [by, "s1", "s2"], "left")
-    return out.select(F.col(by).alias("block"), "s1", "s2", ((F.col("a") + F.col("b") - 2 * F.coalesce("m", F.lit(0))) / 2).alias("d"), "n")
+def block_distances(called: DataFrame, sites: DataFrame, by: str = "chrom") -> tuple[list, np.ndarray, np.ndarray]:
+    """(sample ids, differences of all pairs in each block, sites of each block), blocks in
+    order of their names.  A missing call counts as homozygous reference."""
+    called = called.persist()
+    try:
+        ids = dense.sample_ids(called)
+        got = dense.pair_sums(called, sites, ids, dense.differences, by)
+    finally:
+        called.unpersist()
+    keys = sorted(got)
+    n = np.array([got[k][1, 0, 0] for k in keys])
+    return ids, np.array([got[k][0] for k in keys]).reshape(len(keys), len(ids), len(ids)) / 2, n
+
+
+def supported(tree: Node, others: list[Node]) -> dict[frozenset[str], float]:
+    """Percent of the other trees that have each split of the tree."""
+    seen = dict.fromkeys(splits(tree), 0)
+    for o in others:
+        for s in splits(o) & seen.keys():
+            seen[s] += 1
+    return {s: 100 * c / max(len(others), 1) for s, c in seen.items()}
 
 
-def bootstrap_tree(blocks: DataFrame, replicates: int = 100, seed: int = 0) -> tuple[Node, dict[frozenset[str], float]]:
+def bootstrap_tree(blocks: tuple[list, np.ndarray, np.ndarray], replicates: int = 100, seed: int = 0) -> tuple[Node, dict[frozenset[str], float]]:
     """(tree, percent support of its splits): replicates weigh block sums, so sites are read
     once however many there are."""
-    rows = blocks.collect()
-    names = sorted({r["s1"] for r in rows} | {r["s2"] for r in rows})
-    keys = sorted({r["block"] for r in rows})
-    at, of = {s: i for i, s in enumerate(names)}, {b: i for i, b in enumerate(keys)}
-    d, n = np.zeros((len(keys), len(names), len(names))), np.zeros(len(keys))
-    for r in rows:
-        i, j, b = at[r["s1"]], at[r["s2"]], of[r["block"]]
-        d[b, i, j] = d[b, j, i] = r["d"]
-        n[b] = r["n"]
-    labels = [str(s) for s in names]
+    ids, d, n = blocks
+    labels, rng = [str(s) for s in ids], np.random.default_rng(seed)
+    draws = [np.bincount(rng.integers(0, len(n), len(n)), minlength=len(n)) for _ in range(replicates)]
     tree = neighbour_joining(d.sum(axis=0) / max(n.sum(), 1), labels)
-    own = splits(tree)
-    seen = dict.fromkeys(own, 0)
-    rng = np.random.default_rng(seed)
-    for _ in range(replicates):
-        w = np.bincount(rng.integers(0, len(keys), len(keys)), minlength=len(keys))
-        for s in splits(neighbour_joining(np.tensordot(w, d, 1) / max((w * n).sum(), 1), labels)) & own:
-            seen[s] += 1
-    return tree, {s: 100 * c / max(replicates, 1) for s, c in seen.items()}
+    return tree, supported(tree, [neighbour_joining(np.tensordot(w, d, 1) / max((w * n).sum(), 1), labels) for w in draws])
+
+
+def site_bootstrap_tree(called: DataFrame, sites: DataFrame, replicates: int = 100, seed: int = 0) -> tuple[Node, dict[frozenset[str], float]]:
+    """As ``bootstrap_tree`` with sites as the units that are drawn: a site counts Poisson(1)
+    times in a replicate, so that all replicates are sums of one pass."""
+    called = called.persist()
+    try:
+        ids = dense.sample_ids(called)
+        got = dense.pair_sums(called, sites, ids, dense.resampled_differences(replicates, seed))[""]
+    finally:
+        called.unpersist()
+    made = [neighbour_joining(x[0] / 2 / max(x[1, 0, 0], 1), [str(s) for s in ids]) for x in got]
+    return made[0], supported(made[0], made[1:])

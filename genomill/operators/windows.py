@@ -7,10 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SITE, wide
+from ..shipping import ship
+from . import dense
 from .population import hudson_terms, tajima_d, with_differences
 
 #: Source frequencies stay this far from 0 and 1.
@@ -162,31 +165,30 @@ def greedy_prune(pos: np.ndarray, calls: np.ndarray, window_bp: int, r2: float)
     return np.array(kept, int)
 
 
-def ld_prune(called: DataFrame, n_samples: int, window_bp: int = 500_000, r2: float = 0.8) -> DataFrame:
+def ld_prune(called: DataFrame, n_samples: int, window_bp: int = 500_000, r2: float = 0.8, ids: list | None = None) -> DataFrame:
     """Sites that greedy pruning keeps, contig by contig: what is kept depends on what was
-    kept before, so a contig is one task; its sites are arrays, not rows per sample."""
-    rank = called.select("sample_id").distinct().withColumn("s", F.dense_rank().over(Window.orderBy("sample_id")) - 1)
-    sites = called.join(F.broadcast(rank), "sample_id").groupBy(*SITE).agg(F.collect_list(F.struct("s", "n_alt")).alias("g"))
+    kept before, so a contig is one task; its sites are arrays of bytes, one row each.
+    ``ids``: all sample ids, if they are known already."""
+    if n_samples < 4:
+        return called.select(*SITE).distinct()
+    ids, kind = dense.sample_ids(called) if ids is None else ids, dict(called.dtypes)
+    ship(called.sparkSession)
 
-    def prune(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos").reset_index(drop=True)
-        calls = np.full((len(rows), n_samples), -1)
-        for i, g in enumerate(rows["g"]):
-            for c in g:
-                calls[i, c["s"]] = -1 if c["n_alt"] is None else c["n_alt"]
-        keep = greedy_prune(rows["pos"].to_numpy(), calls, window_bp, r2) if n_samples >= 4 else np.arange(len(rows))
-        return rows.loc[keep, ["chrom", "pos"]]
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = dense.matrix_of(batch, ids)
+            yield pa.RecordBatch.from_arrays([batch.column("chrom"), batch.column("pos"), pa.array([r.tobytes() for r in g], pa.binary())], names=["chrom", "pos", "g"])
 
-    return sites.groupBy("chrom").applyInPandas(prune, "chrom bigint, pos bigint")
+    def prune(sites: pa.Table) -> pa.Table:
+        sites = sites.sort_by("pos")
+        calls = np.frombuffer(b"".join(sites.column("g").to_pylist()), np.int8).reshape(sites.num_rows, len(ids))
+        return sites.select(SITE).take(pa.array(greedy_prune(sites.column("pos").to_numpy(), calls, window_bp, r2)))
+
+    schema = f"chrom {kind['chrom']}, pos {kind['pos']}"
+    return dense.vectors(called).mapInArrow(rows, f"{schema}, g binary").groupBy("chrom").applyInArrow(prune, schema)
 
 
 def scatter(contigs: DataFrame, window: int = 10_000_000) -> DataFrame:
     """Half-open intervals that tile ``contigs(chrom, length)``."""
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(window).cast("bigint")))
     return contigs.filter("length > 0").select("chrom", "length", starts.alias("start")).select("chrom", "start", F.least(F.col("start") + window, F.col("length")).alias("end"))
-
-
-
-
-def frequency_matrix(freqs: DataFrame, populations: list) -> DataFrame:
-    return wide(freqs, populations)

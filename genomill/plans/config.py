@@ -90,17 +90,21 @@ def checked(stage: str, params: dict[str, Param], given: dict) -> dict:
 
 @dataclass
 class Config:
-    """``pipeline``: stage names in order; ``stages``: their parameters."""
+    """``pipeline``: stage names in order; ``stages``: their parameters; ``root``: the folder of
+    relative paths.  A file system's scheme may stand before any path."""
 
     pipeline: list[str]
     stages: dict[str, dict] = field(default_factory=dict)
     run_dir: str = "runs"
     seed: int = 0
     fail_fast: bool = True
+    root: str = "."
+    name: str = ""
 
     @classmethod
     def of(cls, raw: dict) -> Config:
-        known = {"pipeline", "stages", "run_dir", "seed", "fail_fast"}
+        known = {"pipeline", "stages", "run_dir", "seed", "fail_fast", "paths", "project_name", "logging"}
         if extra := set(raw) - known:
             raise ValueError(f"unknown settings: {', '.join(sorted(extra))}")
-        return cls(list(raw.get("pipeline", [])), dict(raw.get("stages", {})), raw.get("run_dir", "runs"), int(raw.get("seed", 0)), bool(raw.get("fail_fast", True)))
+        paths = raw.get("paths") or {}
+        return cls(list(raw.get("pipeline", [])), dict(raw.get("stages", {})), raw.get("run_dir") or paths.get("run_dir", "runs"), int(raw.get("seed", 0)), bool(raw.get("fail_fast", True)), paths.get("root", "."), raw.get("project_name", ""))

@@ -20,7 +20,7 @@ _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 #: The genotype view as SQL: g depths, c calls, s samples, f counts and frequencies.
-VIEW = """WITH g AS (SELECT CAST(l_partkey % 38 + 1 AS BIGINT) AS chrom,
+VIEW = """WITH RECURSIVE g AS (SELECT CAST(l_partkey % 38 + 1 AS BIGINT) AS chrom,
  CAST(((l_partkey - l_partkey % 38) / 38 + 1) * 10000 AS BIGINT) AS pos, CAST(l_partkey AS BIGINT) AS site_ord,
  CAST(c_nationkey AS BIGINT) AS sample_id, CAST(n_regionkey AS BIGINT) AS population, count(*) AS depth,
  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS alt_count
@@ -140,9 +140,9 @@ def marker_panel(spark, d):
 _PAIRS = "pr AS (SELECT a.sample_id AS s1, b.sample_id AS s2, count(*) AS n_sites, avg(CASE WHEN a.n_alt = b.n_alt THEN 1.0::DOUBLE ELSE 0 END) AS concordance FROM c a JOIN c b USING (chrom, pos) WHERE a.sample_id < b.sample_id GROUP BY ALL)"
 
 
-@query("near_duplicates", f", {_PAIRS} SELECT s1, s2, CAST(n_sites AS BIGINT) AS n_sites, round(concordance, 6) AS concordance FROM pr WHERE n_sites >= 50 AND concordance >= 0.55")
+@query("near_duplicates", f", {_PAIRS} SELECT s1, s2, CAST(n_sites AS BIGINT) AS n_sites, round(concordance, 6) AS concordance FROM pr WHERE n_sites >= 50 AND concordance >= 0.44")
 def near_duplicates(spark, d):
-    return rounded(quality.concordance(called(spark, d), 50, 0.55), "concordance")
+    return rounded(quality.concordance(called(spark, d), 50, 0.44), "concordance")
 
 
 @query("pseudohaploid")
@@ -303,16 +303,16 @@ def d_panel(spark, d):
     return _jack_cols(fstats.statistic(freqs(spark, d), [0, 1, 2, OUT], fstats.panel_d_terms, weighted=True))
 
 
-@query("f4_ratio", f", {_wide_sql(0, 4, 1, 2, 3)}, bs AS (SELECT chrom AS block, sum((p0 - p1) * (p2 - p4)) AS num, sum((p0 - p1) * (p3 - p4)) AS den, count(*) AS n FROM w GROUP BY ALL), {_WJACK} SELECT round(estimate, 4) AS estimate, CAST(g AS BIGINT) AS n_blocks, CAST(n_sites AS BIGINT) AS n_sites FROM r")
+@query("f4_ratio", f", {_wide_sql(0, 4, 1, 2, 3)}, bs AS (SELECT chrom AS block, sum((p0 - p1) * (p2 - p4)) AS num, sum((p0 - p1) * (p3 - p4)) AS den, count(*) AS n FROM w GROUP BY ALL), {_WJACK} SELECT {_JOUT} FROM r")
 def f4_ratio(spark, d):
     out = fstats.f4_ratio(freqs(spark, d), 0, OUT, 1, 2, 3, weighted=True)
-    return longs(rounded(out.select("estimate", "n_blocks", "n_sites"), "estimate", digits=4), "n_blocks", "n_sites")
+    return _jack_cols(out)
 
 
-@query("paired_f4_diff", f", {_wide_sql(0, 4, 1, 2, 3)}, bs AS (SELECT chrom AS block, sum((p0 - p1) * (p2 - p3)) AS num, sum((p0 - p1) * (p3 - p4)) AS den, count(*) AS n FROM w GROUP BY ALL), {_WJACK} SELECT round(estimate, 4) AS estimate, CAST(g AS BIGINT) AS n_blocks, CAST(n_sites AS BIGINT) AS n_sites FROM r")
+@query("paired_f4_diff", f", {_wide_sql(0, 4, 1, 2, 3)}, bs AS (SELECT chrom AS block, sum((p0 - p1) * (p2 - p3)) AS num, sum((p0 - p1) * (p3 - p4)) AS den, count(*) AS n FROM w GROUP BY ALL), {_WJACK} SELECT {_JOUT} FROM r")
 def paired_f4_diff(spark, d):
     out = fstats.statistic(freqs(spark, d), [0, OUT, 1, 2, 3], lambda a, o, x, y, c: ((a - o) * (x - y), (a - o) * (y - c)), weighted=True)
-    return longs(rounded(out.select("estimate", "n_blocks", "n_sites"), "estimate", digits=4), "n_blocks", "n_sites")
+    return _jack_cols(out)
 
 
 @query("auto_outgroup", "SELECT a.population, round(avg(abs(a.p - b.p)), 6) AS difference FROM f a JOIN f b USING (chrom, pos) WHERE a.population <> b.population GROUP BY 1")
@@ -323,10 +323,10 @@ def auto_outgroup(spark, d):
 @query("fd_windows", f""", {_wide_sql(0, 1, 2, 4)}, fi AS (SELECT chrom, min(pos) AS first FROM w GROUP BY 1), x AS (SELECT w.*, first, (pos - first) // 100000 AS k, greatest(p1, p2) AS dn FROM w JOIN fi USING (chrom)),
  y AS (SELECT chrom, first + k * 100000 AS start, count(*) AS n_sites, sum((1 - p0) * p1 * p2 * (1 - p3) + p0 * (1 - p1) * (1 - p2) * p3 - p0 * (1 - p1) * p2 * (1 - p3) - (1 - p0) * p1 * (1 - p2) * p3) AS num,
  sum((1 - p0) * dn * dn * (1 - p3) + p0 * (1 - dn) * (1 - dn) * p3 - p0 * (1 - dn) * dn * (1 - p3) - (1 - p0) * dn * (1 - dn) * p3) AS den FROM x GROUP BY ALL HAVING count(*) >= 3)
- SELECT chrom, CAST(start AS BIGINT) AS start, CAST(start + 100000 AS BIGINT) AS "end", CAST(n_sites AS BIGINT) AS n_sites, round(num / den, 4) AS f_d FROM y WHERE abs(den) > 1e-9""")
+ SELECT chrom, CAST(start AS BIGINT) AS start, CAST(start + 100000 AS BIGINT) AS "end", CAST(n_sites AS BIGINT) AS n_sites, round(num / den, 4) AS f_d FROM y WHERE abs(den) > 1e-12""")
 def fd_windows(spark, d):
     out = fstats.fd_windows(freqs(spark, d), [0, 1, 2, OUT], 100_000, 3)
-    return longs(rounded(out.filter("f_d is not null and abs(f_d) < 1e9"), "f_d", digits=4), "start", "end", "n_sites")
+    return longs(rounded(out.filter("f_d is not null"), "f_d", digits=4), "start", "end", "n_sites")
 
 
 # -- windows ------------------------------------------------------------------------------
@@ -380,7 +380,7 @@ def ld_pairs(spark, d):
 
 @query("ld_prune")
 def ld_prune(spark, d):
-    return windows.ld_prune(called(spark, d), 25, 100_000, 0.5)
+    return windows.ld_prune(called(spark, d), 25, 100_000, 0.5, list(range(25)))
 
 
 @query("scatter_intervals", "--rawSELECT CAST(p_size AS BIGINT) AS chrom, CAST(s AS BIGINT) AS start, CAST(least(s + 1000, n) AS BIGINT) AS \"end\" FROM (SELECT p_size, count(*) * 37 AS n FROM part GROUP BY 1), unnest(range(0, n, 1000)) AS t(s)")
@@ -426,19 +426,19 @@ def loo_assign(spark, d):
 _GRID_LL = "CASE n_alt WHEN 0 THEN 2 * ln(1 - q) WHEN 2 THEN 2 * ln(q) ELSE ln(2 * q * (1 - q)) END"
 
 
-@query("mixture_grid", """, lo AS (SELECT a.chrom, a.pos, a.p AS b, x.p AS x FROM f a JOIN f x USING (chrom, pos) WHERE a.population = 1 AND x.population = 0 AND abs(a.p - x.p) >= 0.15), o AS (SELECT sample_id, n_alt, i, least(greatest(b * ((20 - i) / 20.0::DOUBLE) + x * (i / 20.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), range(0, 21) r(i)),
- """ + f"y AS (SELECT sample_id, i, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i) AS rk FROM y) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 20.0::DOUBLE, 4) AS share_one, round(ll, 4) AS loglik FROM z WHERE rk = 1")
+@query("mixture_grid", """, lo AS (SELECT a.chrom, a.pos, a.p AS b, x.p AS x FROM f a JOIN f x USING (chrom, pos) WHERE a.population = 1 AND x.population = 0 AND abs(a.p - x.p) >= 0.15), o AS (SELECT sample_id, n_alt, i, least(greatest(b * ((100 - i) / 100.0::DOUBLE) + x * (i / 100.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), range(0, 101) r(i)),
+ """ + f"y AS (SELECT sample_id, i, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i) AS rk FROM y) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 100.0::DOUBLE, 4) AS share_one, round(ll, 4) AS loglik FROM z WHERE rk = 1")
 def mixture_grid(spark, d):
     c = called(spark, d)
-    return rounded(mixture.mixture_grid(c, counts(c), 1, 0, step=0.05), "share_one", "loglik", digits=4)
+    return rounded(mixture.mixture_grid(c, counts(c), 1, 0, step=0.01), "share_one", "loglik", digits=4)
 
 
 @query("mixture_grid_3way", """, lo AS (SELECT a.chrom, a.pos, a.p AS b, x.p AS x, y.p AS y FROM f a JOIN f x USING (chrom, pos) JOIN f y USING (chrom, pos) WHERE a.population = 2 AND x.population = 0 AND y.population = 1 AND (abs(a.p - x.p) >= 0.15 OR abs(a.p - y.p) >= 0.15)),
- gr AS (SELECT i, j FROM range(0, 11) r(i), range(0, 11) s(j) WHERE i + j <= 10), o AS (SELECT sample_id, n_alt, i, j, least(greatest(b * ((10 - i - j) / 10.0::DOUBLE) + x * (i / 10.0::DOUBLE) + y * (j / 10.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), gr),
- """ + f"t AS (SELECT sample_id, i, j, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i, j) AS rk FROM t) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 10.0::DOUBLE, 4) AS share_one, round(j / 10.0::DOUBLE, 4) AS share_two, round(ll, 4) AS loglik FROM z WHERE rk = 1")
+ gr AS (SELECT i, j FROM range(0, 21) r(i), range(0, 21) s(j) WHERE i + j <= 20), o AS (SELECT sample_id, n_alt, i, j, least(greatest(b * ((20 - i - j) / 20.0::DOUBLE) + x * (i / 20.0::DOUBLE) + y * (j / 20.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), gr),
+ """ + f"t AS (SELECT sample_id, i, j, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i, j) AS rk FROM t) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 20.0::DOUBLE, 4) AS share_one, round(j / 20.0::DOUBLE, 4) AS share_two, round(ll, 4) AS loglik FROM z WHERE rk = 1")
 def mixture_grid_3way(spark, d):
     c = called(spark, d)
-    return rounded(mixture.mixture_grid(c, counts(c), 2, 0, 1, step=0.1), "share_one", "share_two", "loglik", digits=4)
+    return rounded(mixture.mixture_grid(c, counts(c), 2, 0, 1, step=0.05), "share_one", "share_two", "loglik", digits=4)
 
 
 @query("bootstrap_ci")
@@ -575,19 +575,18 @@ def covered_genome(spark, d):
 _EM = "list_sum([(w[2] * 2 * {p} * (1 - {p}) + 2 * w[3] * {p} * {p}) / (w[1] * (1 - {p}) * (1 - {p}) + w[2] * 2 * {p} * (1 - {p}) + w[3] * {p} * {p}) FOR w IN ws]) / (2 * len(ws))"
 
 
-def _em_sql(rounds: int) -> str:
-    steps = ["e0 AS (SELECT chrom, pos, population, list([pow(10.0::DOUBLE, -pl[1] / 10.0::DOUBLE), pow(10.0::DOUBLE, -pl[2] / 10.0::DOUBLE), pow(10.0::DOUBLE, -pl[3] / 10.0::DOUBLE)]) AS ws, 0.5::DOUBLE AS p FROM (SELECT chrom, pos, population, [least(255, 30 * alt_count), least(255, 10 * abs(depth - 2 * alt_count)), least(255, 30 * (depth - alt_count))] AS pl FROM g WHERE pos <= 100000) WHERE pl[1] + pl[2] + pl[3] > 0 GROUP BY ALL)"]
-    for i in range(rounds):
-        steps.append(f"e{i + 1} AS (SELECT chrom, pos, population, ws, {_EM.format(p=f'e{i}.p')} AS p FROM e{i})")
-    return ", ".join(steps) + f" SELECT chrom, pos, population, round(p, 5) AS p FROM e{rounds}"
+_EM_SQL = f""", e0 AS (SELECT chrom, pos, population, list([pow(10.0::DOUBLE, -pl[1] / 10.0::DOUBLE), pow(10.0::DOUBLE, -pl[2] / 10.0::DOUBLE), pow(10.0::DOUBLE, -pl[3] / 10.0::DOUBLE)] ORDER BY sample_id) AS ws FROM (SELECT chrom, pos, population, sample_id, [least(255, 30 * alt_count), least(255, 10 * abs(depth - 2 * alt_count)), least(255, 30 * (depth - alt_count))] AS pl FROM g) WHERE pl[1] + pl[2] + pl[3] > 0 GROUP BY ALL),
+ em AS (SELECT 0 AS i, *, 0.5::DOUBLE AS p, true AS moves FROM e0 UNION ALL SELECT i + 1, chrom, pos, population, ws, q AS p, abs(q - p) >= 1e-7 AS moves FROM (SELECT *, {_EM.format(p="em.p")} AS q FROM em WHERE moves AND i < 60)),
+ last AS (SELECT chrom, pos, population, arg_max(p, i) AS p FROM em GROUP BY ALL)
+ SELECT chrom, pos, population, round(p, 5) AS p FROM last"""
 
 
-@query("gl_em_freq", ", " + _em_sql(8))
+@query("gl_em_freq", _EM_SQL)
 def gl_em_freq(spark, d):
     depth, alt = F.col("depth"), F.col("alt_count")
     cap = lambda x: F.least(F.lit(255), x).cast("int")
-    rows = read_depths(spark, d).filter("pos <= 100000").select(*SITE, "population", F.array(cap(30 * alt), cap(10 * F.abs(depth - 2 * alt)), cap(30 * (depth - alt))).alias("pl"))
-    return rounded(population.gl_em(rows, 8), "p", digits=5)
+    rows = read_depths(spark, d).select(*SITE, "population", F.array(cap(30 * alt), cap(10 * F.abs(depth - 2 * alt)), cap(30 * (depth - alt))).alias("pl"))
+    return rounded(population.gl_em(rows), "p", digits=5)
 
 
 # -- reports, joins, parsing --------------------------------------------------------------
@@ -679,16 +678,16 @@ def pca(spark, d):
 @query("admixture_nmf")
 def admixture_nmf(spark, d):
     c = called(spark, d)
-    ids, x = matrix.dosages(c, quality.site_subsample(quality.segregating(c), 2000, 7))
-    q = matrix.admixture(x, 3, 100)
+    ids, x = matrix.dosages(c, quality.site_subsample(quality.segregating(c), 20_000, 7))
+    q = matrix.admixture(x, 3)
     return spark.createDataFrame([(int(s), *map(float, r)) for s, r in zip(ids, q, strict=True)], "sample_id bigint, q1 double, q2 double, q3 double")
 
 
 @query("admixture_k")
 def admixture_k(spark, d):
     c = called(spark, d)
-    _, x = matrix.dosages(c, quality.site_subsample(quality.segregating(c), 1000, 7))
-    errors = matrix.choose_k(x, [2, 3, 4], rounds=50, replicates=2)
+    _, x = matrix.dosages(c, quality.site_subsample(quality.segregating(c), 20_000, 7))
+    errors = matrix.choose_k(x, [2, 3, 4, 5, 6], rounds=250, replicates=3)
     best = min(errors, key=errors.get)
     return spark.createDataFrame([(k, float(e), k == best) for k, e in errors.items()], "k bigint, error double, best boolean")
 
@@ -707,10 +706,27 @@ def nj_tree(spark, d):
     return spark.createDataFrame([(trees.newick(tree, support), len(support))], "newick string, n_splits bigint")
 
 
-@query("qpadm")
+#: Regions and halves of nations: ten groups.  Two sources and three rights leave one direction
+#: to test, so that least squares and the larger axis of a 2 x 2 covariance are formulas.
+_QPADM = """, h AS (SELECT chrom, pos, population * 2 + sample_id % 2 AS k, sum(n_alt) / (2.0::DOUBLE * count(*)) AS p FROM c GROUP BY ALL),
+ w AS (SELECT chrom, pos, any_value(p) FILTER (k = 0) AS t, any_value(p) FILTER (k = 2) AS s0, any_value(p) FILTER (k = 4) AS s1, any_value(p) FILTER (k = 8) AS r0, any_value(p) FILTER (k = 6) AS r1, any_value(p) FILTER (k = 1) AS r2 FROM h GROUP BY ALL),
+ b AS (SELECT chrom, count(*) AS n, sum((t - s0) * (r0 - r1)) AS y1, sum((t - s0) * (r0 - r2)) AS y2, sum((s1 - s0) * (r0 - r1)) AS m1, sum((s1 - s0) * (r0 - r2)) AS m2 FROM w WHERE t + s0 + s1 + r0 + r1 + r2 IS NOT NULL GROUP BY chrom),
+ a AS (SELECT *, sum(n) OVER () AS nn, count(*) OVER () AS g, sum(y1) OVER () AS ty1, sum(y2) OVER () AS ty2, sum(m1) OVER () AS tm1, sum(m2) OVER () AS tm2 FROM b),
+ f1 AS (SELECT *, nn * 1.0::DOUBLE / n AS hh, (ty1 * tm1 + ty2 * tm2) / (tm1 * tm1 + tm2 * tm2) AS x, ((ty1 - y1) * (tm1 - m1) + (ty2 - y2) * (tm2 - m2)) / ((tm1 - m1) * (tm1 - m1) + (tm2 - m2) * (tm2 - m2)) AS xb FROM a),
+ f2 AS (SELECT *, (ty1 - x * tm1) / nn AS e1, (ty2 - x * tm2) / nn AS e2, (ty1 - y1 - xb * (tm1 - m1)) / (nn - n) AS e1b, (ty2 - y2 - xb * (tm2 - m2)) / (nn - n) AS e2b FROM f1),
+ f3 AS (SELECT *, (hh * x - (hh - 1) * xb - g * x + sum((1 - 1 / hh) * xb) OVER ()) / sqrt(hh - 1) AS dx, (hh * e1 - (hh - 1) * e1b - g * e1 + sum((1 - 1 / hh) * e1b) OVER ()) / sqrt(hh - 1) AS d1, (hh * e2 - (hh - 1) * e2b - g * e2 + sum((1 - 1 / hh) * e2b) OVER ()) / sqrt(hh - 1) AS d2 FROM f2),
+ f4 AS (SELECT any_value(x) AS x, any_value(e1) AS e1, any_value(e2) AS e2, any_value(nn) AS nn, any_value(g) AS g, sqrt(avg(dx * dx)) AS se, avg(d1 * d1) AS ca, avg(d1 * d2) AS cb, avg(d2 * d2) AS cc FROM f3),
+ f5 AS (SELECT *, (ca + cc) / 2 + sqrt((ca - cc) * (ca - cc) / 4 + cb * cb) AS top FROM f4)
+ SELECT CAST(source AS BIGINT) AS source, round(CASE WHEN source = 4 THEN x ELSE 1 - x END, 4) AS weight, round(se, 4) AS se, round((cb * e1 + (top - ca) * e2) * (cb * e1 + (top - ca) * e2) / (cb * cb + (top - ca) * (top - ca)) / top, 3) AS chisq, CAST(1 AS BIGINT) AS dof, CAST(nn AS BIGINT) AS n_sites, CAST(g AS BIGINT) AS n_blocks FROM f5, (VALUES (2), (4)) v(source)"""
+
+
+@query("qpadm", _QPADM)
 def qpadm(spark, d):
-    out = fstats.qpadm(freqs(spark, d), 0, [1], [2, 3, OUT])
-    return spark.createDataFrame([(int(s), float(w), float(out["se"][s]), out["chisq"], out["dof"], out["p"]) for s, w in out["weights"].items()], "source bigint, weight double, se double, chisq double, dof bigint, p double")
+    halves = called(spark, d).withColumn("population", F.col("population") * 2 + F.col("sample_id") % 2)
+    out = fstats.qpadm(counts(halves), 0, [2, 4], [8, 6, 1])
+    rows = [(s, w, out["se"][s], out["chisq"], out["dof"], out["n_sites"], out["n_blocks"]) for s, w in out["weights"].items()]
+    got = spark.createDataFrame(rows, "source bigint, weight double, se double, chisq double, dof bigint, n_sites bigint, n_blocks bigint")
+    return rounded(rounded(got, "weight", "se", digits=4), "chisq", digits=3)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

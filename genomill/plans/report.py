@@ -7,7 +7,13 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 
+from . import figures
+
 ROWS = 50
+#: Rows that a figure takes at most; a longer table is shown by its first rows in order.
+DRAWN = 5_000
+HYBRID = ("fractions", "breed_scores", "mixture")
+LARGE = ("genotypes", "analysis_genotypes", "callset", "qc_callset", "pseudohaploid", "treemix_input")
 
 
 def captions(artifacts: dict) -> list[str]:
@@ -37,37 +43,88 @@ def captions(artifacts: dict) -> list[str]:
     return out
 
 
-def scatter(points: list[tuple[str, float, float]], size: int = 420) -> str:
-    """Points as inline SVG."""
-    if not points:
-        return ""
-    xs, ys = [p[1] for p in points], [p[2] for p in points]
-    scale = lambda v, lo, hi: 20 + (size - 40) * ((v - lo) / (hi - lo) if hi > lo else 0.5)
-    dots = "".join(f'<circle cx="{scale(x, min(xs), max(xs)):.1f}" cy="{size - scale(y, min(ys), max(ys)):.1f}" r="4"><title>{escape(n)}</title></circle>' for n, x, y in points)
-    return f'<svg width="{size}" height="{size}" viewBox="0 0 {size} {size}" fill="#35618f">{dots}</svg>'
+def badges(artifacts: dict, exploratory: bool) -> list[tuple[str, str, str]]:
+    """(kind, label, detail): how far the run's results can be trusted."""
+    out = [("warn", "Exploratory", "Read with the study's design and its filters.") if exploratory else ("ok", "Publication workflow", "Configured as such.")]
+    if "diversity" in artifacts:
+        callable_ = "callable_sites" in artifacts and artifacts["callable_sites"]
+        out.append(("ok", "Callable sites given", "Diversity is per callable site.") if callable_ else ("warn", "Diversity relative to the panel", "Chosen sites are no denominator of a genome."))
+    if any(r in artifacts for r in HYBRID):
+        out.append(("warn", "Bridge-locus diagnostic", "Some hundreds of loci, not a genome."))
+    if r := artifacts.get("readiness"):
+        out.append(("warn" if r["warnings"] else "ok", f"Readiness: {len(r['warnings'])} warnings", "; ".join(r["warnings"])[:300] or "Autosomes, linkage, sample numbers and duplicates are checked."))
+    if isinstance(artifacts.get("exclusions"), DataFrame):
+        n = artifacts["exclusions"].count()
+        out.append(("warn", f"{n} exclusions", "Each is in the table of exclusions.") if n else ("ok", "Quality gate passed", "Nothing was excluded."))
+    else:
+        out.append(("info", "No quality gate", "The recipe has no such stage."))
+    return out
+
 
+def drawings(artifacts: dict) -> dict[str, str]:
+    """Figures by title, of the tables that are there."""
+    def rows(role: str, *order: str) -> list:
+        frame = artifacts.get(role)
+        if not isinstance(frame, DataFrame):
+            return []
+        return (frame.orderBy(*order) if order else frame).limit(DRAWN).collect()
 
-def heat(rows: list[tuple[str, str, float]]) -> str:
-    names = sorted({x for r in rows for x in r[:2]})
-    value = {frozenset(r[:2]): r[2] for r in rows}
-    top = max((abs(v) for v in value.values()), default=1) or 1
-    head = "<tr><th></th>" + "".join(f"<th>{escape(n)}</th>" for n in names) + "</tr>"
-    cell = lambda a, b: "<td></td>" if a == b else f'<td style="background:rgba(53,97,143,{abs(value.get(frozenset((a, b)), 0)) / top:.2f})">{value.get(frozenset((a, b)), 0):.3f}</td>'
-    return f"<table>{head}" + "".join(f"<tr><th>{escape(a)}</th>{''.join(cell(a, b) for b in names)}</tr>" for a in names) + "</table>"
+    out: dict[str, str] = {}
+    sheet = {str(r["sample_id"]): r for r in rows("sample_sheet")}
+    group = lambda s: (str(sheet[str(s)]["population"]),) if str(s) in sheet else ()
+    if got := rows("pca", "sample_id"):
+        out["Principal components"] = figures.points([(r["sample_id"], r["PC1"], r["PC2"], *group(r["sample_id"])) for r in got], "PC1", "PC2")
+    if got := rows("fst"):
+        out["F_ST"] = figures.heat([(str(r["pop1"]), str(r["pop2"]), r["fst"] or 0.0) for r in got])
+    if got := rows("admixture", "sample_id"):
+        out["Admixture"] = figures.stacked([(r["sample_id"], [r[c] for c in r.asDict() if c.startswith("Q")]) for r in got])
+    if got := rows("distance"):
+        names = sorted({str(x) for r in got for x in (r["s1"], r["s2"])})
+        if len(names) * (len(names) - 1) // 2 == len(got):
+            at, d = {n: i for i, n in enumerate(names)}, figures.np.zeros((len(names), len(names)))
+            for r in got:
+                i, j = at[str(r["s1"])], at[str(r["s2"])]
+                d[i, j] = d[j, i] = r["distance"] or 0.0
+            out["Clusters"] = figures.dendrogram(names, figures.merges_of(d))
+    if got := rows("roh"):
+        out["Runs of homozygosity"] = figures.bars([(r["sample_id"], r["f_roh"]) for r in sorted(got, key=lambda r: -r["f_roh"])])
+    if any(r["latitude"] is not None for r in sheet.values()):
+        out["Localities"] = figures.points([(s, r["longitude"], r["latitude"], str(r["population"])) for s, r in sheet.items()], "longitude", "latitude")
+    if isinstance(artifacts.get("distance"), DataFrame) and isinstance(artifacts.get("places_km"), DataFrame):
+        both = artifacts["distance"].join(artifacts["places_km"], ["s1", "s2"]).limit(DRAWN).collect()
+        out["Isolation by distance"] = figures.points([(f"{r['s1']}, {r['s2']}", r["km"], r["distance"]) for r in both], "km", "genetic distance")
+    if n := artifacts.get("nj"):
+        out["Neighbour joining"] = figures.tree(n["newick"])
+    if got := rows("fd_windows", "chrom", "start"):
+        out["f_d along the genome"] = figures.scan([(str(r["chrom"]), r["start"], r["f_d"]) for r in got])
+    if got := rows("ancestry_windows", "sample_id", "chrom", "start"):
+        one = [r for r in got if r["sample_id"] == got[0]["sample_id"]]
+        step = min((b["start"] - a["start"] for a, b in zip(one, one[1:], strict=False) if a["chrom"] == b["chrom"] and b["start"] > a["start"]), default=1)
+        out[f"Local ancestry of {got[0]['sample_id']}"] = figures.karyogram([(str(r["chrom"]), r["start"], r["start"] + step, r["ancestry"]) for r in one])
+    if got := rows("diversity", "population"):
+        out["Diversity"] = figures.bars([(r["population"], r["pi"]) for r in got])
+    if got := rows("fractions", "sample_id"):
+        out["Source fractions"] = figures.bars([(r["sample_id"], r["fraction"]) for r in got])
+    if got := rows("breed_scores", "sample_id", "rank"):
+        out["Lead of the best panel on the pool"] = figures.bars([(r["sample_id"], r["gap"]) for r in got if r["rank"] == 1], marks=(5.0,))
+        low = min(r["loglik"] for r in got)
+        out["Ranking of panels"] = figures.bars([(f"{r['sample_id']} {r['panel']}", r["loglik"] - low) for r in got])
+    if got := rows("mixture", "sample_id"):
+        if "share_two" in got[0].asDict():
+            out["Three-way shares"] = figures.points([(r["sample_id"], r["share_one"], r["share_two"], *([r["region"]] if "region" in r.asDict() else [])) for r in got], "first share", "second share")
+    return {k: v for k, v in out.items() if v}
 
 
-def html(artifacts: dict, title: str, exploratory: bool = True) -> str:
-    parts = [f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><style>body{{font-family:sans-serif;margin:2em}}td,th{{padding:2px 8px;text-align:right}}</style><h1>{escape(title)}</h1>"]
+def html(artifacts: dict, title: str, exploratory: bool = True, cited: list[dict] = ()) -> str:
+    parts = [f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><style>body{{font-family:sans-serif;margin:2em}}td,th{{padding:2px 8px;text-align:right}}.warn{{background:#f6e3c5}}.ok{{background:#d9ead3}}.info{{background:#e4e4e4}}.badge{{padding:2px 8px;margin-right:6px;border-radius:4px}}</style><h1>{escape(title)}</h1>"]
+    parts.append("<p>" + "".join(f'<span class="badge {kind}" title="{escape(detail)}">{escape(label)}</span>' for kind, label, detail in badges(artifacts, exploratory)) + "</p>")
     if exploratory:
         parts.append("<p><b>Exploratory.</b> Results are relative to the panel and its filters.</p>")
     parts += [f"<p>{escape(c)}</p>" for c in captions(artifacts)]
-    if isinstance(artifacts.get("pca"), DataFrame):
-        parts.append("<h2>pca</h2>" + scatter([(r["sample_id"], r["PC1"], r["PC2"]) for r in artifacts["pca"].collect()]))
-    if isinstance(artifacts.get("fst"), DataFrame):
-        parts.append("<h2>fst</h2>" + heat([(str(r["pop1"]), str(r["pop2"]), r["fst"] or 0.0) for r in artifacts["fst"].collect()]))
+    parts += [f"<h2>{escape(k)}</h2>{v}" for k, v in drawings(artifacts).items()]
     for role in sorted(artifacts):
         v = artifacts[role]
-        if role in ("pca", "genotypes", "analysis_genotypes", "callset", "qc_callset"):
+        if role in LARGE:
             continue
         if isinstance(v, DataFrame):
             rows = v.limit(ROWS).collect()
@@ -76,6 +133,10 @@ def html(artifacts: dict, title: str, exploratory: bool = True) -> str:
             parts.append(f"<h2>{escape(role)}</h2><table><tr>{head}</tr>{body}</table>")
         else:
             parts.append(f"<h2>{escape(role)}</h2><pre>{escape(str(v)[:5000])}</pre>")
+    if cited:
+        link = lambda s: f'<a href="{escape(s["link"])}">{escape(s["label"])}</a>' if s["link"] else escape(s["label"])
+        body = "".join(f"<tr><td>{escape(s['dataset'])}</td><td>{link(s)}</td>" + "".join(f"<td>{escape(str(s[f] or ''))}</td>" for f in ("study", "year", "accession", "used_for", "access")) + "</tr>" for s in cited)
+        parts.append(f"<h2>Sources</h2><table>{body}</table>")
     return "\n".join(parts)
 
 

@@ -12,6 +12,7 @@ from ..functions.strings import canonical_contig
 from ..model import SITE, calls, counts
 from ..operators import fstats, harmonize, matrix, mixture, population, quality, trees, windows
 from ..sources import exports, panels, vcf
+from . import hybrid
 from .config import Param
 from .executor import STAGES, Context
 
@@ -37,12 +38,12 @@ def samples_of(g: DataFrame) -> DataFrame:
 
 @STAGES.register("ingest", makes=("sample_sheet", "callset"), params={"sample_sheet": Param(required=True), "callset": Param(required=True), "reference_build": Param("unknown"), "callable_sites": Param(0, least=0)})
 def ingest(ctx, cfg):
-    return {"sample_sheet": panels.sample_sheet(ctx.spark, cfg["sample_sheet"]), "callset": vcf.calls(ctx.spark, cfg["callset"])}
+    return {"sample_sheet": panels.sample_sheet(ctx.spark, ctx.path(cfg["sample_sheet"])), "callset": vcf.calls(ctx.spark, ctx.path(cfg["callset"]))}
 
 
 @STAGES.register("sample_sheet", makes=("sample_sheet",), params={"path": Param(required=True)})
 def sample_sheet(ctx, cfg):
-    return {"sample_sheet": panels.sample_sheet(ctx.spark, cfg["path"])}
+    return {"sample_sheet": panels.sample_sheet(ctx.spark, ctx.path(cfg["path"]))}
 
 
 @STAGES.register("reduced_panel", makes=("callset",), params={"path": Param(required=True), "positions": Param(required=True), "samples": Param(required=True), "max_bytes": Param(9_000_000_000, least=1, most=9_999_999_999), "min_genotype_quality": Param(0.0, least=0), "min_genotype_depth": Param(0, least=0)})
@@ -63,38 +64,54 @@ def _command(*parts: object) -> str:
     return " ".join(shlex.quote(str(p)) for p in parts)
 
 
-@STAGES.register("acquire_reads", takes=("sample_sheet",), makes=("raw_reads",), params={"archives": Param(()), "max_download_bytes": Param(9_000_000_000, least=1, most=9_999_999_999), "confirm_large_transfer": Param(False), "sizes": Param(())})
+@STAGES.register("acquire_reads", takes=("sample_sheet",), makes=("raw_reads",), params={"archives": Param((), required=True), "output_dir": Param("reads"), "max_download_bytes": Param(9_000_000_000, least=1, most=9_999_999_999), "confirm_large_transfer": Param(False), "timeout_seconds": Param(120, least=1)})
 def acquire_reads(ctx, cfg):
-    from ..sources.tabix import enforce
+    from ..sources.reads import acquire
 
-    enforce(sum(cfg["sizes"]), cfg["max_download_bytes"], confirmed=cfg["confirm_large_transfer"])
-    return {"raw_reads": [{"url": u} for u in cfg["archives"]]}
+    archives = [a | {"fraction": a.get("downsample_fraction", a.get("fraction", 1.0))} for a in cfg["archives"]]
+    if "sample_sheet" in ctx.artifacts:
+        known = {r["sample_id"] for r in ctx.get("sample_sheet").select("sample_id").collect()}
+        if strange := sorted({a["sample_id"] for a in archives} - known):
+            raise ValueError(f"not in the sample sheet: {', '.join(strange)}")
+    return {"raw_reads": acquire(ctx.spark, archives, ctx.path(cfg["output_dir"]), cfg["max_download_bytes"], cfg["confirm_large_transfer"], ctx.seed, cfg["timeout_seconds"])}
 
 
 @STAGES.register("align", makes=("alignments",), params={"fastq_manifest": Param("fastq_manifest.csv"), "reference": Param("reference.fasta"), "threads": Param(4, least=1)})
 def align(ctx, cfg):
-    rows = panels.fastq_manifest(ctx.spark, cfg["fastq_manifest"]).collect()
+    rows = panels.fastq_manifest(ctx.spark, ctx.path(cfg["fastq_manifest"])).collect()
     return {"alignments": [{"sample_id": r["sample_id"], "command": _command("bwa", "mem", "-t", cfg["threads"], *(["-p"] if r["layout"] == "interleaved" else []), cfg["reference"], r["fastq1"], *([r["fastq2"]] if r["layout"] == "paired" else []))} for r in rows]}
 
 
 @STAGES.register("call_variants", needs=("alignments",), makes=("gvcfs",), params={"reference": Param("reference.fasta"), "backend": Param("gatk", choices=("gatk", "deepvariant")), "threads": Param(4, least=1)})
 def call_variants(ctx, cfg):
-    return {"gvcfs": [{"sample_id": a["sample_id"], "command": _command("gatk", "HaplotypeCaller", "-R", cfg["reference"], "-I", f"{a['sample_id']}.cram", "-O", f"{a['sample_id']}.g.vcf.gz", "-ERC", "GVCF")} for a in ctx.get("alignments")]}
+    def command(sample: str) -> str:
+        bam, vcf_, gvcf = f"{sample}.cram", f"{sample}.vcf.gz", f"{sample}.g.vcf.gz"
+        if cfg["backend"] == "deepvariant":
+            return _command("run_deepvariant", "--model_type=WGS", f"--ref={cfg['reference']}", f"--reads={bam}", f"--output_vcf={vcf_}", f"--output_gvcf={gvcf}", f"--num_shards={cfg['threads']}")
+        return _command("gatk", "HaplotypeCaller", "-R", cfg["reference"], "-I", bam, "-O", gvcf, "-ERC", "GVCF", "--native-pair-hmm-threads", cfg["threads"])
+
+    return {"gvcfs": [{"sample_id": a["sample_id"], "backend": cfg["backend"], "command": command(a["sample_id"])} for a in ctx.get("alignments")]}
 
 
 @STAGES.register("joint_genotype", needs=("gvcfs",), makes=("joint_callset",), params={"reference": Param("reference.fasta"), "backend": Param("glnexus", choices=("glnexus", "gatk")), "threads": Param(4, least=1)})
 def joint_genotype(ctx, cfg):
-    return {"joint_callset": [{"command": _command("glnexus_cli", "--threads", cfg["threads"], *[f"{g['sample_id']}.g.vcf.gz" for g in ctx.get("gvcfs")])}]}
+    files = [f"{g['sample_id']}.g.vcf.gz" for g in ctx.get("gvcfs")]
+    if cfg["backend"] == "gatk":
+        combine = _command("gatk", "CombineGVCFs", "-R", cfg["reference"], *[x for f in files for x in ("-V", f)], "-O", "cohort.g.vcf.gz")
+        return {"joint_callset": [{"command": combine}, {"command": _command("gatk", "GenotypeGVCFs", "-R", cfg["reference"], "-V", "cohort.g.vcf.gz", "-O", "cohort.vcf.gz")}]}
+    model = "DeepVariantWGS" if any(g.get("backend") == "deepvariant" for g in ctx.get("gvcfs")) else "gatk"
+    return {"joint_callset": [{"command": _command("glnexus_cli", "--config", model, "--threads", cfg["threads"], *files) + " | bcftools view -Oz -o cohort.vcf.gz -"}]}
 
 
 @STAGES.register("bcftools_call", needs=("alignments",), makes=("joint_calls",), params={"reference": Param("reference.fasta"), "threads": Param(4, least=1)})
 def bcftools_call(ctx, cfg):
-    return {"joint_calls": [{"command": _command("bcftools", "mpileup", "-f", cfg["reference"], *[f"{a['sample_id']}.cram" for a in ctx.get("alignments")])}]}
+    pile = _command("bcftools", "mpileup", "--threads", cfg["threads"], "-a", "FORMAT/AD,FORMAT/DP", "-Ou", "-f", cfg["reference"], *[f"{a['sample_id']}.cram" for a in ctx.get("alignments")])
+    return {"joint_calls": [{"command": f"{pile} | {_command('bcftools', 'call', '--threads', cfg['threads'], '-mv', '-Oz', '-o', 'joint.vcf.gz')}"}]}
 
 
 @STAGES.register("harmonize", makes=("callset", "orientation_report"), params={"datasets": Param(required=True), "allow_strand_complement": Param(True)})
 def harmonize_stage(ctx, cfg):
-    frames = [vcf.calls(ctx.spark, p) for p in cfg["datasets"]]
+    frames = [vcf.calls(ctx.spark, ctx.path(p)) for p in cfg["datasets"]]
     shared = harmonize.shared_samples(frames)
     if shared.limit(1).count():
         raise ValueError("a sample stands in two datasets")
@@ -137,7 +154,7 @@ def analysis_readiness(ctx, cfg):
     g = quality.autosomal(g) if cfg["autosomes_only"] else g
     n = g.select("sample_id").distinct().count()
     if cfg["ld_prune"]:
-        g = g.join(windows.ld_prune(g.withColumn("chrom", F.col("chrom").cast("bigint")), n, cfg["ld_window_bp"], cfg["ld_r2_threshold"]).withColumn("chrom", F.col("chrom").cast(dict(g.dtypes)["chrom"])), SITE, "left_semi")
+        g = g.join(windows.ld_prune(g, n, cfg["ld_window_bp"], cfg["ld_r2_threshold"]), SITE, "left_semi")
     small = sorted(str(r["population"]) for r in g.groupBy("population").agg(F.count_distinct("sample_id").alias("n")).filter(F.col("n") < cfg["min_samples_per_population"]).collect())
     pairs = [[str(r["s1"]), str(r["s2"]), r["concordance"]] for r in quality.concordance(g, 100, cfg["duplicate_concordance"]).collect()]
     warnings = [f"few samples: {p}" for p in small] + [f"near duplicates: {a}, {b}" for a, b, _ in pairs]
@@ -152,10 +169,10 @@ def distance(ctx, cfg):
     return {"distance": population.distance(g, quality.segregating(g), samples_of(g))}
 
 
-@STAGES.register("pca", takes=(*GENOTYPES, "sample_sheet"), makes=("pca", "pca_variance"), params={"n_components": Param(6, 2), "scaler": Param("patterson", choices=("patterson", "standard", "none"))})
+@STAGES.register("pca", takes=(*GENOTYPES, "sample_sheet"), makes=("pca", "pca_variance"), params={"n_components": Param(6, 2), "scaler": Param("patterson", choices=("patterson", "standard", "none")), "impute_mean": Param(False)})
 def pca(ctx, cfg):
     g = ctx.get(*GENOTYPES)
-    ids, x, share = matrix.pca(g, quality.segregating(g), cfg["n_components"], cfg["scaler"])
+    ids, x, share = matrix.pca(g, quality.segregating(g), cfg["n_components"], cfg["scaler"], cfg["impute_mean"])
     cols = ", ".join(f"PC{i + 1} double" for i in range(x.shape[1]))
     return {"pca": ctx.spark.createDataFrame([(str(s), *map(float, r)) for s, r in zip(ids, x, strict=True)], f"sample_id string, {cols}"), "pca_variance": [float(v) for v in share]}
 
@@ -229,7 +246,7 @@ def dstats(ctx, cfg):
 def f3(ctx, cfg):
     g = genotypes(ctx)
     c = counts(g)
-    return {"f3": fstats.f3_matrix(c, _outgroup(cfg, c, pops(g)))}
+    return {"f3": fstats.f3_matrix(c, _outgroup(cfg, c, pops(g)), cfg["n_blocks"])}
 
 
 @STAGES.register("local_ancestry", takes=(*GENOTYPES, "sample_sheet"), makes=("ancestry_windows", "ancestry_fractions"), params={"sources": Param(required=True), "targets": Param(required=True), "window_bp": Param(200_000, 1), "switch_prob": Param(0.02, 0, 1), "min_sites": Param(5, 1)})
@@ -273,36 +290,61 @@ def geography(ctx, cfg):
     return out
 
 
-@STAGES.register("nj_tree", takes=GENOTYPES, makes=("nj",), params={"n_bootstrap": Param(100, 0), "bootstrap_mode": Param("chromosome", choices=("chromosome",))})
+@STAGES.register("nj_tree", takes=GENOTYPES, makes=("nj",), params={"n_bootstrap": Param(100, 0), "bootstrap_mode": Param("chromosome", choices=("chromosome", "site"))})
 def nj_tree(ctx, cfg):
     g = ctx.get(*GENOTYPES)
-    tree, support = trees.bootstrap_tree(trees.block_distances(g, quality.segregating(g)), cfg["n_bootstrap"], ctx.seed)
+    sites = quality.segregating(g)
+    if cfg["bootstrap_mode"] == "site":
+        tree, support = trees.site_bootstrap_tree(g, sites, cfg["n_bootstrap"], ctx.seed)
+    else:
+        tree, support = trees.bootstrap_tree(trees.block_distances(g, sites), cfg["n_bootstrap"], ctx.seed)
     return {"nj": {"newick": trees.newick(tree, support)}}
 
 
-@STAGES.register("ml_tree", takes=GENOTYPES, makes=("ml",), params={"model": Param("MFP"), "ufboot": Param(1000, 0)})
+@STAGES.register("ml_tree", takes=GENOTYPES, makes=("ml", "alignment"), params={"model": Param("MFP"), "ufboot": Param(1000, 0)})
 def ml_tree(ctx, cfg):
     g = ctx.get(*GENOTYPES)
     names = [str(r["sample_id"]) for r in samples_of(g).orderBy("sample_id").collect()]
     order = ctx.spark.createDataFrame(list(enumerate(names)), "sample_ord int, sample_id string")
-    text = exports.phylip(g.drop("sample_ord").withColumn("sample_id", F.col("sample_id").cast("string")).join(F.broadcast(order), "sample_id"), names)
-    return {"ml": {"phylip": text, "command": _command("iqtree2", "-s", "alignment.phy", "-m", cfg["model"], "-B", cfg["ufboot"])}}
+    rows = exports.phylip_rows(g.drop("sample_ord").withColumn("sample_id", F.col("sample_id").cast("string")).join(F.broadcast(order), "sample_id"), names)
+    return {"alignment": rows, "ml": {"command": _command("iqtree2", "-s", "alignment.phy", "-m", cfg["model"], "-B", cfg["ufboot"])}}
 
 
-@STAGES.register("treemix", takes=(*GENOTYPES, "sample_sheet"), makes=("treemix_input", "treemix"), params={"n_migrations": Param(2, 0), "block_size": Param(500, 1), "root": Param("")})
+@STAGES.register("treemix", takes=(*GENOTYPES, "sample_sheet"), makes=("treemix_input", "treemix"), params={"n_migrations": Param(2, 0), "block_size": Param(500, 1), "root": Param(""), "input_path": Param("")})
 def treemix(ctx, cfg):
     g = genotypes(ctx)
-    return {"treemix_input": exports.treemix(counts(g), pops(g)), "treemix": {"command": _command("treemix", "-i", "counts.gz", "-m", cfg["n_migrations"], "-k", cfg["block_size"], *(["-root", cfg["root"]] if cfg["root"] else []))}}
+    if cfg["input_path"]:
+        exports.write_treemix(counts(g), pops(g), ctx.path(cfg["input_path"]))
+    return {"treemix_input": exports.treemix(counts(g), pops(g)), "treemix": {"command": _command("treemix", "-i", cfg["input_path"] or "counts.gz", "-m", cfg["n_migrations"], "-k", cfg["block_size"], *(["-root", cfg["root"]] if cfg["root"] else []))}}
+
+
+_FILES = {"bridge_vcf": Param(""), "calls_dir": Param(""), "query_samples": Param(()), "min_depth": Param(8, 4)}
+
+
+def _either(ctx: Context, cfg: dict, *roles: str) -> bool:
+    """Whether the stage reads files; else the roles have to be there."""
+    if cfg["bridge_vcf"]:
+        return True
+    if missing := [r for r in roles if r not in ctx.artifacts]:
+        raise KeyError(f"needs bridge_vcf, or {', '.join(missing)}")
+    return False
 
 
-@STAGES.register("reference_mixture", needs=("calls", "panel_freqs"), makes=("fractions", "verdict"), params={"source": Param(required=True), "base": Param(required=True), "min_difference": Param(0.4, 0), "min_called": Param(20, 1), "expected_f1": Param(""), "expected_parent": Param(""), "expected_offspring": Param(())})
+@STAGES.register("reference_mixture", takes=("calls", "panel_freqs"), makes=("fractions", "verdict"), params=_FILES | {"reference_genotypes": Param(""), "wgs_samples": Param(()), "coyote_samples": Param(()), "source": Param("dog"), "base": Param("coyote"), "min_difference": Param(0.4, 0), "min_called": Param(20, 1), "expected_f1": Param(""), "expected_parent": Param(""), "expected_offspring": Param(()), "f1_target": Param(0.46), "f1_tolerance": Param(0.2), "parent_max": Param(0.2), "offspring_min": Param(0.08), "offspring_max": Param(0.45)})
 def reference_mixture(ctx, cfg):
-    out = mixture.source_fraction(ctx.get("calls"), ctx.get("panel_freqs"), cfg["source"], cfg["base"], cfg["min_difference"], cfg["min_called"])
-    return {"fractions": out, "verdict": mixture.pedigree_verdict(out, cfg["expected_f1"], cfg["expected_parent"], cfg["expected_offspring"])}
+    calls_, freqs = hybrid.two_source(ctx, cfg) if _either(ctx, cfg, "calls", "panel_freqs") else (ctx.get("calls"), ctx.get("panel_freqs"))
+    out = mixture.source_fraction(calls_, freqs, cfg["source"], cfg["base"], cfg["min_difference"], cfg["min_called"])
+    if "depth" in calls_.columns:
+        out = out.join(calls_.groupBy("sample_id").agg(F.round(F.avg("depth"), 2).alias("mean_depth")), "sample_id")
+    verdict = mixture.pedigree_verdict(out, cfg["expected_f1"], cfg["expected_parent"], list(cfg["expected_offspring"]), cfg["f1_target"], cfg["f1_tolerance"], cfg["parent_max"], cfg["offspring_min"], cfg["offspring_max"])
+    return {"fractions": out, "verdict": verdict}
 
 
-@STAGES.register("breed_assign", needs=("calls", "panel"), makes=("breed_scores", "breed_loo"), params={"top_k": Param(5, 1), "single_breed_gap": Param(5.0, 0), "min_group": Param(3, 2)})
+@STAGES.register("breed_assign", takes=("calls", "panel", "fractions"), makes=("breed_scores", "breed_loo"), params=_FILES | {"wgs_genotypes": Param(""), "dog_fractions": Param(""), "locus_filter_json": Param(""), "top_k": Param(5, 1), "single_breed_gap": Param(5.0, 0), "min_group": Param(3, 2)})
 def breed_assign(ctx, cfg):
+    if _either(ctx, cfg, "calls", "panel"):
+        scores, loo = hybrid.breed_scores(ctx, cfg)
+        return {"breed_scores": scores, "breed_loo": loo}
     panel = ctx.get("panel")
     big = panel.groupBy("population").agg(F.count_distinct("sample_id").alias("n")).filter(F.col("n") >= cfg["min_group"]).select("population")
     panel = panel.join(F.broadcast(big), "population", "left_semi")
@@ -312,8 +354,10 @@ def breed_assign(ctx, cfg):
     return {"breed_scores": scores, "breed_loo": mixture.leave_one_out(panel, n, min_group=cfg["min_group"])}
 
 
-@STAGES.register("multiway_admixture", needs=("calls", "panel_freqs"), makes=("mixture",), params={"base": Param(required=True), "one": Param(required=True), "two": Param(None), "step": Param(0.05, 0.005, 0.5), "min_panel_separation": Param(0.15, 0)})
+@STAGES.register("multiway_admixture", takes=("calls", "panel_freqs"), makes=("mixture", "cohorts", "two_way", "mixture_breeds", "region_summary"), params={"bridge_vcf": Param(""), "wgs_genotypes": Param(""), "western_ids": Param(()), "western_id_prefix": Param(""), "western_id_range": Param(()), "exclude_samples": Param(()), "exclude_bridge_wgs_bug_ids": Param(True), "bootstrap_n": Param(200, 0), "seed": Param(0), "min_group": Param(3, 2), "top_k": Param(5, 1), "min_dog_fraction_for_breed": Param(0.05, 0), "base": Param("coyote"), "one": Param("wolf"), "two": Param(None), "step": Param(0.01, 0.005, 0.5), "min_panel_separation": Param(0.15, 0)})
 def multiway_admixture(ctx, cfg):
+    if _either(ctx, cfg, "calls", "panel_freqs"):
+        return hybrid.three_way(ctx, cfg)
     return {"mixture": mixture.mixture_grid(ctx.get("calls"), ctx.get("panel_freqs"), cfg["base"], cfg["one"], cfg["two"], cfg["step"], cfg["min_panel_separation"])}
 
 
@@ -322,8 +366,10 @@ def sv(ctx, cfg):
     return {"sv": [{"command": _command("delly", "call", "-g", cfg["reference"], *[f"{a['sample_id']}.cram" for a in ctx.get("alignments")])}]}
 
 
-@STAGES.register("report", takes=("fst", "pca", "pca_variance", "diversity", "admixture", "admixture_cv", "clusters", "roh", "dstats", "f3", "fd_windows", "selection", "demography", "distance", "mantel", "nj", "sample_qc", "exclusions", "readiness", "ancestry_fractions", "fractions", "breed_scores", "mixture"), makes=("report",), params={"title": Param("Population-genomics report"), "exploratory": Param(True)})
+@STAGES.register("report", takes=("sample_sheet", "fst", "pca", "pca_variance", "diversity", "admixture", "admixture_cv", "clusters", "roh", "dstats", "f3", "fd_windows", "selection", "demography", "distance", "places_km", "mantel", "regional_ancestry", "nj", "sample_qc", "exclusions", "readiness", "orientation_report", "ancestry_windows", "ancestry_fractions", "fractions", "verdict", "breed_scores", "breed_loo", "mixture", "cohorts", "two_way", "mixture_breeds", "region_summary"), makes=("report", "citations"), params={"title": Param("Population-genomics report"), "exploratory": Param(True), "citations": Param(())})
 def report(ctx, cfg):
+    from . import citations
     from .report import html
 
-    return {"report": {"html": html(ctx.artifacts, cfg["title"], cfg["exploratory"])}}
+    cited = citations.rows(citations.load(list(cfg["citations"]), ctx.root)) if cfg["citations"] else []
+    return {"report": {"html": html(ctx.artifacts, cfg["title"], cfg["exploratory"], cited)}, "citations": cited}

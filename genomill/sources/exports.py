@@ -52,13 +52,39 @@ def plink(calls: DataFrame, samples: list[str]) -> DataFrame:
     return _sites(calls, n).mapInPandas(rows, "number int, chrom string, pos bigint, bed binary").sort("number", "chrom", "pos")
 
 
-def phylip(calls: DataFrame, samples: list[str]) -> list[str]:
-    """Alignment lines: A, W, T for 0, 1, 2 ALT and N for missing; sequences are made per
-    sample on the executors."""
+def write_plink(calls: DataFrame, prefix: str, samples: list[str]) -> tuple[int, int]:
+    """The .bed, .bim and .fam files of a prefix on the driver's file system; rows come one
+    partition at a time.  Returns (sites, samples)."""
+    n = 0
+    alleles = calls.select(*SITE, *(c for c in ("ref", "alt") if c in calls.columns)).distinct()
+    rows = plink(calls, samples).join(alleles.withColumn("chrom", F.col("chrom").cast("string")), SITE).sort("number", "chrom", "pos")
+    with open(f"{prefix}.bed", "wb") as bed, open(f"{prefix}.bim", "w") as bim:
+        bed.write(BED_MAGIC)
+        for r in rows.toLocalIterator():
+            ref, alt = (r["ref"], r["alt"]) if "alt" in rows.columns else ("1", "2")
+            bed.write(bytes(r["bed"]))
+            # ALT is the first allele, which the codes count.
+            bim.write(f"{r['chrom']}\t{r['chrom']}:{r['pos']}\t0\t{r['pos']}\t{alt}\t{ref}\n")
+            n += 1
+    with open(f"{prefix}.fam", "w") as fam:
+        fam.writelines(f"{s}\t{s}\t0\t0\t0\t-9\n" for s in samples)
+    return n, len(samples)
+
+
+def phylip_rows(calls: DataFrame, samples: list[str]) -> DataFrame:
+    """ord, value: the lines of an alignment, the first (-1) with its size; A, W, T stand for 0,
+    1, 2 ALT and N for missing.  A sequence is made on the executor that has its sample."""
     letter = F.when(F.col("n_alt") == 0, "A").when(F.col("n_alt") == 1, "W").when(F.col("n_alt") == 2, "T").otherwise("N")
     seqs = calls.groupBy("sample_ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*SITE, letter.alias("x")))), lambda s: s["x"]), "").alias("s"))
-    rows = {r["sample_ord"]: r["s"] for r in seqs.collect()}
-    return [f"{len(samples)} {len(next(iter(rows.values()), ''))}", *[f"{name}  {rows.get(i, '')}" for i, name in enumerate(samples)]]
+    names = calls.sparkSession.createDataFrame(list(enumerate(samples)), "ord int, name string")
+    lines = names.join(seqs, F.col("ord") == F.col("sample_ord"), "left").select("ord", F.concat_ws("  ", "name", F.coalesce("s", F.lit(""))).alias("value"))
+    top = seqs.agg(F.coalesce(F.max(F.length("s")), F.lit(0)).alias("n")).select(F.lit(-1).alias("ord"), F.concat_ws(" ", F.lit(str(len(samples))), F.col("n").cast("string")).alias("value"))
+    return top.unionByName(lines)
+
+
+def phylip(calls: DataFrame, samples: list[str]) -> list[str]:
+    """The alignment's lines on the driver, for small ones."""
+    return [r["value"] for r in phylip_rows(calls, samples).orderBy("ord").collect()]
 
 
 def treemix(count: DataFrame, populations: list) -> DataFrame:
@@ -68,6 +94,20 @@ def treemix(count: DataFrame, populations: list) -> DataFrame:
     return wide.select(*SITE, F.concat_ws(" ", *[F.coalesce(F.col(str(p)), F.lit("0,0")) for p in populations]).alias("value"))
 
 
+def write_treemix(count: DataFrame, populations: list, path: str) -> int:
+    """The gzip file that the program reads: a line of names, then a line a site, in order; rows
+    come one partition at a time.  Returns the number of sites."""
+    import gzip
+
+    rows, n = treemix(count, populations).sort(*SITE), 0
+    with gzip.open(path, "wt") as out:
+        out.write(" ".join(map(str, populations)) + "\n")
+        for r in rows.select("value").toLocalIterator():
+            out.write(r["value"] + "\n")
+            n += 1
+    return n
+
+
 def save_store(calls: DataFrame, path: str) -> None:
     """The genotype store: Parquet by contig, sorted by position within a file."""
     calls.repartition("chrom").sortWithinPartitions("chrom", "pos").write.mode("overwrite").partitionBy("chrom").parquet(path)

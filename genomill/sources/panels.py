@@ -38,6 +38,12 @@ def json_panel(spark: SparkSession, path: str, samples: list[str] | None = None)
     return each.select(chrom.alias("chrom"), pos.alias("pos"), contig_number(chrom).alias("number"), F.element_at("samples", F.col("sample_ord") + 1).alias("sample_id"), "sample_ord", genotype(F.col("gt")).alias("n_alt"))
 
 
+def json_loci(spark: SparkSession, path: str) -> DataFrame:
+    """The distinct coordinates of a JSON map of loci, whatever its values are."""
+    keys = spark.read.text(path, wholetext=True).select(F.explode(F.map_keys(F.from_json("value", "map<string, string>"))).alias("key"))
+    return keys.select(F.split("key", ":")[0].alias("chrom"), F.split("key", ":")[1].cast("bigint").alias("pos")).distinct()
+
+
 def sample_sheet(spark: SparkSession, path: str, taxa: set[str] | None = None) -> DataFrame:
     """The sheet in column order, checked: required columns, ids that are there and unique,
     known taxa, populations, coordinates in range."""
@@ -99,11 +105,11 @@ def source_fractions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pileup(spark: SparkSession, path: str, sites: DataFrame, min_mapq: int = 30, min_base: int = 20) -> DataFrame:
-    """Bases that SAM reads show at sites: chrom, pos, base, n.  Unmapped, secondary, failed,
+    """Bases that SAM reads show at sites: chrom, pos, base, n.  Unmapped, secondary,
     duplicate and supplementary reads are left out.  The CIGAR is walked with columns."""
     f = F.split("value", "\t")
     reads = spark.read.text(path).filter(~F.col("value").startswith("@")).select(f[1].cast("int").alias("flag"), f[2].alias("chrom"), f[3].cast("bigint").alias("start"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"), f[10].alias("qual"))
-    good = reads.filter((F.col("flag").bitwiseAND(0xF04) == 0) & (F.col("mapq") >= min_mapq) & F.col("cigar").rlike("^([0-9]+[MIDNSHP=X])+$"))
+    good = reads.filter((F.col("flag").bitwiseAND(0xD04) == 0) & (F.col("mapq") >= min_mapq) & F.col("cigar").rlike("^([0-9]+[MIDNSHP=X])+$"))
     ops = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)([MIDNSHP=X])"), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, "^[0-9]+", 0).cast("int").alias("n"), F.substring(x, -1, 1).alias("op")))
     zero = F.struct(F.col("start").alias("at"), F.lit(1).alias("read"), F.array().cast("array<struct<at:bigint,read:int,n:int>>").alias("out"))
 

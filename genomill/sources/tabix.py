@@ -4,6 +4,7 @@ specification), as a Spark data source with one partition per merged range."""
 from __future__ import annotations
 
 import gzip
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -119,22 +120,60 @@ def enforce(total: int, ceiling: int = 9_000_000_000, confirm_above: int = 1_000
         raise ValueError(f"{total} bytes have to be confirmed")
 
 
+def contig_lengths(meta: list[str]) -> dict[str, int]:
+    """Lengths that the ##contig lines of a header state."""
+    out = {}
+    for line in meta:
+        if line.startswith("##contig=<"):
+            fields = dict(x.split("=", 1) for x in line[len("##contig=<") :].rstrip(">").split(",") if "=" in x)
+            if "ID" in fields and fields.get("length", "").isdigit():
+                out[fields["ID"]] = int(fields["length"])
+    return out
+
+
+def anchors(lengths: dict[str, int], n: int) -> list[tuple[str, int]]:
+    """``n`` evenly spaced positions (1-based) along the contigs laid end to end; the first is
+    half a step from the beginning."""
+    step, out, before = sum(lengths.values()) / n, [], 0
+    for contig, length in lengths.items():
+        k = max(0, math.ceil((before - step / 2) / step))
+        while (at := step / 2 + k * step - before) < length:
+            out.append((contig, int(at) + 1))
+            k += 1
+        before += length
+    return out
+
+
+def window_plan(index: dict[str, Index], where: list[tuple[str, int]], size: int) -> list[tuple[int, str, int, int]]:
+    """(window, contig, virtual offset, file end) for the anchors that the index knows."""
+    out = []
+    for i, (contig, pos) in enumerate(where):
+        if contig in index and (chunks := chunks_for(index[contig], pos)):
+            begin = chunks[0][0]
+            out.append((i, contig, begin, (begin >> 16) + size))
+    return out
+
+
 @dataclass
 class Range(InputPartition):
     begin: int
     end: int
+    window: int = -1
+    contig: str = ""
 
 
 class IndexedVcf(DataSource):
     """``spark.read.format("indexed_vcf")`` with options ``path``, ``index`` (path.tbi if not
-    given), ``positions`` (``chrom:pos`` joined by commas) and ``max_bytes``."""
+    given), ``max_bytes``, and ``positions`` (``chrom:pos`` joined by commas) or ``windows``: then
+    so many runs of ``window_bytes`` are read at even distances along the contigs of ``lengths``
+    (``contig:length`` joined by commas), each as far as its last whole line."""
 
     @classmethod
     def name(cls) -> str:
         return "indexed_vcf"
 
     def schema(self) -> str:
-        return "chrom string, pos bigint, value string"
+        return "chrom string, pos bigint, value string, window int"
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
         return _Reader(dict(self.options))
@@ -144,10 +183,17 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
         self.index = options.get("index", f"{self.path}.tbi")
-        self.positions = [(c, int(p)) for c, p in (x.rsplit(":", 1) for x in options["positions"].split(","))]
+        pairs = lambda text: [(c, int(p)) for c, p in (x.rsplit(":", 1) for x in text.split(",") if x)]
+        self.positions = pairs(options.get("positions", ""))
+        self.windows, self.size = int(options.get("windows", 0)), int(options.get("window_bytes", options.get("windowbytes", 3_500_000)))
+        self.lengths = dict(pairs(options.get("lengths", "")))
         self.most = int(options.get("max_bytes", 9_000_000_000))
 
     def partitions(self) -> list[Range]:
+        if self.windows:
+            runs = window_plan(parse_index(fetch(self.index)), anchors(self.lengths, self.windows), self.size)
+            enforce(len(runs) * self.size, self.most, self.most)
+            return [Range(a, b, w, c) for w, c, a, b in runs] or [Range(0, 0)]
         ranges = plan(parse_index(fetch(self.index)), self.positions)
         enforce(transfer_bytes(ranges), self.most, self.most)
         return [Range(a, b) for a, b in ranges] or [Range(0, 0)]
@@ -155,6 +201,13 @@ class _Reader(DataSourceReader):
     def read(self, partition: Range) -> Iterator[tuple]:
         if not partition.end:
             return
+        if partition.window >= 0:
+            text = inflate(fetch(self.path, partition.begin >> 16, partition.end), partition.begin & 0xFFFF)
+            for line in text.decode("utf-8", "replace").split("\n")[:-1]:
+                parts = line.split("\t", 2)
+                if len(parts) == 3 and parts[0] == partition.contig and parts[1].isdigit():
+                    yield parts[0], int(parts[1]), line, partition.window
+            return
         wanted = set(self.positions)
         text = inflate(fetch(self.path, partition.begin >> 16, (partition.end >> 16) + BLOCK + 1024), partition.begin & 0xFFFF)
         seen = set()
@@ -162,7 +215,7 @@ class _Reader(DataSourceReader):
             parts = line.split("\t", 2)
             if len(parts) == 3 and parts[1].isdigit() and (key := (parts[0], int(parts[1]))) in wanted and line not in seen:
                 seen.add(line)
-                yield (*key, line)
+                yield (*key, line, None)
 
 
 def cached(folder: Path, url: str, start: int, end: int) -> bytes:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.strings import canonical_contig, contig_number, genotype, genotype_where, likelihoods
+from ..functions.strings import AUTOSOMES, canonical_contig, contig_number, genotype, genotype_where, likelihoods
 
 FIXED = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
 #: A panel of fewer loci is refused (fixed value).
@@ -69,6 +69,39 @@ def bridge_sites(spark: SparkSession, path: str, least: int = LEAST_LOCI) -> Dat
     return rows
 
 
+def window_panel(spark: SparkSession, path: str, samples: list[str], windows: int, window_bytes: int = 3_500_000, max_bytes: int = 2_500_000_000, index: str = "") -> tuple[DataFrame, DataFrame]:
+    """(calls, spans) of evenly spaced windows of an indexed file: single-nucleotide sites that
+    passed and vary among the samples, with genotype quality and likelihoods, and each window's
+    first and last record.  One task a window."""
+    from .tabix import IndexedVcf, contig_lengths, fetch, inflate
+
+    spark.dataSource.register(IndexedVcf)
+    top = [x for x in inflate(fetch(path, 0, 8 << 20)).decode("utf-8", "replace").split("\n") if x.startswith("#")]
+    names = next((x for x in top if x.startswith("#CHROM")), "").split("\t")[len(FIXED) :]
+    if missing := [s for s in samples if s not in names]:
+        raise ValueError(f"{path}: no samples {', '.join(missing)}")
+    lengths = {c: n for c, n in contig_lengths(top).items() if canonical_contig_number(c) is not None}
+    options = {"path": path, "windows": str(windows), "window_bytes": str(window_bytes), "max_bytes": str(max_bytes), "lengths": ",".join(f"{c}:{n}" for c, n in lengths.items())}
+    rows = spark.read.format("indexed_vcf").options(**options, **({"index": index} if index else {})).load()
+    f = F.split("value", "\t")
+    passed = (f[6] == "PASS") & (F.length(f[3]) == 1) & (F.length(f[4]) == 1)
+    columns = F.array(*[F.struct(F.lit(i).alias("sample_ord"), F.lit(s).alias("sample_id"), f[len(FIXED) + names.index(s)].alias("field")) for i, s in enumerate(samples)])
+    each = rows.filter(passed).select("window", "chrom", "pos", f[3].alias("ref"), f[4].alias("alt"), f[8].alias("format"), F.inline(columns))
+    value = lambda key: F.try_element_at(F.split("field", ":"), F.array_position(F.split("format", ":"), key).cast("int"))
+    gq = F.coalesce(F.least(value("GQ").try_cast("int"), F.lit(99)), F.lit(0))
+    n = genotype_where(F.col("field"), F.col("format"))
+    calls_ = each.select("window", "chrom", "pos", "ref", "alt", "sample_ord", "sample_id", n.alias("n_alt"), gq.alias("gq"), likelihoods(F.coalesce(value("PL"), F.lit(""))).alias("pl"))
+    varying = calls_.groupBy("chrom", "pos").agg(F.max("n_alt").alias("top")).filter("top > 0").select("chrom", "pos")
+    spans = rows.groupBy("window", "chrom").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    return calls_.join(varying, ["chrom", "pos"], "left_semi"), spans
+
+
+def canonical_contig_number(name: str, most: int = AUTOSOMES) -> int | None:
+    """The number of an autosome by its name."""
+    bare = name.lower().removeprefix("chr")
+    return int(bare) if bare.isdigit() and 1 <= int(bare) <= most else None
+
+
 def lines(frame: DataFrame) -> DataFrame:
     """VCF records of long calls, as (contig number, contig, pos, value), ordered fields."""
     allele = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))

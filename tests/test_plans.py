@@ -1,11 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from genomill import cli
 from genomill.model import read_depths, calls
 from genomill.plans import config, queries, stages  # noqa: F401
-from genomill.plans.executor import STAGES, Executor, Registry, Stage, levels
+from genomill.plans.executor import STAGES, Context, Executor, Registry, Stage, levels
 
 
 def test_config():
@@ -56,6 +57,42 @@ def test_run_and_cache(spark, data, tmp_path):
     assert json.loads((tmp_path / "run" / "provenance.json").read_text())["run_id"] == "run"
 
 
+def test_changed_inputs_and_markers(spark, tmp_path):
+    sheet = tmp_path / "s.csv"
+    sheet.write_text("sample_id,taxon,population\nA,dog,p\n")
+    ex = Executor(spark, config.Config.of({"pipeline": ["sample_sheet"], "stages": {"sample_sheet": {"path": "s.csv"}}, "paths": {"root": str(tmp_path)}, "run_dir": str(tmp_path / "runs")}))
+    assert [ex.run()["stages"]["sample_sheet"]["status"] for _ in range(2)] == ["done", "cached"]
+    sheet.write_text("sample_id,taxon,population\nA,dog,p\nB,dog,q\n")
+    got = ex.run()
+    assert got["stages"]["sample_sheet"]["status"] == "done" and got["artifacts"]["sample_sheet"].count() == 2
+    (tmp_path / "runs" / "run" / "pause").write_text("")
+    stopped = ex.run()
+    assert stopped["status"] == "interrupted" and stopped["left"] == ["sample_sheet"] and stopped["stages"] == {}
+    (tmp_path / "runs" / "run" / "pause").unlink()
+    assert ex.run()["stages"]["sample_sheet"]["status"] == "cached"
+    assert "| sample_sheet | cached |" in (tmp_path / "runs" / "run" / "provenance.md").read_text()
+
+
+def test_commands_follow_their_backends(spark):
+    ctx = Context(spark, 0, "x", {"alignments": [{"sample_id": "a"}, {"sample_id": "b"}]})
+    run = lambda name, **cfg: STAGES[name].run(ctx, config.checked(name, STAGES[name].params, cfg))
+    assert "HaplotypeCaller" in run("call_variants")["gvcfs"][0]["command"]
+    ctx.artifacts |= run("call_variants", backend="deepvariant")
+    assert "run_deepvariant" in ctx.get("gvcfs")[1]["command"]
+    assert "DeepVariantWGS" in run("joint_genotype")["joint_callset"][0]["command"]
+    assert [x["command"].split()[1] for x in run("joint_genotype", backend="gatk")["joint_callset"]] == ["CombineGVCFs", "GenotypeGVCFs"]
+    assert "bcftools call" in run("bcftools_call")["joint_calls"][0]["command"]
+
+
+def test_readiness_of_named_contigs(spark, data, tmp_path):
+    depths = read_depths(spark, data)
+    named = calls(depths).withColumn("chrom", F.concat(F.lit("chr"), "chrom"))
+    ex = Executor(spark, config.Config.of({"pipeline": ["analysis_readiness"], "run_dir": str(tmp_path)}))
+    got = ex.run(artifacts={"genotypes": named})
+    assert got["stages"]["analysis_readiness"].get("error") is None
+    assert got["artifacts"]["analysis_genotypes"].filter("chrom like 'chr%'").count() > 0
+
+
 def test_failure_leaves_nothing(spark, tmp_path):
     ex = Executor(spark, config.Config.of({"pipeline": ["sample_sheet"], "stages": {"sample_sheet": {"path": str(tmp_path / "none.csv")}}, "run_dir": str(tmp_path)}))
     got = ex.run()
@@ -69,7 +106,7 @@ def test_cli(capsys):
     assert "dstats" in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", ["fst", "dstats", "roh", "mixture_grid"])
+@pytest.mark.parametrize("name", ["fst", "dstats", "roh", "mixture_grid", "qpadm", "gl_em_freq", "near_duplicates", "distance"])
 def test_queries_match_sql(spark, data, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

@@ -63,11 +63,11 @@ def test_panels(spark, tmp_path):
 
 
 def test_pileup(spark, tmp_path):
-    sam = "@HD\nr1\t0\tchr1\t100\t60\t2S3M1D3M\t*\t0\t0\tTTACGTAC\tIIIIIIII\nr2\t1024\tchr1\t100\t60\t5M\t*\t0\t0\tAAAAA\tIIIII\nr3\t0\tchr1\t103\t10\t5M\t*\t0\t0\tAAAAA\tIIIII\n"
+    sam = "@HD\nr1\t0\tchr1\t100\t60\t2S3M1D3M\t*\t0\t0\tTTACGTAC\tIIIIIIII\nr2\t1024\tchr1\t100\t60\t5M\t*\t0\t0\tAAAAA\tIIIII\nr3\t0\tchr1\t103\t10\t5M\t*\t0\t0\tAAAAA\tIIIII\nr4\t512\tchr1\t104\t60\t1M\t*\t0\t0\tT\tI\nr5\t2048\tchr1\t104\t60\t1M\t*\t0\t0\tT\tI\n"
     (tmp_path / "x.sam").write_text(sam)
     sites = spark.createDataFrame([("chr1", 100), ("chr1", 103), ("chr1", 104)], "chrom string, pos bigint")
     got = {r["pos"]: (r["base"], r["n"]) for r in panels.pileup(spark, str(tmp_path / "x.sam"), sites).collect()}
-    assert got == {100: ("A", 1), 104: ("T", 1)}
+    assert got == {100: ("A", 1), 104: ("T", 2)}
 
 
 def block(data: bytes) -> bytes:
@@ -94,6 +94,26 @@ def test_indexed_vcf(spark, tmp_path):
         tabix.enforce(2_000_000_000)
 
 
+def test_window_panel(spark, tmp_path):
+    top = "##contig=<ID=chr1,length=40000>\n##contig=<ID=chrX,length=900>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB\n"
+    row = lambda pos, a, b, keep="PASS", alt="G": f"chr1\t{pos}\t.\tA\t{alt}\t.\t{keep}\t.\tGT:GQ:PL\t{a}\t{b}\n"
+    one = row(100, "0/0:9:0,1,300", "0/1:120:9,0,9") + row(200, "0/0:9:.", "0/0:9:0,1,2") + row(300, "1/1:9:1,1,1", "0/1:9:1,1,1", "LOW")
+    two = row(21000, "1|1:3:7,7,0", "./.:.:.") + row(21001, "0/1:3:7,0,7", "0/0:1:0,7,7", alt="GT") + "chr1\t21002\tcut"
+    head, a, b = block(top.encode()), block(one.encode()), block(two.encode())
+    (tmp_path / "x.vcf.gz").write_bytes(head + a + b + block(b""))
+    u, v, w = len(head) << 16, (len(head) + len(a)) << 16, (len(head) + len(a) + len(b)) << 16
+    bins = {4681: [(u, v)], 4682: [(v, w)]}
+    raw = b"TBI\x01" + struct.pack("<8i", 1, 2, 1, 2, 0, 35, 0, 5) + b"chr1\x00" + struct.pack("<i", len(bins)) + b"".join(struct.pack("<Ii", n, len(c)) + b"".join(struct.pack("<QQ", *x) for x in c) for n, c in bins.items()) + struct.pack("<i3Q", 3, u, v, v)
+    (tmp_path / "x.vcf.gz.tbi").write_bytes(gzip.compress(raw))
+    calls, spans = vcf.window_panel(spark, str(tmp_path / "x.vcf.gz"), ["B", "A"], 2, window_bytes=len(a), max_bytes=10_000)
+    got = {(r["window"], r["pos"], r["sample_id"]): (r["n_alt"], r["gq"], r["pl"]) for r in calls.collect()}
+    assert got[0, 100, "B"] == (1, 99, [9, 0, 9]) and got[0, 100, "A"] == (0, 9, [0, 1, 255])
+    assert {k[1] for k in got if k[0] == 0} == {100}
+    assert {(r["window"], r["first"], r["last"]) for r in spans.collect()} >= {(0, 100, 300)}
+    with pytest.raises(ValueError, match="no samples"):
+        vcf.window_panel(spark, str(tmp_path / "x.vcf.gz"), ["C"], 2)
+
+
 def test_exports(spark):
     c = spark.createDataFrame([("1", 5, "a", 0, 0), ("1", 5, "b", 1, 2), ("1", 9, "a", 0, 1)], "chrom string, pos bigint, sample_id string, sample_ord int, n_alt int")
     assert exports.phylip(c, ["a", "b"]) == ["2 2", "a  AW", "b  T"]
