@@ -54,12 +54,17 @@ def jackknife(sums: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("se", se).withColumn("z", F.when(F.col("se") > 0, F.col("estimate") / F.col("se"))).drop("v")
 
 
+def quotient(num: Column, den: Column) -> Column:
+    """Null where the denominator is zero but for rounding."""
+    return F.when(F.abs(den) > 1e-12, num / den)
+
+
 def weighted_jackknife(sums: DataFrame, by: list[str]) -> DataFrame:
     """Delete-one jackknife for blocks of unequal size: pseudovalues weighted by block size."""
     w = Window.partitionBy(*by)
     left = sums.withColumns({"all_num": F.sum("num").over(w), "all_den": F.sum("den").over(w), "all_n": F.sum("n").over(w), "g": F.count(F.lit(1)).over(w)})
-    h, theta = F.col("all_n") / F.col("n"), F.col("all_num") / F.col("all_den")
-    minus = (F.col("all_num") - F.col("num")) / (F.col("all_den") - F.col("den"))
+    h, theta = F.col("all_n") / F.col("n"), quotient(F.col("all_num"), F.col("all_den"))
+    minus = quotient(F.col("all_num") - F.col("num"), F.col("all_den") - F.col("den"))
     left = left.withColumns({"h": h, "theta": theta, "minus": minus})
     left = left.withColumn("ps", F.col("h") * F.col("theta") - (F.col("h") - 1) * F.col("minus"))
     centre = F.col("g") * F.col("theta") - F.sum((1 - 1 / F.col("h")) * F.col("minus")).over(w)

@@ -67,6 +67,28 @@ def thin(sites: DataFrame, bin_bp: int = 2000) -> DataFrame:
     return sites.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
+def panel_sites(calls: DataFrame, n_samples: int, call_rate: float = 0.9, min_maf: float = 0.05, bin_bp: int = 2000) -> DataFrame:
+    """Sites that enough samples have called and that are not rare, one of each bin."""
+    n, alt = F.count("n_alt"), F.coalesce(F.sum("n_alt"), F.lit(0))
+    share = alt / F.greatest(2 * n, F.lit(1))
+    kept = calls.groupBy(*SITE).agg((n / n_samples).alias("rate"), F.least(share, 1 - share).alias("maf"))
+    return thin(kept.filter((F.col("rate") >= call_rate) & (F.col("maf") >= min_maf)).select(*SITE), bin_bp)
+
+
+def cohort_table(calls: DataFrame) -> DataFrame:
+    """Samples and calls of each population.  Counted per sample first: one group of samples may
+    hold most calls."""
+    per = calls.groupBy("population", "sample_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("population").agg(F.count(F.lit(1)).alias("n_samples"), F.sum("n").alias("n_calls"))
+
+
+def heterozygosity_per_kb(calls: DataFrame) -> DataFrame:
+    """Heterozygous calls of each sample per kb of the contigs' covered spans."""
+    genome = calls.groupBy("chrom").agg((F.max("pos") - F.min("pos")).alias("b")).agg(F.sum("b").alias("genome"))
+    per = calls.groupBy("sample_id").agg(F.count("n_alt").alias("n_called"), F.sum((F.col("n_alt") == 1).cast("int")).alias("h")).join(F.broadcast(genome))
+    return per.select("sample_id", "n_called", (F.col("h") / F.col("genome") * 1000).alias("het_per_kb"))
+
+
 def marker_panel(sites: DataFrame, target: int) -> DataFrame:
     """Every ceil(n / target)-th autosomal site in order.  Ranks within a contig are offset by
     the contigs before it, so that no one task orders all sites."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import strings
 from ..model import SITE, calls, counts, read_depths, recall, table
 from ..operators import fstats, harmonize, matrix, mixture, population, quality, trees, windows
+from . import studies
 
 OUT = 4
 _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +133,11 @@ def thin_sites(spark, d):
     return quality.thin(called(spark, d).select(*SITE).distinct(), 50_000)
 
 
+@query("panel_sites", ", k AS (SELECT chrom, pos, count(*) / 25.0::DOUBLE AS rate, sum(n_alt) / (2.0::DOUBLE * count(*)) AS q FROM c GROUP BY ALL) SELECT chrom, min(pos) AS pos FROM k WHERE rate >= 0.6 AND least(q, 1 - q) >= 0.2 GROUP BY chrom, pos // 50000")
+def panel_sites(spark, d):
+    return quality.panel_sites(called(spark, d), 25, 0.6, 0.2, 50_000)
+
+
 @query("marker_panel", ", r AS (SELECT chrom, pos, row_number() OVER (ORDER BY chrom, pos) - 1 AS k, count(*) OVER () AS n FROM sites) SELECT chrom, pos FROM r WHERE k % CAST(ceil(n / 100.0) AS BIGINT) = 0")
 def marker_panel(spark, d):
     return quality.marker_panel(called(spark, d).select(*SITE).distinct(), 100)
@@ -140,9 +146,9 @@ def marker_panel(spark, d):
 _PAIRS = "pr AS (SELECT a.sample_id AS s1, b.sample_id AS s2, count(*) AS n_sites, avg(CASE WHEN a.n_alt = b.n_alt THEN 1.0::DOUBLE ELSE 0 END) AS concordance FROM c a JOIN c b USING (chrom, pos) WHERE a.sample_id < b.sample_id GROUP BY ALL)"
 
 
-@query("near_duplicates", f", {_PAIRS} SELECT s1, s2, CAST(n_sites AS BIGINT) AS n_sites, round(concordance, 6) AS concordance FROM pr WHERE n_sites >= 50 AND concordance >= 0.44")
+@query("near_duplicates", f", {_PAIRS} SELECT s1, s2, CAST(n_sites AS BIGINT) AS n_sites, round(concordance, 6) AS concordance FROM pr WHERE n_sites >= 50 AND concordance >= 0.42")
 def near_duplicates(spark, d):
-    return rounded(quality.concordance(called(spark, d), 50, 0.44), "concordance")
+    return rounded(quality.concordance(called(spark, d), 50, 0.42), "concordance")
 
 
 @query("pseudohaploid")
@@ -184,10 +190,7 @@ def diversity(spark, d):
 
 @query("heterozygosity", "SELECT sample_id, CAST(count(*) AS BIGINT) AS n_called, round(avg(CASE WHEN n_alt = 1 THEN 1.0::DOUBLE ELSE 0 END) * count(*) / (SELECT sum(b) FROM (SELECT max(pos) - min(pos) AS b FROM sites GROUP BY chrom)) * 1000, 6) AS het_per_kb FROM c GROUP BY 1")
 def heterozygosity(spark, d):
-    c = called(spark, d)
-    genome = c.groupBy("chrom").agg((F.max("pos") - F.min("pos")).alias("b")).agg(F.sum("b").alias("genome"))
-    per = c.groupBy("sample_id").agg(F.count("n_alt").alias("n_called"), F.sum((F.col("n_alt") == 1).cast("int")).alias("h")).join(F.broadcast(genome))
-    return per.select("sample_id", "n_called", F.round(F.col("h") / F.col("genome") * 1000, 6).alias("het_per_kb"))
+    return rounded(quality.heterozygosity_per_kb(called(spark, d)), "het_per_kb")
 
 
 _HUD = """hu AS (SELECT a.chrom, a.pos, a.population AS pop1, b.population AS pop2, 1 - (a.ref_n * b.ref_n + a.alt_n * b.alt_n) * 1.0::DOUBLE / ((a.ref_n + a.alt_n) * (b.ref_n + b.alt_n)) AS den, (a.within + b.within) / 2 AS w
@@ -315,6 +318,46 @@ def paired_f4_diff(spark, d):
     return _jack_cols(out)
 
 
+def _partitioned_jack(keys: str) -> str:
+    """The weighted jackknife of bs(keys, block, num, den, n) for each key."""
+    return f"""j AS (SELECT *, sum(num) OVER p AS nn, sum(den) OVER p AS dd, sum(n) OVER p AS ss, count(*) OVER p AS g FROM bs WINDOW p AS (PARTITION BY {keys})), t AS (SELECT *, ss * 1.0::DOUBLE / n AS hh, CASE WHEN abs(dd) > 1e-12 THEN nn / dd END AS theta, CASE WHEN abs(dd - den) > 1e-12 THEN (nn - num) / (dd - den) END AS minus FROM j),
+ u AS (SELECT *, hh * theta - (hh - 1) * minus AS ps, g * theta - sum((1 - 1 / hh) * minus) OVER (PARTITION BY {keys}) AS centre FROM t),
+ r AS (SELECT {keys}, any_value(theta) AS estimate, any_value(g) AS g, any_value(ss) AS n_sites, sqrt(avg(CASE WHEN hh > 1 THEN (ps - centre) * (ps - centre) / (hh - 1) ELSE 0 END)) AS se FROM u GROUP BY {keys})"""
+
+
+@query("reference_sets", f""", h AS (SELECT chrom, pos, population * 2 + sample_id % 2 AS k, sum(n_alt) / (2.0::DOUBLE * count(*)) AS p FROM c GROUP BY ALL),
+ v AS (SELECT t.k AS target, a.k AS a, b.k AS b, e.k AS c, o.k AS o, chrom, (a.p - o.p) * (t.p - e.p) AS x, (a.p - o.p) * (b.p - e.p) AS y FROM h t JOIN h a USING (chrom, pos) JOIN h b USING (chrom, pos) JOIN h e USING (chrom, pos) JOIN h o USING (chrom, pos) WHERE t.k IN (0, 1) AND a.k IN (2, 3) AND b.k IN (4, 5) AND e.k IN (6, 7) AND o.k IN (8, 9)),
+ bs AS (SELECT target, a, b, c, o, chrom AS block, sum(x) AS num, sum(y) AS den, count(*) AS n FROM v GROUP BY target, a, b, c, o, chrom), {_partitioned_jack("target, a, b, c, o")}
+ SELECT CAST(target AS VARCHAR) AS target, CAST(a AS VARCHAR) AS a, CAST(b AS VARCHAR) AS b, CAST(c AS VARCHAR) AS c, CAST(o AS VARCHAR) AS o, target IN (0, 1) AND a = 2 AND b = 4 AND c = 6 AND o = 8 AS baseline, round(estimate, 4) AS estimate, round(se, 4) AS se, CAST(g AS BIGINT) AS n_blocks, CAST(n_sites AS BIGINT) AS n_sites FROM r""")
+def reference_sets(spark, d):
+    halves = called(spark, d).withColumn("population", F.col("population") * 2 + F.col("sample_id") % 2)
+    out = studies.reference_rotation(counts(halves), [0, 1], [2, 3], [4, 5], [6, 7], [8, 9], (2, 4, 6, 8))
+    return longs(rounded(out.drop("z"), "estimate", "se", digits=4), "n_blocks", "n_sites")
+
+
+def _cline(name: str) -> str:
+    num, den, known = {"ratio": ("(a - o) * (x - c)", "(a - o) * (b - c)", "a + o + x + b + c"), "d": ("(x - b) * (c - o)", "(x + b - 2 * x * b) * (c + o - 2 * c * o)", "x + b + c + o")}[name]
+    return f"bs AS (SELECT s, chrom AS block, sum({num}) AS num, sum({den}) AS den, count(*) AS n FROM w WHERE {known} IS NOT NULL GROUP BY ALL), {_partitioned_jack('s')}"
+
+
+#: Samples of populations 0 and 1 one by one; a sample is left out of population 1, its reference.
+@query("ancestry_cline", f""", un AS (SELECT DISTINCT sample_id AS s, population AS g FROM c WHERE population IN (0, 1)),
+ m AS (SELECT s, chrom, pos, sum(n_alt) FILTER (population = 3) / (2.0::DOUBLE * count(*) FILTER (population = 3)) AS a, sum(n_alt) FILTER (population = 4) / (2.0::DOUBLE * count(*) FILTER (population = 4)) AS o, sum(n_alt) FILTER (population = 2) / (2.0::DOUBLE * count(*) FILTER (population = 2)) AS c,
+ sum(n_alt) FILTER (population = 1 AND sample_id <> s) / (2.0::DOUBLE * count(*) FILTER (population = 1 AND sample_id <> s)) AS b, sum(n_alt) FILTER (sample_id = s) / (2.0::DOUBLE * count(*) FILTER (sample_id = s)) AS x FROM c, un GROUP BY s, chrom, pos),
+ w AS (SELECT s, chrom, CASE WHEN isnan(a) THEN NULL ELSE a END AS a, CASE WHEN isnan(o) THEN NULL ELSE o END AS o, CASE WHEN isnan(c) THEN NULL ELSE c END AS c, CASE WHEN isnan(b) THEN NULL ELSE b END AS b, CASE WHEN isnan(x) THEN NULL ELSE x END AS x FROM m),
+ r1 AS (WITH {_cline("ratio")} SELECT * FROM r), r2 AS (WITH {_cline("d")} SELECT * FROM r)
+ SELECT CAST(un.s AS VARCHAR) AS unit, CAST(un.g AS BIGINT) AS grp, round(r1.estimate, 4) AS ratio, round(r1.se, 4) AS ratio_se, CAST(r1.n_sites AS BIGINT) AS ratio_sites, round(r2.estimate, 4) AS d, round(r2.se, 4) AS d_se, CAST(r2.n_sites AS BIGINT) AS d_sites FROM (SELECT s, g FROM un) un LEFT JOIN r1 USING (s) LEFT JOIN r2 USING (s)""")
+def ancestry_cline(spark, d):
+    c = called(spark, d)
+    groups: dict[str, list[str]] = {}
+    for r in c.select("population", "sample_id").distinct().collect():
+        groups.setdefault(str(r["population"]), []).append(str(r["sample_id"]))
+    units = studies.cline_units(groups, {"A": "3", "O": "4", "B": "1", "C": "2"}, [], ["0", "1"])
+    out = studies.ancestry_cline({"all": c}, units)
+    cols = {"ratio": "ratio_estimate_all", "ratio_se": "ratio_se_all", "d": "d_estimate_all", "d_se": "d_se_all"}
+    return out.select("unit", F.col("group").cast("bigint").alias("grp"), *[F.round(v, 4).alias(k) for k, v in cols.items()], F.col("ratio_n_sites_all").cast("bigint").alias("ratio_sites"), F.col("d_n_sites_all").cast("bigint").alias("d_sites"))
+
+
 @query("auto_outgroup", "SELECT a.population, round(avg(abs(a.p - b.p)), 6) AS difference FROM f a JOIN f b USING (chrom, pos) WHERE a.population <> b.population GROUP BY 1")
 def auto_outgroup(spark, d):
     return rounded(fstats.auto_outgroup(freqs(spark, d)), "difference")
@@ -562,9 +605,7 @@ def cluster_ari(spark, d):
 
 @query("cohort_table", "SELECT population, CAST(count(DISTINCT sample_id) AS BIGINT) AS n_samples, CAST(count(*) AS BIGINT) AS n_calls FROM c GROUP BY 1")
 def cohort_table(spark, d):
-    # Counted per sample first: one group of samples may hold most calls.
-    per = called(spark, d).groupBy("population", "sample_id").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("population").agg(F.count(F.lit(1)).alias("n_samples"), F.sum("n").alias("n_calls"))
+    return quality.cohort_table(called(spark, d))
 
 
 @query("covered_genome", "SELECT chrom, CAST(max(pos) - min(pos) AS BIGINT) AS bp, CAST(count(*) AS BIGINT) AS n_sites FROM sites GROUP BY 1")
