@@ -218,7 +218,7 @@ def bootstrap_interval(calls: DataFrame, freqs: DataFrame, source, base, reps: i
     got = own.groupBy("sample_id").agg(*aggs)
     f = F.array(*[F.when(F.col(f"d{r}") > 0, F.least(F.greatest(F.col(f"n{r}") / F.col(f"d{r}"), F.lit(0.0)), F.lit(1.0))) for r in range(reps)])
     each = got.select("sample_id", F.explode(f).alias("f"))
-    return each.groupBy("sample_id").agg(*[F.round(F.percentile("f", F.lit(q)), 3).alias(n) for q, n in ((0.025, "low"), (0.975, "high"))])
+    return each.groupBy("sample_id").agg(*[F.bround(F.percentile("f", F.lit(q)), 3).alias(n) for q, n in ((0.025, "low"), (0.975, "high"))])
 
 
 def pedigree_verdict(fractions: DataFrame, f1, parent, offspring: list, target: float = 0.46, tolerance: float = 0.2, parent_max: float = 0.2, low: float = 0.08, high: float = 0.45) -> DataFrame:  # noqa: ANN001

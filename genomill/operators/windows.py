@@ -127,7 +127,7 @@ def local_ancestry(windows: DataFrame, sources: list, switch: float = 0.02, type
 
 
 def ancestry_fractions(paths: DataFrame, sources: list) -> DataFrame:
-    cols = [F.round(F.avg((F.col("ancestry") == str(s)).cast("double")), 4).alias(f"frac_{s}") for s in sources]
+    cols = [F.bround(F.avg((F.col("ancestry") == str(s)).cast("double")), 4).alias(f"frac_{s}") for s in sources]
     return paths.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_windows"), *cols)
 
 

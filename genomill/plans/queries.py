@@ -421,9 +421,19 @@ def ld_pairs(spark, d):
     return longs(rounded(windows.ld_pairs(called(spark, d), 50_000), "r2"), "n")
 
 
-@query("ld_prune")
+#: Greedy choice as a recursion over each contig's sites, by the list of those kept so far.
+_PRUNE = """, d AS (SELECT chrom, pos, sample_id, n_alt - avg(n_alt) OVER (PARTITION BY chrom, pos) AS x FROM c), v AS (SELECT chrom, pos, sum(x * x) AS ss, row_number() OVER (PARTITION BY chrom ORDER BY pos) AS i FROM d GROUP BY chrom, pos),
+ pr AS (SELECT b.chrom, b.pos, a.pos AS before, sum(a.x * b.x) AS s FROM d a JOIN d b ON a.chrom = b.chrom AND a.sample_id = b.sample_id AND a.pos < b.pos AND b.pos - a.pos <= 100000 GROUP BY ALL),
+ bad AS (SELECT v.chrom, v.i, list(w.i) AS js FROM pr JOIN v ON v.chrom = pr.chrom AND v.pos = pr.pos JOIN v w ON w.chrom = pr.chrom AND w.pos = pr.before WHERE v.ss > 1e-12 AND w.ss > 1e-12 AND pr.s * pr.s / (v.ss * w.ss) >= 0.2 GROUP BY ALL),
+ steps AS (SELECT v.chrom, v.i, coalesce(js, []::BIGINT[]) AS js FROM v LEFT JOIN bad USING (chrom, i)),
+ go AS (SELECT chrom, 0::BIGINT AS i, []::BIGINT[] AS kept FROM v GROUP BY chrom UNION ALL SELECT go.chrom, steps.i, CASE WHEN list_has_any(kept, js) THEN kept ELSE list_append(kept, steps.i) END FROM go JOIN steps ON steps.chrom = go.chrom AND steps.i = go.i + 1),
+ ends AS (SELECT chrom, arg_max(kept, i) AS kept FROM go GROUP BY chrom)
+ SELECT v.chrom, v.pos FROM v JOIN ends USING (chrom) WHERE list_contains(kept, v.i)"""
+
+
+@query("ld_prune", _PRUNE)
 def ld_prune(spark, d):
-    return windows.ld_prune(called(spark, d), 25, 100_000, 0.5, list(range(25)))
+    return windows.ld_prune(called(spark, d), 25, 100_000, 0.2, list(range(25)))
 
 
 @query("scatter_intervals", "--rawSELECT CAST(p_size AS BIGINT) AS chrom, CAST(s AS BIGINT) AS start, CAST(least(s + 1000, n) AS BIGINT) AS \"end\" FROM (SELECT p_size, count(*) * 37 AS n FROM part GROUP BY 1), unnest(range(0, n, 1000)) AS t(s)")

@@ -286,7 +286,7 @@ def geography(ctx, cfg):
     if "admixture" in ctx.artifacts:
         q = ctx.get("admixture")
         both = q.join(F.broadcast(sheet.select("sample_id", "region")), "sample_id", "left").fillna("unknown", ["region"])
-        out["regional_ancestry"] = both.groupBy("region").agg(*[F.round(F.avg(x), 4).alias(x) for x in q.columns if x != "sample_id"])
+        out["regional_ancestry"] = both.groupBy("region").agg(*[F.bround(F.avg(x), 4).alias(x) for x in q.columns if x != "sample_id"])
     return out
 
 
@@ -335,7 +335,7 @@ def reference_mixture(ctx, cfg):
     calls_, freqs = hybrid.two_source(ctx, cfg) if _either(ctx, cfg, "calls", "panel_freqs") else (ctx.get("calls"), ctx.get("panel_freqs"))
     out = mixture.source_fraction(calls_, freqs, cfg["source"], cfg["base"], cfg["min_difference"], cfg["min_called"])
     if "depth" in calls_.columns:
-        out = out.join(calls_.groupBy("sample_id").agg(F.round(F.avg("depth"), 2).alias("mean_depth")), "sample_id")
+        out = out.join(calls_.groupBy("sample_id").agg(F.bround(F.avg("depth"), 2).alias("mean_depth")), "sample_id")
     verdict = mixture.pedigree_verdict(out, cfg["expected_f1"], cfg["expected_parent"], list(cfg["expected_offspring"]), cfg["f1_target"], cfg["f1_tolerance"], cfg["parent_max"], cfg["offspring_min"], cfg["offspring_max"])
     return {"fractions": out, "verdict": verdict}
 
