@@ -1,18 +1,24 @@
 """BPE encoding and decoding of whole texts (operator 3).
 
-A text's ids are those of its white-space-free chunks one after another, because the
-tokenizer drops white space and never merges across it.  Chunks are found and hashed in
-blocks (``textkernel``); each distinct chunk is encoded once per worker by the tokenizer
-library and then looked up.  A long chunk, which has no such break, is encoded by *tree
-concatenation*: its leaves are encoded in parallel, then neighbours are joined pairwise,
-re-encoding a window around each join that doubles until its ids agree with both sides.
+A text longer than ``LEAF`` bytes is encoded by *tree concatenation*: it is halved until its
+parts are no longer than that, wherever the cuts fall; all leaves are encoded in parallel; then
+neighbours are joined, re-encoding a window around each join that doubles until its ids agree
+with both sides.  Windows of different joins do not touch, so the joins of all levels, of many
+texts, go to the tokenizer library in one parallel batch; a text whose windows would meet is
+joined level by level (``tree``).
+
+Leaves are encoded by chunks: the tokenizer drops white space and never merges across it, so
+a leaf's ids are those of its white-space-free chunks one after another.  Chunks are found and
+hashed in blocks (``textkernel``); each distinct chunk is encoded once per worker by the
+tokenizer library and then looked up.
 
 Why agreement is enough: a sequence of tokens is the encoding of its text exactly if every
 adjacent pair of tokens is.  Inside each side and inside the window all pairs are sound;
 where window and side share a token at one place, the pair across the seam is one of those.
 A side's token is trusted only away from its cut, where an end-of-word mark may be false.
 
-Nulls and empty texts give no ids.  Chunks are told apart by 64-bit hashes.
+Nulls and empty texts give no ids.  Repeated rows each have a result.  Chunks are told apart
+by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,12 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from . import textkernel as tk
 from .common import bounded_batches, hold, ragged, steps
 
-#: Chunks of more characters than this are encoded by tree concatenation.
-LONG_CHUNK = 8192
-#: Characters of a leaf, and tokens on either side of a join in its first window.
-LEAF, WINDOW = 4096, 32
-#: Distinct chunks that a worker remembers.
-REMEMBERED = 1_000_000
+#: Bytes of a leaf at most; chunks on either side of a join in its first window.
+LEAF, WINDOW = 8192, 8
+#: Characters of a leaf, and tokens on either side in the first window, level by level.
+TREE_LEAF, TREE_WINDOW = 4096, 32
+#: Bytes of the table of chunks that a worker remembers, at most (about).
+REMEMBERED = 40 << 20
+#: Chunks that are handed to the tokenizer at a time, and bytes of text in a step.
+PORTION, STEP = 10_000, 1 << 20
 #: Tokens that have to agree in a row.
 AGREE = 3
 
@@ -52,59 +60,52 @@ def vocabulary(path: str | None = None) -> bytes:
 class Encoder:
     """Encodes Arrow string columns; one per worker and vocabulary."""
 
-    def __init__(self, vocab: bytes, long_chunk: int = LONG_CHUNK, leaf: int = LEAF, window: int = WINDOW) -> None:
+    def __init__(self, vocab: bytes, leaf: int = LEAF, window: int = WINDOW, tree_leaf: int = TREE_LEAF, tree_window: int = TREE_WINDOW) -> None:
         os.environ.setdefault("RAYON_NUM_THREADS", "2")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocab.decode("utf-8"))
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.long_chunk, self.leaf, self.window = long_chunk, leaf, window
+        self.leaf, self.window, self.tree_leaf, self.tree_window = leaf, window, tree_leaf, tree_window
         self.special_ids = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("(" + "|".join(map(re.escape, self.special_ids)) + ")") if self.special_ids else None
+        self.joins = self.regrown = self.by_level = 0  # joins made, windows that grew, texts joined level by level
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.first, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
-        self.pool = np.empty(0, np.int32)
+        self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.first, self.size, self.n = np.empty(1024, np.int32), np.empty(1024, np.int32), 0
+        self.pool, self.used = np.empty(4096, np.int32), 0
 
     # -- chunks ---------------------------------------------------------------------
 
-    def _encode_new(self, chunks: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(chunks)
-        short = [i for i, c in enumerate(chunks) if len(c) <= self.long_chunk]
-        for i, e in zip(short, self.tokenizer.encode_batch_fast([chunks[i] for i in short], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        for i, c in enumerate(chunks):
-            if len(c) > self.long_chunk:
-                out[i] = self.tree(c)
-        return out
-
     def _learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        data = raw.tobytes()
-        ids = self._encode_new([data[s:e].decode("utf-8") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((x for one in ids for x in one), np.int32, int(sizes.sum()))
-        if len(self.keys) + len(keys) > REMEMBERED and len(self.keys):
-            # What is needed now is learned again by the caller.
-            self._forget()
-        first = len(self.pool) + np.cumsum(sizes, dtype=np.int64) - sizes
-        order = np.argsort(keys)
-        to = np.searchsorted(self.keys, keys[order])
-        place = len(self.first) + order
-        self.keys, self.place = np.insert(self.keys, to, keys[order]), np.insert(self.place, to, place)
-        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, sizes])
-        self.pool = np.concatenate([self.pool, flat])
-
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and the n + 1 offsets of the texts in them."""
-        raw, at = tk.buffers(column)
-        starts, ends = tk.spans(raw, at)
-        if not len(starts):
-            return np.empty(0, np.int32), np.zeros(len(at), np.int64)
-        hashes = tk.span_hashes(raw, starts, ends, fold=False)
-        keys, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        """Encodes new chunks (by ascending key), a portion at a time."""
+        if 20 * (len(self.keys) + len(keys)) + 4 * self.used > REMEMBERED:
+            self._forget()  # what is needed now is learned again by the caller
+        n = self.n + len(keys)
+        if n > len(self.first):
+            self.first, self.size = np.resize(self.first, n + n // 2), np.resize(self.size, n + n // 2)
+        for a in range(0, len(keys), PORTION):
+            chunks = [raw[s:e].tobytes().decode("utf-8") for s, e in zip(starts[a : a + PORTION].tolist(), ends[a : a + PORTION].tolist(), strict=True)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            until = self.used + int(sizes.sum())
+            if until > len(self.pool):
+                self.pool = np.resize(self.pool, until + until // 2)
+            self.pool[self.used : until] = np.fromiter((x for one in ids for x in one), np.int32, until - self.used)
+            at = self.n + a
+            self.first[at : at + len(ids)] = self.used + np.cumsum(sizes) - sizes
+            self.size[at : at + len(ids)] = sizes
+            self.used = until
+        to = np.searchsorted(self.keys, keys)
+        self.keys, self.place = np.insert(self.keys, to, keys), np.insert(self.place, to, np.arange(self.n, n, dtype=np.int32))
+        self.n = n
+
+    def _chunks(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, and the n + 1 offsets of the chunks in them."""
+        keys, one, which = np.unique(tk.span_hashes(raw, starts, ends, fold=False), return_index=True, return_inverse=True)
         while True:
             to = np.searchsorted(self.keys, keys)
             known = np.zeros(len(keys), dtype=bool)
@@ -116,19 +117,118 @@ class Encoder:
             self._learn(keys[new], raw, starts[one[new]], ends[one[new]])
         place = self.place[to][which]
         sizes = self.size[place].astype(np.int64)
-        ids = ragged(self.pool, sizes, self.first[place])
-        until = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, until[np.searchsorted(starts, at)]
+        return ragged(self.pool, sizes, self.first[place].astype(np.int64)), np.concatenate([[0], np.cumsum(sizes)])
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the n + 1 offsets of the texts in them."""
+        raw, at = tk.buffers(column)
+        cuts = self._cuts(raw, at)
+        edges = np.unique(np.concatenate([at, cuts])) if len(cuts) else at
+        starts, ends = tk.spans(raw, edges)
+        if not len(starts):
+            return np.empty(0, np.int32), np.zeros(len(at), np.int64)
+        ids, until = self._chunks(raw, starts, ends)
+        to = until[np.searchsorted(starts, at)]
+        if len(cuts):
+            ids, to = self._joined(raw, at, edges, cuts, starts, ends, ids, until, to)
+        return ids, to
+
+    # -- joins of leaves --------------------------------------------------------------
+
+    def _cuts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where longer texts are halved, and their halves again, at the starts of characters."""
+        out = [np.empty(0, np.int64)]
+        size = np.diff(at)
+        for t in np.flatnonzero(size > self.leaf).tolist():
+            parts = 1 << (-(-int(size[t]) // self.leaf) - 1).bit_length()
+            out.append(at[t] + np.arange(1, parts) * size[t] // parts)
+        cuts = np.concatenate(out)
+        for _ in range(3):
+            cuts = np.where((raw[cuts] & 0xC0) == 0x80, cuts - 1, cuts) if len(cuts) else cuts
+        return cuts
+
+    def _joined(self, raw: np.ndarray, at: np.ndarray, edges: np.ndarray, cuts: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, until: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and offsets of whole texts, from those of their leaves."""
+        text = np.searchsorted(at, cuts, side="right") - 1
+        k = np.searchsorted(edges, cuts)
+        lo, hi = edges[k - 1], edges[k + 1]
+        first, here, last = (np.searchsorted(starts, x) for x in (lo, cuts, hi))
+        opens, closes = lo == at[text], hi == at[text + 1]
+        data = raw.tobytes()
+        edits: dict[int, tuple[int, int, list[int]]] = {}
+        failed: set[int] = set()
+        todo, width = list(range(len(cuts))), self.window
+        while todo:
+            spans = []
+            for c in todo:
+                i, j = max(first[c], here[c] - width), min(last[c], here[c] + width)
+                cut = int(cuts[c])
+                left = data[starts[i] : cut].decode("utf-8") if i < here[c] else ""
+                right = data[cut : ends[j - 1]].decode("utf-8") if j > here[c] else ""
+                spans.append((c, int(i), int(j), left, right))
+            got = self.tokenizer.encode_batch([x for _, _, _, a, b in spans for x in (a, b, a + b)], add_special_tokens=False)
+            todo = []
+            for n, (c, i, j, left, _) in enumerate(spans):
+                a, b, mid = (list(zip(e.ids, *zip(*e.offsets, strict=True), strict=True)) if e.ids else [] for e in got[3 * n : 3 * n + 3])
+                b = [(x, s + len(left), e + len(left)) for x, s, e in b]
+                p, q = self._same_left(a, mid, len(left)), self._same_right(b, mid, len(left))
+                if p is None and i == first[c] and (opens[c] or first[c] == here[c]):
+                    p = 0, 0
+                if q is None and j == last[c] and (closes[c] or last[c] == here[c]):
+                    q = len(b), len(mid)
+                r = int(here[c])
+                if p is not None and q is not None and len(a) == until[r] - until[i] and len(b) == until[j] - until[r]:
+                    edits[c] = int(until[i]) + p[0], int(until[r]) + q[0], [x for x, _, _ in mid[p[1] : q[1]]]
+                elif i == first[c] and j == last[c]:
+                    failed.add(int(text[c]))
+                else:
+                    todo.append(c)
+            self.regrown += len(todo)
+            width *= 2
+        self.joins += len(cuts)
+        order = sorted(edits)
+        failed |= {int(text[y]) for x, y in zip(order, order[1:], strict=False) if edits[x][1] > edits[y][0]}
+        self.by_level += len(failed)
+        whole = [(int(to[t]), int(to[t + 1]), self.tree(data[at[t] : at[t + 1]].decode("utf-8"))) for t in sorted(failed)]
+        places = sorted([(e, int(text[c])) for c, e in edits.items() if int(text[c]) not in failed] + list(zip(whole, sorted(failed), strict=True)))
+        parts, done, grown = [], 0, np.zeros(len(at), np.int64)
+        for (s, e, new), t in places:
+            parts += [ids[done:s], np.array(new, np.int32)]
+            done = e
+            grown[t + 1] += len(new) - (e - s)
+        return np.concatenate([*parts, ids[done:]]), to + np.cumsum(grown)
+
+    @staticmethod
+    def _same_left(side: list, mid: list, cut: int) -> tuple[int, int] | None:
+        """Places in side and window, as near the cut as can be, from which AGREE tokens that
+        end before it are the same."""
+        at = {t: k for k, t in enumerate(mid)}
+        for x in range(len(side) - AGREE, -1, -1):
+            y = at.get(side[x])
+            if y is not None and side[x + AGREE - 1][2] < cut and side[x : x + AGREE] == mid[y : y + AGREE] and (x == 0 or side[x - 1][2] <= side[x][1]):
+                return x, y
+        return None
+
+    @staticmethod
+    def _same_right(side: list, mid: list, cut: int) -> tuple[int, int] | None:
+        """Places in side and window, as near the cut as can be, before which AGREE tokens that
+        begin after it are the same, as are those at them."""
+        at = {t: k for k, t in enumerate(mid[:-1])}
+        for x in range(AGREE, len(side)):
+            y = at.get(side[x])
+            if y is not None and y >= AGREE and side[x - AGREE][1] > cut and side[x - AGREE : x + 1] == mid[y - AGREE : y + 1] and side[x - 1][2] <= side[x][1]:
+                return x, y
+        return None
 
-    # -- tree concatenation -----------------------------------------------------------
+    # -- level by level -----------------------------------------------------------------
 
     def _tokens(self, text: str, at: int) -> list[tuple[int, int, int]]:
         e = self.tokenizer.encode(text, add_special_tokens=False)
         return [(i, a + at, b + at) for i, (a, b) in zip(e.ids, e.offsets, strict=True)]
 
     def tree(self, text: str) -> list[int]:
-        """Ids of a text without white space, however long.  Special tokens' strings are
-        taken out first, as the tokenizer does; the parts between them are joined apart."""
+        """Ids of one text.  Special tokens' strings are taken out first, as the tokenizer
+        does; the parts between them are joined apart."""
         out: list[int] = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.special_ids:
@@ -138,8 +238,8 @@ class Encoder:
         return out
 
     def _tree(self, text: str) -> list[int]:
-        cuts = [*range(0, len(text), self.leaf), len(text)]
-        if len(cuts) > 2 and cuts[-1] - cuts[-2] < self.leaf // 2:
+        cuts = [*range(0, len(text), self.tree_leaf), len(text)]
+        if len(cuts) > 2 and cuts[-1] - cuts[-2] < self.tree_leaf // 2:
             del cuts[-2]
         pieces = self.tokenizer.encode_batch([text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], add_special_tokens=False)
         nodes = [(a, b, [(i, s + a, t + a) for i, (s, t) in zip(e.ids, e.offsets, strict=True)]) for a, b, e in zip(cuts, cuts[1:], pieces, strict=False)]
@@ -151,7 +251,7 @@ class Encoder:
     def _join(self, text: str, left: tuple, right: tuple) -> tuple:
         lo, cut, a = left
         _, hi, b = right
-        width = self.window
+        width = self.tree_window
         while True:
             i = max(0, len(a) - width)
             while i > 0 and a[i][1] < a[i - 1][2]:  # within a character
@@ -256,7 +356,7 @@ def encode(docs: DataFrame, vocab_path: str | None = None, *, decoded: bool = Fa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
         dec = Decoder(enc) if decoded else None
-        for step in steps(batches, "text", owner="bpe"):
+        for step in steps(batches, "text", STEP, owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             cols = [step.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
             if dec:
@@ -275,7 +375,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str | None = None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
         dec = Decoder(enc)
-        for step in steps(batches, "text", owner="bpe"):
+        for step in steps(batches, "text", STEP, owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(dec.id_digests(ids, at)), pa.array(dec.text_digests(ids, at))],

@@ -143,3 +143,23 @@ def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("_m"))
     marked = rows.withColumn("_h", spot(column)).withColumn("_w", F.shiftright("_h", 6).cast("int"))
     return marked.join(F.broadcast(words), "_w").filter("(shiftright(_m, cast(_h & 63 as int)) & 1) = 1").drop("_h", "_w", "_m")
+
+
+#: A key is hot that has more than this part of the rows, and of these at least so many.
+HOT_PART, HOT_LEAST = 512, 1000
+
+
+def hot_keys(counts: DataFrame, total: int) -> DataFrame:
+    """The rows of ``counts(..., n)`` whose key is hot: fewer than HOT_PART for each way of
+    splitting ``total`` rows by keys, whatever their number, so that they may be broadcast."""
+    return counts.filter(F.col("n") > max(HOT_LEAST, total // HOT_PART))
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``many`` (of ``total`` rows) with ``one``, which is unique by ``key``: rows
+    of hot keys meet a broadcast of the few rows that they need, and stay where they are."""
+    hot = [r[key] for r in hot_keys(many.groupBy(key).agg(F.count(F.lit(1)).alias("n")), total).collect()]
+    if not hot:
+        return many.join(one, key)
+    is_hot = F.col(key).isin(hot)
+    return many.filter(is_hot).join(F.broadcast(one.filter(is_hot)), key).unionByName(many.filter(~is_hot).join(one.filter(~is_hot), key))

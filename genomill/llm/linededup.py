@@ -31,16 +31,17 @@ once, and is removed from all of them if in any of them it matches an earlier li
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bounded_batches, drop, maybe_in, ragged, save, steps, table, trim
+from .common import bounded_batches, drop, hot_keys, maybe_in, ragged, save, steps, table, trim
 
 #: Matches have 9 * intersection >= 4 * (sum of sizes), that is, Jaccard >= 0.8.
 IN, OF = 9, 4
@@ -52,11 +53,13 @@ SCALE = 8
 SLOT_ROWS, BLOCK, PAIRS = 150_000, 8192, 1 << 19
 #: Candidates that are carried for a line besides the earliest; lines, and candidates in all,
 #: that are verified in one place (about).
-CARRIED, VERIFIED, COMPARED = 200, 20_000, 500_000
+CARRIED, VERIFIED, COMPARED = 64, 20_000, 500_000
 #: Buckets (a power of 2) in which the prefix words of frequent words are counted.
 LISTS_LOG2 = 18
+#: Candidates that a slot holds before they are thinned out or sent on.
+HELD = 1 << 20
 #: Postings that a task packs at a time.
-PACKED = 400_000
+PACKED = 100_000
 
 #: 64-bit words of a parity map; a posting in a line's row (its place is at least ``pos``), and
 #: the columns of packed postings.
@@ -95,12 +98,13 @@ def _survey(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKETS_LOG2, np.int32)
         names = ["doc", "line", "d1", "d2", "counts"]
-        for step in steps(batches, "text", 3 << 20):
+        for step in steps(batches, "text", 2 << 20):
             words, at, text, number = line_sets(step.column("text"))
             if not len(text):
                 continue
             d1, d2 = _digests(words, at)
-            counts += np.bincount((words >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64), minlength=len(counts)).astype(np.int32)
+            bucket, n = np.unique((words >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int32), return_counts=True)
+            counts[bucket] += n.astype(np.int32)
             yield pa.RecordBatch.from_arrays([step.column("id").take(pa.array(text)), pa.array(number, pa.int32()), pa.array(d1), pa.array(d2), pa.nulls(len(text), pa.binary())], names=names)
         some = [c for c in range(len(counts) // CHUNK) if counts[c * CHUNK : (c + 1) * CHUNK].any()]
         if some:
@@ -154,14 +158,13 @@ def _rarity(survey: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, sent: Broadcast) -> DataFrame:
     """doc, line, size, maps (the parity map), posts (of each prefix word, rare first: the word
     and its position; words of one line alone are left out)."""
-    sent = docs.sparkSession.sparkContext.broadcast(rarity)
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, "text", 3 << 20):
+        for step in steps(batches, "text", 2 << 20):
             words, at, text, number = line_sets(step.column("text"))
             if not len(text):
                 continue
@@ -194,17 +197,16 @@ def _posts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), _POST), np.repeat(np.arange(batch.num_rows), np.diff(at) // _POST.itemsize)
 
 
-def _list_sizes(prefixes: DataFrame, rarity: np.ndarray, block: int) -> np.ndarray:
+def _list_sizes(prefixes: DataFrame, rarity: Broadcast, block: int) -> np.ndarray:
     """Upper bounds of the lengths of the lists that may be longer than ``block``, by bucket of
     their words; 0 elsewhere.  At most ``2**LISTS_LOG2`` sums come to the driver."""
-    sent = prefixes.sparkSession.sparkContext.broadcast(most_of(np.arange(256)) > block)
-    table_ = prefixes.sparkSession.sparkContext.broadcast(rarity)
+    often = most_of(np.arange(256)) > block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << LISTS_LOG2, np.int64)
         for batch in batches:
             token = _posts(batch)[0]["token"]
-            token = token[sent.value[table_.value[(token >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)]]]
+            token = token[often[rarity.value[(token >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)]]]
             sums += np.bincount((token >> np.uint64(64 - LISTS_LOG2)).astype(np.int64), minlength=len(sums))
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["b", "n"])
@@ -220,15 +222,16 @@ def _planes(values: np.ndarray, kind: str) -> np.ndarray:
     return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1).T
 
 
-def _postings(lines: DataFrame, slots: int, rarity: np.ndarray, lists: np.ndarray, block: int) -> DataFrame:
+def _postings(lines: DataFrame, slots: int, rarity: Broadcast, lists: np.ndarray, block: int) -> DataFrame:
     """slot, n, data: packed columns of a task's postings for each slot.  A posting goes to
     every pair of blocks of its list that has its own block."""
-    sent = lines.sparkSession.sparkContext.broadcast((rarity, most_of(np.arange(256)) > block, np.clip(-(-lists // block), 1, 65_535).astype(np.uint16)))
+    often = most_of(np.arange(256)) > block
+    sent = lines.sparkSession.sparkContext.broadcast(np.clip(-(-lists // block), 1, 65_535).astype(np.uint16))
 
     def pack(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        rarity, often, blocks = sent.value
+        blocks = sent.value
         col = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-        nb = np.where(often[rarity[(col["token"] >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)]], blocks[(col["token"] >> np.uint64(64 - LISTS_LOG2)).astype(np.int64)], 1).astype(np.int64)
+        nb = np.where(often[rarity.value[(col["token"] >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)]], blocks[(col["token"] >> np.uint64(64 - LISTS_LOG2)).astype(np.int64)], 1).astype(np.int64)
         mine = (tk.mix(col["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + col["line"].astype(np.uint64)) % nb.astype(np.uint64)).astype(np.int64)
         again = np.repeat(np.arange(len(nb)), nb)
         other = np.arange(len(again)) - np.repeat(np.cumsum(nb) - nb, nb)
@@ -308,9 +311,10 @@ def _open_lists(prefixes: DataFrame, rest: DataFrame) -> DataFrame:
     return lines.join(rest.withColumn("open", F.lit(True)), ["doc", "line"], "left").fillna(False, ["open"])
 
 
-def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.Table:
+def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> Iterator[pa.RecordBatch]:
     """For each later line of a slot that is ``open``: its earliest candidate, then up to
-    ``carried`` others, nearest by parity first (all if None), and whether there are more."""
+    ``carried`` others, nearest by parity first, and whether there are more.  If ``carried`` is
+    None all candidates, a line's in one row or several."""
     order = np.lexsort((col["size"], col["j"], col["i"], col["token"]))
     col = {c: v[order] for c, v in col.items()}
     wanted = col["open"]
@@ -332,7 +336,22 @@ def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.
     until = np.searchsorted(group * span + size, group * span + np.minimum(5 * size // 4, span - 1), side="right")
     partners = until - np.arange(n) - 1
     kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    seen = np.zeros(len(lines), np.int64)
+    seen, held, most = np.zeros(len(lines), np.int64), 0, HELD
+
+    def made() -> pa.RecordBatch:
+        late, early, _ = _best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, seen) if kept else (np.empty(0, np.int64),) * 3
+        heads = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]])) if len(late) else late
+        to = pa.array(np.append(heads, len(late)), pa.int32())
+        y, x = lines[late[heads]], lines[early]
+        names = {
+            "doc": pa.array(col["doc"][y]),
+            "line": pa.array(col["line"][y].astype(np.int32)),
+            "xdoc": pa.ListArray.from_arrays(to, pa.array(col["doc"][x])),
+            "xline": pa.ListArray.from_arrays(to, pa.array(col["line"][x], pa.int32())),
+            "more": pa.array(seen[late[heads]] > 0),
+        }
+        return pa.RecordBatch.from_arrays(list(names.values()), names=list(names))
+
     for s, e in tk.text_blocks(np.concatenate([[0], np.cumsum(partners)]), PAIRS):
         many = partners[s:e]
         x = np.repeat(np.arange(s, e), many)
@@ -350,22 +369,23 @@ def candidates(col: dict[str, np.ndarray], carried: int | None = CARRIED) -> pa.
         if len(late):
             pair, one = np.unique(late * len(lines) + early, return_index=True)
             kept.append(_best(pair // len(lines), pair % len(lines), apart[one], carried, seen))
-            if len(kept) > 64:
+            held += len(kept[-1][0])
+            if held > most and carried is None:
+                yield made()
+                kept, held = [], 0
+            elif held > most:
                 kept = [_best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, seen)]
-    late, early, _ = _best(*(np.concatenate(v) for v in zip(*kept, strict=True)), carried, seen) if kept else (np.empty(0, np.int64),) * 3
-    heads = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]])) if len(late) else late
-    to = pa.array(np.append(heads, len(late)), pa.int32())
-    y, x = lines[late[heads]], lines[early]
+                held = len(kept[0][0])
+                most = max(HELD, 2 * held)
+    yield made()
     trim()
-    return pa.table(
-        {
-            "doc": col["doc"][y],
-            "line": col["line"][y].astype(np.int32),
-            "xdoc": pa.ListArray.from_arrays(to, pa.array(col["doc"][x])),
-            "xline": pa.ListArray.from_arrays(to, pa.array(col["line"][x], pa.int32())),
-            "more": seen[late[heads]] > 0,
-        }
-    )
+
+
+def _of_slot(carried: int | None) -> Callable:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from candidates(unpacked(pa.Table.from_batches(list(rows))), carried)
+
+    return run
 
 
 def _best(late: np.ndarray, early: np.ndarray, apart: np.ndarray, carried: int | None, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -450,7 +470,11 @@ def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     slots = max(1, -(-sums["n"] // VERIFIED), -(-sums["x"] // COMPARED))
     hubs = pairs.groupBy("hdoc", "hline").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("xdoc")).alias("x"))
     part = F.pmod(F.xxhash64("doc", "line"), F.greatest(F.ceil(F.col("n") / F.lit(VERIFIED // 2)), F.ceil(F.col("x") / F.lit(COMPARED // 2))))
-    dealt = save(pairs.join(hubs, ["hdoc", "hline"]).select(F.pmod(F.xxhash64("hdoc", "hline", part), F.lit(slots)).alias("slot"), "doc", "line", "xdoc", "xline"), "pairs")
+    # A hub that many lines share meets them where they are.
+    key = ["hdoc", "hline"]
+    hot = F.broadcast(hot_keys(hubs, sums["n"]))
+    sized = pairs.join(hot, key).unionByName(pairs.join(hot.select(*key), key, "left_anti").join(hubs, key))
+    dealt = save(sized.select(F.pmod(F.xxhash64("hdoc", "hline", part), F.lit(slots)).alias("slot"), "doc", "line", "xdoc", "xline"), "pairs")
 
     def want(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -479,13 +503,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     firsts = save(lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("f")).select("f.doc", "f.line", "d1", "d2"), "firsts")
     repeats = lines.join(firsts, ["doc", "line", "d1", "d2"], "left_anti").select("doc", "line")
 
-    rarity = _rarity(survey)
+    rarity = texts.sparkSession.sparkContext.broadcast(_rarity(survey))
     prefixes = save(_prefixes(texts, rarity).join(firsts.select("doc", "line"), ["doc", "line"], "left_semi"), "prefixes")
     n_posts = int(prefixes.agg(F.sum(F.length("posts"))).first()[0] or 0) // _POST.itemsize
     slots = max(1, -(-n_posts // SLOT_ROWS))
     posted = _postings(prefixes, slots, rarity, _list_sizes(prefixes, rarity, BLOCK), BLOCK)
     carried = CARRIED
-    found = save(posted.groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t), carried), _CANDIDATES), "candidates")
+    found = save(posted.groupBy("slot").applyInArrow(_of_slot(carried), _CANDIDATES), "candidates")
 
     first = F.struct(F.col("xdoc")[0].alias("xdoc"), F.col("xline")[0].alias("xline"))
     earliest = found.groupBy("doc", "line").agg(F.min(first).alias("x")).select("doc", "line", F.array("x.xdoc").alias("xdoc"), F.array("x.xline").alias("xline"))
@@ -499,7 +523,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         n_again = int(again.agg(F.sum(F.length("posts"))).first()[0] or 0) // _POST.itemsize
         block = max(1, BLOCK // 8)
         posted = _postings(again, max(1, -(-8 * n_again // SLOT_ROWS)), rarity, _list_sizes(again, rarity, block), block)
-        every = save(posted.groupBy("slot").applyInArrow(lambda t: candidates(unpacked(t), None), _CANDIDATES), "candidates")
+        every = save(posted.groupBy("slot").applyInArrow(_of_slot(None), _CANDIDATES), "candidates")
         parts.append(_matched(texts, every.select("doc", "line", "xdoc", "xline")))
         drop(again, every)
     drop(prefixes)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import encoder, vocabulary
+from .bpe import STEP, encoder, vocabulary
 from .common import bounded_batches, save, steps, table
 
 CAPACITY = 2048
@@ -81,7 +81,7 @@ def cut(docs: DataFrame, vocab_path: str | None = None, capacity: int = CAPACITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab.value)
-        for step in steps(batches, "text", owner="bpe"):
+        for step in steps(batches, "text", STEP, owner="bpe"):
             ids, at = enc.encode(step.column("text"))
             n = len(at) - 1
             sizes = np.diff(at) + 1

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 _RNG = np.random.Generator(np.random.PCG64(20260816))
 _TABLE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLDED = _TABLE.copy()
@@ -29,7 +29,7 @@ _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**j and B**-j for j < n, kept for later blocks while they are of usual size."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         up = np.full(n, _BASE, dtype=np.uint64)
@@ -103,7 +103,7 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: boo
     table = _FOLDED if fold else _TABLE
     for i, j in _blocks(starts, ends):
         lo, hi = int(starts[i]), int(ends[j - 1])
-        up, down = _powers(hi - lo)
+        up, down = powers(hi - lo)
         total = np.empty(hi - lo + 1, dtype=np.uint64)
         total[0] = 0
         np.cumsum(table[raw[lo:hi]] * up, out=total[1:])

@@ -10,7 +10,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from genomill.llm import bpe, kmtree, langid, linededup, lm, minhash, packing, pii, pivots, toxicity
@@ -101,7 +103,7 @@ def test_encoding_is_the_librarys(docs, tokenizer, spark):
 
 
 def test_tree_concatenation(tokenizer):
-    enc = bpe.Encoder(bpe.vocabulary(), long_chunk=20, leaf=16, window=4)
+    enc = bpe.Encoder(bpe.vocabulary(), tree_leaf=16, tree_window=4)
     rng = random.Random(1)
     for alphabet in ("abcdefgh", "theringandof", "é日本語ßabc", "'st re1234'll", "!!!###abc", "aaaa", "éäb́"):
         for _ in range(150):
@@ -111,6 +113,33 @@ def test_tree_concatenation(tokenizer):
         assert enc.tree(s) == tokenizer.encode(s, add_special_tokens=False).ids
 
 
+def test_long_texts_are_joined(tokenizer, data):
+    rng = random.Random(1)
+    texts = [None, "", "x"]
+    for alphabet in ("abcdefgh ", "theringandof    ", "é日本語ßabc ", "'st re1234'll \n\t", "!!!###abc  ", "aaaa", "éäb́ ", "ab<|endoftext|> ", "  ab c", "日本語日本"):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 700))) for _ in range(40)]
+    texts += ["<|endoftext|>" * 90, "ab<|endoftext|>" * 70 + "cd", "x " * 500 + "<|endoftext|>" * 40 + " yy" * 300, " " * 900]
+    small = bpe.Encoder(bpe.vocabulary(), leaf=64, window=4, tree_leaf=16, tree_window=4)
+    for column, enc in ((texts, small), (pq.read_table(f"{data}/documents.parquet")["text"].to_pylist(), bpe.Encoder(bpe.vocabulary()))):
+        ids, at = enc.encode(pa.array(column))
+        for k, t in enumerate(column):
+            assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+        # A join for every cut of a text that is longer than a leaf.
+        assert enc.joins == sum((1 << (-(-n // enc.leaf) - 1).bit_length()) - 1 for n in (len((t or "").encode()) for t in column) if n > enc.leaf) > 0
+    assert small.regrown and small.by_level
+
+
+def test_remembered_chunks_are_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20_000)
+    monkeypatch.setattr(bpe, "PORTION", 7)
+    enc = bpe.Encoder(bpe.vocabulary())
+    for i in range(20):
+        texts = [" ".join(f"w{i}x{k}" for k in range(100)), "again and again"]
+        ids, at = enc.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert 20 * len(enc.keys) + 4 * enc.used <= 25_000
+
+
 def test_best_fit():
     rng = random.Random(2)
     bins, load, sizes = packing.BestFit(100, 8), Counter(), [rng.randint(1, 99) for _ in range(2000)]
@@ -154,9 +183,23 @@ def test_language(spark):
     rng = random.Random(3)
     rows = [(i, prose("en" if i % 3 else "fr", rng.randint(3, 60), rng), "en" if i % 3 else "fr", "s") for i in range(400)]
     rows += [(1000, None, "en", "s"), (1001, "12 34 !!", "en", "s"), (1002, "", None, "s")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
-    got = {r["doc_id"]: r for r in langid.identify(docs, langid.train(docs)).collect()}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumns({c: F.lit(1) for c in ("at", "run", "score", "held_out", "lang_pred", "other")})
+    dictionaries = langid.train(docs)
+    got = {r["doc_id"]: r for r in langid.identify(docs, dictionaries).collect()}
     assert len(got) == len(rows)
+    # The classes' sizes, by compressors of their own and without a first look.
+    for i, text, _, _ in rows[:400]:
+        sizes = {}
+        for lang in sorted(dictionaries):
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=langid.CLOSE_LEVEL)
+            c = zstandard.ZstdCompressor(dict_data=d, level=langid.CLOSE_LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes[lang] = len(c.compress(langid.normal(text) + langid.ZEROS))
+        best, second = sorted(sizes.values())
+        assert got[i]["rejected"] == (got[i]["score"] < langid.MARGIN)
+        if second - best > 0.02 * second:
+            assert got[i]["lang_pred"] == min(sizes, key=sizes.get)
+    assert set(dictionaries) == {"en", "fr"} and all(len(d) <= langid.DICTIONARY for d in dictionaries.values())
     held = [r for r in rows if r[0] < 1000 and zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert all(got[r[0]]["held_out"] for r in held)
     assert np.mean([got[r[0]]["lang_pred"] == r[2] for r in held]) > 0.95
@@ -179,7 +222,7 @@ def test_toxicity(spark):
         rows.append((i, " ".join(w)))
         labels.append((i, 1, int(bad)))
     rows += [(900, None), (901, ""), (0, rows[0][1])]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(1) for c in ("y", "f", "toxic", "score", "held_out")})
     marks = spark.createDataFrame(labels + [(1, 1, None), (5, 0, 1)], "doc_id bigint, quality int, toxic int")
     got = toxicity.score(docs, toxicity.train(docs, marks)).collect()
     assert len(got) == len(rows)
@@ -191,6 +234,33 @@ def test_toxicity(spark):
     assert none[2] == 0 and toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_ftrl_is_that_of_single_coordinates():
+    rng = random.Random(3)
+    rows = [(sorted(rng.sample(range(30), rng.randint(0, 9))), rng.randint(0, 1)) for _ in range(300)]
+    model = toxicity.Ftrl(30)
+    z, n, a, b, l1, l2 = [0.0] * 31, [0.0] * 31, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+
+    def weight(i):
+        cut = l1 if i < 30 else 0.0  # the bias, number 30, has no L1
+        return 0.0 if i < 30 and abs(z[i]) <= cut else -(z[i] - math.copysign(cut, z[i])) / ((b + math.sqrt(n[i])) / a + l2)
+
+    for f, y in rows:
+        model.learn(np.array(f, np.int64), y)
+        w = {i: weight(i) for i in [*f, 30]}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - y
+        for i, x in w.items():
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a * x
+            n[i] += g * g
+    assert np.allclose(model.weights(slice(None)), [weight(i) for i in range(30)]) and model.bias == pytest.approx(weight(30))
+    assert np.count_nonzero(model.weights(slice(None))) < 30
+
+
+def test_features_of_a_text():
+    f, at = toxicity.features(pa.array(["One two, one", None, "two"]))
+    assert list(np.diff(at)) == [len({*"one two".split(), "one two", "two one", "one * one"}), 0, 1]
+    assert set(f[at[2] : at[3]]) < set(f[at[0] : at[1]])
+
+
 # -- 2 ------------------------------------------------------------------------------------
 
 
@@ -211,6 +281,45 @@ def test_language_model(docs):
         assert r["score"] < 0 and math.isfinite(r["score"])
 
 
+def test_language_model_of_odd_tables(spark):
+    assert lm.score(empty(spark)).count() == 0
+    rows = [(1, "a b c"), (1, "c b a a"), (1, "a b c"), (None, "a b c"), (2, None), (7, "zz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(1) for c in ("h", "x", "of", "score", "slot")})
+    got = lm.score(docs).collect()
+    assert len(got) == len(rows)
+    by = {(r["doc_id"], r["n_tokens"], round(r["score"], 9)) for r in got}
+    assert len(by) == 5  # rows with the same text and id are alike, others of one id are not
+    assert len({round(r["score"], 9) for r in got if r["n_tokens"] == 4}) == 1
+
+
+def test_attention_helps_on_held_out_text(data, tokenizer):
+    texts = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, np.int64) for t in pq.read_table(f"{data}/documents.parquet")["text"].to_pylist()]
+    train, held = texts[: len(texts) * 4 // 5], texts[len(texts) * 4 // 5 :]
+    counts = np.bincount(np.concatenate(train), minlength=lm.VOCAB)
+    counts[lm.END] += len(train)
+    active = lm.active_ids(counts)
+    pairs = np.zeros((lm.ACTIVE + 1) ** 2, np.int64)
+    for t in train:
+        x, y, _ = lm.sequences(t, np.array([0, len(t)]))
+        np.add.at(pairs, active[x] * (lm.ACTIVE + 1) + active[y], 1)
+    word_end = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(lm.VOCAB)])
+    model, p = lm.fit(train, counts, pairs, word_end)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in held])])
+    n = at[-1] + len(held)
+    whole = lm.score_ids(model, p, np.concatenate(held), at).sum() / n
+    x, y, _ = lm.sequences(np.concatenate(held), at)
+    alone = (p.logs[p.active[x] * (lm.ACTIVE + 1) + p.active[y]].astype(float) + p.part[y]).sum() / n / np.log(10)
+    assert whole > alone + 0.02
+
+
+def test_large_attention_scores_stay_finite():
+    model = lm.Attention(lm.CLASSES + 2)
+    model.p = {k: v * np.float32(60) for k, v in model.p.items()}
+    model.ready()
+    x = np.random.default_rng(1).integers(0, lm.ACTIVE, (3, lm.WINDOW))
+    assert np.isfinite(model.shifts(x, np.zeros((3, lm.STRIDE), np.int64), np.full((lm.ACTIVE + 1, lm.CLASSES + 2), 0.03, np.float32))).all()
+
+
 def test_windows_score_each_id_once():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 50, n) for n in (0, 1, lm.STRIDE - 1, lm.STRIDE, 100)]
@@ -291,6 +400,51 @@ def test_near_vectors_of_a_dense_group(spark):
     assert all(got[i]["component_id"] == 0 for i in np.flatnonzero(links) if i < 2000)
 
 
+def test_near_vectors_through_a_pruning_index(spark):
+    rng = np.random.default_rng(10)
+    n = 20_000
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 1200, 2):  # pairs, some of them in chains, of cosine 0.95 to 0.97
+        c = rng.uniform(0.951, 0.97)
+        other = rng.normal(size=64)
+        other -= other @ x[i] * x[i]
+        x[i + 1] = c * x[i] + math.sqrt(1 - c * c) * other / np.linalg.norm(other)
+        if i % 10 == 0:
+            x[i + 2] = x[i + 1]
+    links = np.zeros(n, int)
+    pairs = []
+    for a in range(0, n, 2000):
+        near = np.argwhere(x[a : a + 2000] @ x.T >= 0.95)
+        pairs += [(a + p, q) for p, q in near.tolist() if a + p < q]
+    for p, q in pairs:
+        links[p] += 1
+        links[q] += 1
+    assert len(pairs) > 600
+    # The index proposes a small part of all pairs.
+    chosen, cover = pivots.chosen_pivots(x[:: n // (n // pivots.PER_PIVOT)], 0.95)
+    near, owner, _, many = pivots.describe(x, chosen, pivots.NEAREST, cover, 0.95)
+    lists = np.bincount(near[owner < 0].ravel(), minlength=len(chosen))
+    kept = np.sort(lists[near[owner < 0]], axis=1)[:, : pivots.NEAREST - pivots.SHARED + 1]
+    assert (kept.sum() + many.sum() * many.sum() / len(chosen)) / 2 < 0.2 * n * n / 2
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>").repartition(8)
+    got = {r["vec_id"]: r for r in pivots.near_duplicates(table).collect()}
+    found = sum(r["n_links"] for r in got.values())
+    assert all(got[i]["n_links"] <= links[i] for i in range(n)) and found >= 0.99 * links.sum()
+
+
+def test_repeated_vectors(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.99, 0.01, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a), (5, a), (3, b), (9, a), (9, c), (2, c), (None, c), (4, [0.0, 1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in pivots.near_duplicates(table).collect()), key=str)
+    assert got == sorted([(5, 2, 3, False), (5, 2, 3, False), (3, 2, 3, True), (9, 2, 3, False), (9, 1, 2, False), (2, 1, 2, True), (None, 1, 2, False), (4, 0, 4, True)], key=str)
+    rows = [(20, a), (20, a), (20, c), (3, b), (3, [5.0, 0.0, 0.0]), (3, b), (7, c), (8, [0.0, 0.0, 0.5]), (None, a)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in kmtree.neighbours(table).orderBy("rank").collect()]
+    assert got == [(20, 1, 3, 5.0), (20, 2, 7, 1.0), (20, 3, 8, 0.5)]
+
+
 def test_neighbours(vectors):
     own = usable(vectors)
     got = {}
@@ -389,7 +543,7 @@ def test_line_candidates_beyond_those_carried():
     n = len(rows)
     col = {"token": np.array([r[0] for r in rows], np.uint64), "doc": np.array([r[1] for r in rows]), "line": np.zeros(n, np.int64), "size": np.full(n, 20), "pos": np.zeros(n, np.int64), "open": np.ones(n, bool)}
     col |= {f"b{k}": np.zeros(n, np.uint64) for k in range(linededup.MAP_WORDS)} | {c: np.zeros(n, np.int64) for c in ("i", "j", "block")}
-    few, every = linededup.candidates(dict(col), 2), linededup.candidates(dict(col), None)
+    few, every = (pa.Table.from_batches(list(linededup.candidates(dict(col), k))) for k in (2, None))
     assert all(len(x) <= 3 for x in few["xdoc"].to_pylist()) and any(few["more"].to_pylist())
     assert not any(every["more"].to_pylist())
     share = {d: sorted(e for e in range(d) if set(sets[d]) & set(sets[e])) for d in range(60)}
@@ -403,7 +557,10 @@ def test_line_candidates_let_go_between_batches(pairs, monkeypatch):
     n = 100  # equal lines of one list: each is a candidate of all that follow
     col = {"token": np.zeros(n, np.uint64), "doc": np.arange(n), "line": np.zeros(n, np.int64), "size": np.full(n, 20), "pos": np.zeros(n, np.int64), "open": np.ones(n, bool)}
     col |= {f"b{k}": np.zeros(n, np.uint64) for k in range(linededup.MAP_WORDS)} | {c: np.zeros(n, np.int64) for c in ("i", "j", "block")}
-    got = linededup.candidates(col, 5)
+    monkeypatch.setattr(linededup, "HELD", 30)
+    every = pa.Table.from_batches(list(linededup.candidates(dict(col), None)))
+    assert sum(map(len, every["xdoc"].to_pylist())) == n * (n - 1) // 2 and (every.num_rows > n - 1) == (pairs < 1 << 19)
+    got = pa.Table.from_batches(list(linededup.candidates(col, 5)))
     assert got["doc"].to_pylist() == list(range(1, n))
     assert [len(x) for x in got["xdoc"].to_pylist()] == [min(d, 6) for d in range(1, n)]
     assert got["more"].to_pylist() == [d > 6 for d in range(1, n)]
