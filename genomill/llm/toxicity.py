@@ -6,9 +6,9 @@ that inflected forms share what is learned).  The model is fitted by FTRL-proxim
 coordinate has its own learning rate from the gradients that it has seen, and L1 keeps most
 weights at exactly zero, so that the weights that are broadcast are few.
 
-It is fitted on the driver from a bounded sample of labelled rows outside fold 0
-(``SAMPLE`` documents and ``SAMPLE_FEATURES`` features of each, picked by hash, at most);
-scoring covers every row in one scan without a shuffle.  A score is the logistic of the
+It is fitted on the driver from a bounded sample of labelled rows outside fold 0 (about
+``SAMPLE`` documents, picked by hash, with all their features; a document has at most
+``2**BITS``); scoring covers every row in one scan without a shuffle.  A score is the logistic of the
 weights of the features that a document has, so that clean text of any length adds nothing.
 
 Null and empty texts have only the bias.  Without labels of both kinds the score is the
@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bounded_batches, fold, steps, table
+from .common import bounded_batches, drop, fold, save, steps, table
 
 BITS = 20
-SAMPLE, SAMPLE_FEATURES = 12_000, 4_000
+SAMPLE = 12_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1.0, 0.1
 STEMS = (4, 5, 6, 7)
 EPOCHS = 6
@@ -111,10 +111,12 @@ def train(docs: DataFrame, labels: DataFrame, test_mod: int = 5, bits: int = BIT
         for step in steps(batches, "text"):
             f, at = features(step.column("text"), bits)
             rows = [f[a:b] for a, b in zip(at, at[1:], strict=False)]
-            rows = [x if len(x) <= SAMPLE_FEATURES else x[np.argsort(tk.mix(x.astype(np.uint64)), kind="stable")[:SAMPLE_FEATURES]] for x in rows]
             yield pa.RecordBatch.from_arrays([step.column("doc_id"), step.column("y"), pa.array([x.tobytes() for x in rows], pa.binary())], names=["doc_id", "y", "f"])
 
-    rows = [(r["doc_id"], r["y"], r["f"]) for r in labelled(docs, labels, test_mod).mapInArrow(run, "doc_id bigint, y int, f binary").toLocalIterator()]
+    # Made on all executors at once, then read part by part.
+    made = save(labelled(docs, labels, test_mod).mapInArrow(run, "doc_id bigint, y int, f binary"), "features")
+    rows = [(r["doc_id"], r["y"], bytes(r["f"])) for r in made.toLocalIterator()]
+    drop(made)
     # One order whatever the partitions; repeated rows stay.
     rows.sort(key=lambda r: (r[0], r[2]))
     ys = [y for _, y, _ in rows]
