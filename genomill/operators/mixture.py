@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..model import SITE, wide
 from ..shipping import ship
@@ -115,35 +117,70 @@ def leave_one_out(calls: DataFrame, n_loci: int, least_share: float = 0.9, min_g
     return best.withColumn("correct", F.col("population") == F.col("assigned"))
 
 
+def grid(step: float, three: bool) -> np.ndarray:
+    """The shares (first, second) of a grid, in order."""
+    k = round(1 / step)
+    return np.array([(i, j) for i in range(k + 1) for j in (range(k + 1 - i) if three else [0])]) / k
+
+
+def _logs(alt: np.ndarray, ref: np.ndarray, const: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Log-likelihoods (rows x points) of alleles under blends of three frequencies."""
+    p = np.clip(b[:, None] + (x - b)[:, None] * points[:, 0] + (y - b)[:, None] * points[:, 1], FLOOR, 1 - FLOOR)
+    return alt[:, None] * np.log(p) + ref[:, None] * np.log1p(-p) + const[:, None]
+
+
 def mixture_grid(calls: DataFrame, freqs: DataFrame, base, one, two=None, step: float = 0.01, least_gap: float = 0.15) -> DataFrame:  # noqa: ANN001
     """Maximum-likelihood shares of ``one`` (and ``two``) against ``base`` on a grid; the first
-    maximum in order of the first share, then the second.  The grid is an array inside the
-    aggregate: sites x grid rows are never made."""
-    k = round(1 / step)
+    maximum in order of the first share, then the second.  Each task adds up the grid's sums for
+    each sample, ``PART`` loci at a time; sites x grid rows are never made, and a sample's loci
+    never meet in one task."""
     at = lambda pop, name: freqs.filter((F.col("population") == pop) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias(name))
-    loci = at(base, "b").join(at(one, "x"), SITE)
-    gap = F.abs(F.col("x") - F.col("b")) >= least_gap
+    loci, gap = at(base, "b").join(at(one, "x"), SITE), F.abs(F.col("x") - F.col("b")) >= least_gap
     if two is not None:
-        loci = loci.join(at(two, "y"), SITE)
-        gap = gap | (F.abs(F.col("y") - F.col("b")) >= least_gap)
-    points = [(i, j) for i in range(k + 1) for j in (range(k + 1 - i) if two is not None else [0])]
-    own = calls.filter("n_alt is not null").join(loci.filter(gap), SITE)
-
-    def mixed(i: int, j: int) -> Column:
-        p = F.col("b") * ((k - i - j) / k) + F.col("x") * (i / k)
-        return p + F.col("y") * (j / k) if two is not None else p
-
-    out = None
-    # A few hundred sums an aggregate keep generated code small.
-    for s in range(0, len(points), 200):
-        part = points[s : s + 200]
-        got = own.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_loci"), *[F.sum(log_pmf(F.col("n_alt"), mixed(i, j))).alias(f"g{i}_{j}") for i, j in part])
-        each = F.array(*[F.struct(F.col(f"g{i}_{j}").alias("ll"), F.lit(-i).alias("i"), F.lit(-j).alias("j")) for i, j in part])
-        best = got.select("sample_id", "n_loci", F.array_max(each).alias("best"))
-        out = best if out is None else out.unionByName(best)
-    top = out.groupBy("sample_id").agg(F.max("n_loci").alias("n_loci"), F.max("best").alias("best"))
-    cols = [(-F.col("best.i") / k).alias("share_one")] + ([(-F.col("best.j") / k).alias("share_two")] if two is not None else [])
-    return top.select("sample_id", "n_loci", *cols, F.col("best.ll").alias("loglik"))
+        loci, gap = loci.join(at(two, "y"), SITE), gap | (F.abs(F.col("y") - F.col("b")) >= least_gap)
+    else:
+        loci = loci.withColumn("y", F.lit(0.0))
+    points, three, kind = grid(step, two is not None), two is not None, dict(calls.dtypes)["sample_id"]
+    own = calls.filter("n_alt is not null").join(loci.filter(gap), SITE).select("sample_id", F.col("n_alt").cast("double").alias("g"), "b", "x", "y")
+    ship(calls.sparkSession)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            for s in range(0, batch.num_rows, PART):
+                part = batch.slice(s, PART)
+                g, b, x, y = (part.column(c).to_numpy() for c in ("g", "b", "x", "y"))
+                ll = _logs(g, 2 - g, np.where(g == 1, math.log(2.0), 0.0), b, x, y, points)
+                ids = part.column("sample_id").dictionary_encode()
+                code = ids.indices.to_numpy()
+                order = np.argsort(code, kind="stable")
+                head = np.flatnonzero(np.concatenate([[True], np.diff(code[order]) > 0]))
+                for c, n, row in zip(code[order][head], np.diff(np.append(head, len(code))), np.add.reduceat(ll[order], head), strict=True):
+                    key = ids.dictionary[c].as_py()
+                    was = held.get(key, (0, 0.0))
+                    held[key] = was[0] + int(n), was[1] + row
+        yield made(held)
+
+    def made(held: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), types["sample_id"]), pa.array([n for n, _ in held.values()], pa.int64()), pa.array([r.tobytes() for _, r in held.values()], pa.binary())], names=["sample_id", "n_loci", "ll"])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            for key, n, ll in zip(*(batch.column(c).to_pylist() for c in ("sample_id", "n_loci", "ll")), strict=True):
+                was = held.get(key, (0, 0.0))
+                held[key] = was[0] + n, was[1] + np.frombuffer(ll)
+        # Rounded, so that equal likelihoods tie whatever their rounding errors.
+        top = {k: int(np.argmax(np.round(ll, 9))) for k, (_, ll) in held.items()}
+        cols = {"sample_id": pa.array(list(held), types["sample_id"]), "n_loci": pa.array([n for n, _ in held.values()], pa.int64()), "share_one": pa.array([points[i, 0] for i in top.values()], pa.float64())}
+        if three:
+            cols["share_two"] = pa.array([points[i, 1] for i in top.values()], pa.float64())
+        cols["loglik"] = pa.array([float(ll[top[k]]) for k, (_, ll) in held.items()], pa.float64())
+        yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    types = {"sample_id": to_arrow_type(own.schema["sample_id"].dataType)}
+    per = own.mapInArrow(sums, f"sample_id {kind}, n_loci bigint, ll binary").repartition("sample_id")
+    return per.mapInArrow(best, f"sample_id {kind}, n_loci bigint, share_one double, " + "share_two double, " * three + "loglik double")
 
 
 def alleles(calls: DataFrame) -> DataFrame:
@@ -159,11 +196,10 @@ def blend_grid(counted: DataFrame, freqs: DataFrame, base, one, two=None, step:
     also 2.5 and 97.5 percentiles over resampled loci.  A locus counts Poisson(1) times in a
     replicate, by a hash.  The grid stays in the workers: loci x grid numbers of ``PART`` loci
     at a time, and replicates x grid sums of each id."""
-    k = round(1 / step)
     at = lambda pop, name: freqs.filter((F.col("population") == pop) & F.col("p").isNotNull()).select(*SITE, F.col("p").alias(name))
     loci = at(base, "b").join(at(one, "x"), SITE)
     loci = loci.join(at(two, "y"), SITE) if two is not None else loci.withColumn("y", F.lit(0.0))
-    points = np.array([(i, j) for i in range(k + 1) for j in (range(k + 1 - i) if two is not None else [0])]) / k
+    points = grid(step, two is not None)
     cuts = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(8)])
 
     def fit(rows: pa.Table) -> pa.Table:
@@ -172,8 +208,7 @@ def blend_grid(counted: DataFrame, freqs: DataFrame, base, one, two=None, step:
         alt, ref, const, b, x, y, h = (rows.column(c).to_numpy().astype(np.uint64 if c == "h" else float) for c in ("alt", "ref", "const", "b", "x", "y", "h"))
         for s in range(0, len(alt), PART):
             o = slice(s, s + PART)
-            p = np.clip(b[o, None] + (x - b)[o, None] * points[:, 0] + (y - b)[o, None] * points[:, 1] * (two is not None), FLOOR, 1 - FLOOR)
-            ll = alt[o, None] * np.log(p) + ref[o, None] * np.log(1 - p) + const[o, None]
+            ll = _logs(alt[o], ref[o], const[o], b[o], x[o], y[o], points)
             u = h[o, None] ^ (np.arange(1, reps + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
             for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 u = (u ^ (u >> np.uint64(shift))) * np.uint64(times)

@@ -487,11 +487,11 @@ def mixture_grid(spark, d):
 
 
 @query("mixture_grid_3way", """, lo AS (SELECT a.chrom, a.pos, a.p AS b, x.p AS x, y.p AS y FROM f a JOIN f x USING (chrom, pos) JOIN f y USING (chrom, pos) WHERE a.population = 2 AND x.population = 0 AND y.population = 1 AND (abs(a.p - x.p) >= 0.15 OR abs(a.p - y.p) >= 0.15)),
- gr AS (SELECT i, j FROM range(0, 21) r(i), range(0, 21) s(j) WHERE i + j <= 20), o AS (SELECT sample_id, n_alt, i, j, least(greatest(b * ((20 - i - j) / 20.0::DOUBLE) + x * (i / 20.0::DOUBLE) + y * (j / 20.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), gr),
- """ + f"t AS (SELECT sample_id, i, j, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i, j) AS rk FROM t) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 20.0::DOUBLE, 4) AS share_one, round(j / 20.0::DOUBLE, 4) AS share_two, round(ll, 4) AS loglik FROM z WHERE rk = 1")
+ gr AS (SELECT i, j FROM range(0, 101) r(i), range(0, 101) s(j) WHERE i + j <= 100), o AS (SELECT sample_id, n_alt, i, j, least(greatest(b * ((100 - i - j) / 100.0::DOUBLE) + x * (i / 100.0::DOUBLE) + y * (j / 100.0::DOUBLE), 1e-4), 1 - 1e-4) AS q FROM c JOIN lo USING (chrom, pos), gr),
+ """ + f"t AS (SELECT sample_id, i, j, count(*) AS n_loci, sum({_GRID_LL}) AS ll FROM o GROUP BY ALL), z AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ll DESC, i, j) AS rk FROM t) SELECT sample_id, CAST(n_loci AS BIGINT) AS n_loci, round(i / 100.0::DOUBLE, 4) AS share_one, round(j / 100.0::DOUBLE, 4) AS share_two, round(ll, 4) AS loglik FROM z WHERE rk = 1")
 def mixture_grid_3way(spark, d):
     c = called(spark, d)
-    return rounded(mixture.mixture_grid(c, counts(c), 2, 0, 1, step=0.05), "share_one", "share_two", "loglik", digits=4)
+    return rounded(mixture.mixture_grid(c, counts(c), 2, 0, 1, step=0.01), "share_one", "share_two", "loglik", digits=4)
 
 
 @query("bootstrap_ci")
