@@ -1,7 +1,10 @@
 """Language identification by compression (operator 4).
 
 For each language a raw-content zstandard dictionary is made from a bounded sample of its
-training texts.  A text is compressed with every dictionary; the language whose dictionary
+training documents: about ``SAMPLE_DOCS`` whole texts, whose distinct runs of words (a line, or
+``RUN`` words of it) fill a dictionary of ``DICTIONARY`` bytes in the order of a hash, so that
+all parts of all texts have the same chance; runs that two languages share are left out.  The
+runs are sorted out on the executors.  A text is compressed with every dictionary; the language whose dictionary
 leaves the fewest bytes is chosen.  ``score`` is the margin: the share of the second-best
 size that the best saves (0 to 1).  A text is *rejected* when that margin is narrow, or when
 there is nothing to go by.
@@ -15,7 +18,8 @@ compressor would store short texts as they are.  A text is narrow if its second
 within ``MARGIN``.
 
 Null texts and texts without a letter: ``und``, score 0, rejected.  Without any training
-language every text is ``und``.  Ties go to the language that sorts first.
+language every text is ``und``.  Ties go to the language that sorts first.  Repeated rows
+each have a result.
 """
 
 from __future__ import annotations
@@ -28,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, hold, steps, table
+from .common import bounded_batches, drop, fold, hold, save, steps, table
 
-#: Training sample: documents of each language (about), and characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 600, 6_000
-#: Bytes of a language's dictionary at most.
-DICTIONARY = 224 << 10
+#: Training sample: documents of each language (about), all of them whole.
+SAMPLE_DOCS = 600
+#: Words of a run at most, and bytes of a language's dictionary.
+RUN, DICTIONARY = 64, 224 << 10
 LEVEL = 3
 BLOCK = 64 << 10
 #: Margins below this get a second look, with this level and so many zeros; second looks
@@ -51,33 +55,49 @@ def normal(text: str) -> bytes:
     return b" ".join([w for w, _ in groupby(words)])
 
 
-def train(docs: DataFrame, test_mod: int = 5, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, size: int = DICTIONARY) -> dict[str, bytes]:
+def runs(text: str) -> Iterator[bytes]:
+    """The folded lines that have a letter, cut into runs of RUN words."""
+    for line in text.split("\n"):
+        if _LETTER.search(line):
+            words = normal(line).split(b" ")
+            for i in range(0, len(words), RUN):
+                if run := b" ".join(words[i : i + RUN]):
+                    yield run
+
+
+def train(docs: DataFrame, test_mod: int = 5, sample_docs: int = SAMPLE_DOCS, size: int = DICTIONARY) -> dict[str, bytes]:
     """Dictionaries by language, of ``size`` bytes at most, from documents outside fold 0."""
-    usable = docs.filter((fold("doc_id", test_mod) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # A document's place in its language's sample depends on its id alone.
-    ranked = usable.select("lang", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("at"), "text")
-    counts = {r["lang"]: r["n"] for r in docs.filter((fold("doc_id", test_mod) != 0) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    usable = docs.filter((fold("doc_id", test_mod) != 0) & F.col("lang").isNotNull())
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}
+    # A document's place in its language's sample depends on its id alone.
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 30, int((1 << 30) * sample_docs / n) + 1))])
-    sample = ranked.filter(F.col("at") < share[F.col("lang")]).select("lang", "at", F.substring("text", 1, sample_chars).alias("text"))
-    parts: dict[str, dict[bytes, None]] = {}
-    for r in sample.orderBy("lang", "at", "text").toLocalIterator():
-        lines = parts.setdefault(r["lang"], {})
-        for line in r["text"].split("\n"):
-            if (b := normal(line)) and _LETTER.search(line):
-                lines.setdefault(b)
-    # Lines that several languages share say nothing about any of them.
-    shared = {b for lang, lines in parts.items() for b in lines if sum(b in x for x in parts.values()) > 1}
+    sample = usable.filter(F.col("text").isNotNull() & (at < share[F.col("lang")])).select("lang", "text")
+    bounded_batches(docs.sparkSession)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches, "text"):
+            rows = [(lang, r) for lang, t in zip(step.column("lang").to_pylist(), step.column("text").to_pylist(), strict=True) for r in set(runs(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.string()), pa.array([r for _, r in rows], pa.binary())], names=["lang", "run"])
+
+    # A run that several languages have says nothing about any of them.
+    own = save(sample.mapInArrow(split, "lang string, run binary").groupBy("run").agg(F.min("lang").alias("lang"), F.max("lang").alias("other")).filter("lang = other").select("lang", "run", F.pmod(F.xxhash64("run"), F.lit(1 << 30)).alias("at")), "runs")
+    whole = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.sum(F.length("run") + 1).alias("n")).collect()}
     out = {}
-    for lang in sorted(parts):
+    for lang in sorted(whole):
+        # Somewhat more than fills the dictionary.
+        bound = min(1 << 30, int((1 << 30) * (1.1 * size + (64 << 10)) / whole[lang]) + 1)
         kept, total = [], 0
-        for b in parts[lang]:
-            if b not in shared and total + len(b) < size:
-                kept.append(b)
-                total += len(b) + 1
-        out[lang] = b" ".join(kept)
-    return {lang: b for lang, b in out.items() if b}
+        for r in own.filter((F.col("lang") == lang) & (F.col("at") < bound)).select("run", "at").orderBy("at", "run").collect():
+            if total + len(r["run"]) < size:
+                kept.append(bytes(r["run"]))
+                total += len(r["run"]) + 1
+        if kept:
+            out[lang] = b" ".join(kept)
+    drop(own)
+    return out
 
 
 class Classifier:
