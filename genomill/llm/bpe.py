@@ -10,7 +10,7 @@ joined level by level (``tree``).
 Leaves are encoded by chunks: the tokenizer drops white space and never merges across it, so
 a leaf's ids are those of its white-space-free chunks one after another.  Chunks are found and
 hashed in blocks (``textkernel``); each distinct chunk is encoded once per worker by the
-tokenizer library and then looked up.
+tokenizer library and then looked up (the seldom ones are forgotten when the table is full).
 
 Why agreement is enough: a sequence of tokens is the encoding of its text exactly if every
 adjacent pair of tokens is.  Inside each side and inside the window all pairs are sound;
@@ -27,6 +27,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -76,25 +77,39 @@ class Encoder:
     def _forget(self) -> None:
         self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.first, self.size, self.n = np.empty(1024, np.int32), np.empty(1024, np.int32), 0
+        self.asked = np.zeros(1024, np.int32)  # in how many steps
         self.pool, self.used = np.empty(4096, np.int32), 0
 
+    def _thin(self) -> None:
+        """Forgets the chunks that few steps asked for, half of what is remembered or more; how
+        often the others were asked for is halved, so that they go in their turn."""
+        asked = self.asked[self.place]
+        keep = np.flatnonzero(asked > max(1, np.partition(asked, len(asked) // 2)[len(asked) // 2]))
+        place = self.place[keep]
+        sizes = self.size[place]
+        pool = ragged(self.pool, sizes.astype(np.int64), self.first[place].astype(np.int64))
+        self.keys, self.place, self.n = self.keys[keep], np.arange(len(keep), dtype=np.int32), len(keep)
+        self.size, self.first = sizes, (np.cumsum(sizes) - sizes).astype(np.int32)
+        self.asked, self.pool, self.used = asked[keep] // 2, pool, len(pool)
+
     # -- chunks ---------------------------------------------------------------------
 
     def _learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Encodes new chunks (by ascending key), a portion at a time."""
-        if 20 * (len(self.keys) + len(keys)) + 4 * self.used > REMEMBERED:
-            self._forget()  # what is needed now is learned again by the caller
-        n = self.n + len(keys)
+        if len(self.keys) and 24 * (len(self.keys) + len(keys)) + 4 * self.used > REMEMBERED:
+            self._thin()  # what is needed now and is gone is learned again by the caller
+        n, data = self.n + len(keys), raw.tobytes()
         if n > len(self.first):
-            self.first, self.size = np.resize(self.first, n + n // 2), np.resize(self.size, n + n // 2)
+            self.first, self.size, self.asked = (np.resize(x, n + n // 2) for x in (self.first, self.size, self.asked))
+        self.asked[self.n : n] = 0
         for a in range(0, len(keys), PORTION):
-            chunks = [raw[s:e].tobytes().decode("utf-8") for s, e in zip(starts[a : a + PORTION].tolist(), ends[a : a + PORTION].tolist(), strict=True)]
+            chunks = [data[s:e].decode("utf-8") for s, e in zip(starts[a : a + PORTION].tolist(), ends[a : a + PORTION].tolist(), strict=True)]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
             sizes = np.fromiter(map(len, ids), np.int32, len(ids))
             until = self.used + int(sizes.sum())
             if until > len(self.pool):
                 self.pool = np.resize(self.pool, until + until // 2)
-            self.pool[self.used : until] = np.fromiter((x for one in ids for x in one), np.int32, until - self.used)
+            self.pool[self.used : until] = np.fromiter(chain.from_iterable(ids), np.int32, until - self.used)
             at = self.n + a
             self.first[at : at + len(ids)] = self.used + np.cumsum(sizes) - sizes
             self.size[at : at + len(ids)] = sizes
@@ -115,6 +130,7 @@ class Encoder:
                 break
             new = np.flatnonzero(~known)
             self._learn(keys[new], raw, starts[one[new]], ends[one[new]])
+        self.asked[self.place[to]] += 1
         place = self.place[to][which]
         sizes = self.size[place].astype(np.int64)
         return ragged(self.pool, sizes, self.first[place].astype(np.int64)), np.concatenate([[0], np.cumsum(sizes)])
