@@ -9,7 +9,7 @@ from it, so it is computed once, with map-side combining, and reused.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shipping import ship
@@ -78,3 +78,21 @@ def wide(count: DataFrame, populations: list, value: str = "p") -> DataFrame:
     for i, p in enumerate(populations):
         out = out.withColumnRenamed(str(p), f"p{i}")
     return out.dropna(subset=[f"p{i}" for i in range(len(populations))])
+
+
+#: Bases of a bin within which sites are ranked.
+RANK_BP = 1 << 20
+
+
+def ranked(sites: DataFrame) -> DataFrame:
+    """Adds ``_rank``, the number of sites before in order of (chrom, pos), and ``_total``.  Ranks
+    are made within bins of RANK_BP bases and offset by the bins before, of which there are as
+    many as a genome has megabases, so that no task orders a contig."""
+    own = sites.withColumn("_bin", F.floor(F.col("pos") / RANK_BP))
+    per = own.groupBy("chrom", "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("chrom", "_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = per.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    total = per.agg(F.sum("_n").alias("_total"))
+    within = F.row_number().over(Window.partitionBy("chrom", "_bin").orderBy("pos")) - 1
+    placed = own.withColumn("_k", within).join(F.broadcast(before), ["chrom", "_bin"]).join(F.broadcast(total))
+    return placed.withColumn("_rank", F.col("_before") + F.col("_k")).select(*sites.columns, "_rank", "_total")

@@ -13,25 +13,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.special import significant, two_sided_p
-from ..model import SITE, wide
+from ..model import SITE, ranked, wide
 
 
 def block_of(sites: DataFrame, mode: str = "chromosome", size_bp: int = 1_000_000, n_blocks: int = 20) -> DataFrame:
     """Adds ``block``: the contig, a run of ``size_bp`` bases, or one of ``n_blocks`` runs of
-    sites of equal number (as NTILE).  Ranks for the last are made per contig and offset."""
+    sites of equal number (as NTILE)."""
     if mode == "chromosome":
         return sites.withColumn("block", F.col("chrom").cast("string"))
     if mode == "bp":
         return sites.withColumn("block", F.concat_ws(":", F.col("chrom"), F.floor((F.col("pos") - 1) / size_bp)))
-    per = sites.groupBy("chrom").agg(F.count(F.lit(1)).alias("_n"))
-    before = per.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = per.agg(F.sum("_n").alias("_total"))
-    ranked = sites.withColumn("_k", F.row_number().over(Window.partitionBy("chrom").orderBy("pos")) - 1)
-    placed = ranked.join(F.broadcast(before.drop("_n")), "chrom").join(F.broadcast(total))
-    i, n = F.col("_before") + F.col("_k"), F.least(F.col("_total"), F.lit(n_blocks))
+    i, n = F.col("_rank"), F.least(F.col("_total"), F.lit(n_blocks))
     size, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     tile = F.when(i < extra * (size + 1), F.floor(i / (size + 1))).otherwise(extra + F.floor((i - extra * (size + 1)) / size))
-    return placed.withColumn("block", tile.cast("string")).drop("_k", "_before", "_total")
+    return ranked(sites).withColumn("block", tile.cast("string")).drop("_rank", "_total")
 
 
 def block_sums(terms: DataFrame, by: list[str]) -> DataFrame:

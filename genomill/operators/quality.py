@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import is_autosome
-from ..model import SITE
+from ..model import SITE, ranked
 from . import dense
 
 
@@ -90,16 +90,9 @@ def heterozygosity_per_kb(calls: DataFrame) -> DataFrame:
 
 
 def marker_panel(sites: DataFrame, target: int) -> DataFrame:
-    """Every ceil(n / target)-th autosomal site in order.  Ranks within a contig are offset by
-    the contigs before it, so that no one task orders all sites."""
-    own = autosomal(sites)
-    per = own.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
-    before = per.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = per.agg(F.sum("n").alias("total"))
-    ranked = own.withColumn("k", F.row_number().over(Window.partitionBy("chrom").orderBy("pos")))
-    placed = ranked.join(F.broadcast(before), "chrom").join(F.broadcast(total))
-    stride = F.ceil(F.col("total") / F.lit(target))
-    return placed.filter((F.col("before") + F.col("k") - 1) % stride == 0).select(*sites.columns)
+    """Every ceil(n / target)-th autosomal site in order."""
+    stride = F.ceil(F.col("_total") / F.lit(target))
+    return ranked(autosomal(sites)).filter(F.col("_rank") % stride == 0).select(*sites.columns)
 
 
 def concordance(calls: DataFrame, least_sites: int = 100, threshold: float = 0.98) -> DataFrame:
