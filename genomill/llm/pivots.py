@@ -25,7 +25,9 @@ The number of pivots follows the number of vectors (one for ``PER_PIVOT``), up t
 split into more blocks.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing;
-vectors of different lengths do not link.  vec_ids are taken to be unique.
+vectors of different lengths do not link.  A row's result is that of its vector: equal rows are
+one vector, and a vector's links count the other vec_ids that hold it or a vector linked with
+it, once for each of their vectors.  Classes are known by 64 bits of a digest.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save, table
+from .common import drop, save, spread_join, table
 from .components import connected_components
 from .vectors import classes, sample, stack
 
@@ -248,18 +250,23 @@ def linked(vectors: DataFrame, dim: int, n: int, cosine: float = COSINE, nearest
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row."""
     rows = save(classes(embeddings), "vectors")
-    vectors = save(rows.filter("key is not null").groupBy("key", "dim").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("mult"), F.first("x").alias("x")), "classes")
+    held = rows.filter("key is not null").groupBy("key", "dim").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("mult"), F.first("x").alias("x"))
+    vectors = save(held.withColumn("id", F.xxhash64("key")), "classes")
     parts = [linked(vectors, r["dim"], r["n"], cosine) for r in vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()]
     found = rows.sparkSession.createDataFrame([], "id bigint, links bigint, low bigint")
     for part in parts:
         found = found.union(part)
     found = save(found, "links")
     joined = connected_components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    # A component's smallest vec_id; a component of many classes is joined where they are.
+    least = joined.join(vectors.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+    joined = spread_join(joined, least, "component", joined.count()).select("id", "component_id")
     known = vectors.join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left").join(joined, "id", "left")
-    known = known.select("key", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    known = save(known.select("key", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")), "known")
+    drop(vectors, found)
     out = rows.select("vec_id", "key").join(known, "key", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = out.select("vec_id", F.greatest(F.coalesce("n_links", F.lit(0)), F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op1_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
