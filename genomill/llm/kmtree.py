@@ -13,7 +13,8 @@ many places.  A place keeps the best k of each query; the best k of all places a
 result, in double precision on the original vectors, ties to the smaller vec_id.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, and
-vectors of different lengths do not meet.  vec_ids are taken to be unique.
+vectors of different lengths do not meet.  Rows of one vec_id are one item: equal ones count
+once, and if its vectors differ, the nearest of them counts, of a query's as of a candidate's.
 """
 
 from __future__ import annotations
@@ -247,10 +248,13 @@ def search(rows: DataFrame, dim: int, n: int, k: int = K, every: int = 20) -> Da
 
 def neighbours(embeddings: DataFrame, k: int = K, every: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest that each query found, nearest first."""
-    rows = save(classes(embeddings).filter("key is not null").select(F.col("vec_id").alias("id"), "dim", "x"), "vectors")
+    rows = save(classes(embeddings).filter("key is not null and vec_id is not null").dropDuplicates(["vec_id", "key"]).select(F.col("vec_id").alias("id"), "dim", "x"), "vectors")
+    forms = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 1
     found = rows.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
     for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect():
-        found = found.union(search(rows, r["dim"], r["n"], k, every))
+        found = found.union(search(rows, r["dim"], r["n"], k * forms, every))
+    if forms > 1:
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
