@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -22,6 +23,8 @@ _OWN: dict[str, str] = {}
 _DEFAULT: dict[str, str] = {}
 #: Text bytes that one step of a Python worker handles at a time.
 STEP_BYTES = 3 << 20
+#: Rows of a step at most, so that 16 bits number them.
+STEP_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,14 +52,18 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(*frames: DataFrame) -> None:
-    """Deletes tables made by ``save`` that nothing will read again."""
+def drop(*frames: DataFrame, clean: bool = False) -> None:
+    """Deletes tables made by ``save`` that nothing will read again; ``clean`` also has the
+    driver look for shuffles that nothing refers to any more, whose files then go."""
     for frame in frames:
         spark = frame.sparkSession
         for name in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
             if workspace(spark).split("://")[-1] in name:
                 path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if frames and clean:
+        gc.collect()
+        frames[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -112,7 +119,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES
         i = 0
         while i < n:
             base = total[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(total, base + most, side="right")))
+            j = min(max(i + 1, int(np.searchsorted(total, base + most, side="right"))), i + STEP_ROWS)
             yield batch.slice(i, j - i)
             i = j
     trim()

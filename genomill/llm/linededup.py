@@ -24,6 +24,8 @@ that line is itself removed.  Lines without a word stay and match nothing.
 So a group of near copies costs a comparison for each line, not one for each pair.  Sets of
 up to three words match only equal sets, which step 1 settles.
 
+A line's words are told apart by 48 bits of their hashes.
+
 Null and empty texts have no lines; documents without an id are left as they are.  Rows of
 one doc_id are one document: line k of any of them stands at the same place, is counted
 once, and is removed from all of them if in any of them it matches an earlier line.
@@ -76,7 +78,7 @@ def line_sets(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     breaks = np.flatnonzero(raw == 10) + 1
     lines = np.unique(np.concatenate([at, breaks]))
     starts, ends = tk.spans(raw, at)
-    words, to = tk.distinct(tk.span_hashes(raw, starts, ends), np.searchsorted(starts, lines))
+    words, to = tk.distinct_upper(tk.span_hashes(raw, starts, ends), np.searchsorted(starts, lines))
     text = np.searchsorted(at, lines[:-1], side="right") - 1
     first = np.searchsorted(lines, at[:-1])
     number = np.arange(len(lines) - 1) - first[text] if len(lines) > 1 else np.empty(0, np.int64)
@@ -452,9 +454,8 @@ def _confirm(lines: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
         for s in range(0, len(now), 8192):
             a, b = x[now[s : s + 8192]], y[now[s : s + 8192]]
             pair = np.concatenate([np.repeat(np.arange(len(a)), size[a]), np.repeat(np.arange(len(b)), size[b])])
-            order = tk.grouped_order(pair, both := np.concatenate([ragged(words, size[a], at[a]), ragged(words, size[b], at[b])]))
-            p, w = pair[order], both[order]
-            same = np.bincount(p[1:][(p[1:] == p[:-1]) & (w[1:] == w[:-1])], minlength=len(a))
+            keys = tk.packed(pair, np.concatenate([ragged(words, size[a], at[a]), ragged(words, size[b], at[b])]))
+            same = np.bincount((keys[1:][keys[1:] == keys[:-1]] >> np.uint64(48)).astype(np.int64), minlength=len(a))
             done[place[b[IN * same >= OF * (size[a] + size[b])]]] = True
         low, high = high, high * 4
     trim()
@@ -517,7 +518,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     two = _matched(texts, found.join(one, ["doc", "line"], "left_anti").select("doc", "line", "xdoc", "xline"))
     parts = [one, two]
     rest = save(found.filter("more").select("doc", "line").distinct().join(one.union(two), ["doc", "line"], "left_anti"), "rest")
-    drop(found)
+    drop(found, clean=True)
     if not rest.isEmpty():
         again = save(_open_lists(prefixes, rest), "again")
         n_again = int(again.agg(F.sum(F.length("posts"))).first()[0] or 0) // _POST.itemsize
@@ -535,7 +536,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     n = lines.groupBy("doc").agg(F.count_distinct("line").alias("n_lines"))
     out = n.join(gone, "doc", "left").select(F.col("doc").alias("doc_id"), "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
     out = save(out, "removed")
-    drop(survey, firsts, rest, *parts)
+    drop(survey, firsts, rest, *parts, clean=True)
     return out
 
 

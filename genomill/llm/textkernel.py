@@ -23,8 +23,6 @@ _TABLE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint6
 _FOLDED = _TABLE.copy()
 _FOLDED[65:91] = _TABLE[97:123]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -76,7 +74,7 @@ def spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges [start, end) of the words; no word crosses the end of a text."""
     if not len(raw):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    space = _SPACE[raw]
+    space = (raw == 0x20) | (raw - np.uint8(9) < 5)
     first = ~space
     first[1:] &= space[:-1]
     heads = at[:-1][(at[:-1] < at[1:])]
@@ -168,12 +166,30 @@ def distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def text_blocks(at: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of texts with at most ``most`` items together (one text at least)."""
+def packed(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sorted keys of 16 bits of owner and the upper 48 of a hash: one plain sort."""
+    return np.sort((owner.astype(np.uint64) << np.uint64(48)) | (values >> np.uint64(16)))
+
+
+def distinct_upper(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``distinct``, on the upper 48 bits of the values (the lower ones become 0)."""
+    n = np.diff(at)
+    parts, sizes = [], np.zeros(len(n), np.int64)
+    for a, b in text_blocks(at, 1 << 16, 1 << 16):
+        keys = packed(np.repeat(np.arange(b - a), n[a:b]), values[at[a] : at[b]])
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+        parts.append(keys << np.uint64(16))
+        sizes[a:b] = np.bincount((keys >> np.uint64(48)).astype(np.int64), minlength=b - a)
+    out = np.concatenate(parts) if parts else values[:0]
+    return out, np.concatenate([[0], np.cumsum(sizes)])
+
+
+def text_blocks(at: np.ndarray, most: int, texts: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``texts`` texts with at most ``most`` items together (one text at least)."""
     i, n = 0, len(at) - 1
     while i < n:
         j = int(np.searchsorted(at, at[i] + most, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), n, n if texts is None else i + texts)
         yield i, j
         i = j
 
