@@ -259,5 +259,30 @@ def neighbours(embeddings: DataFrame, k: int = K, every: int = 20) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def recall(embeddings: DataFrame, found: DataFrame, queries: int = 64, k: int = K, every: int = 20) -> float:
+    """The share of the k nearest of about ``queries`` queries, picked by hash, that ``found``
+    has, against brute force over all rows: a stated, bounded set of queries is sent to the rows,
+    each task keeps its best k of each, and those meet by query."""
+    rows = classes(embeddings).filter("key is not null and vec_id is not null").select(F.col("vec_id").alias("id"), "dim", "x")
+    asked = rows.filter(F.pmod("id", F.lit(every)) == 0).orderBy(F.xxhash64("id"), "id").limit(queries).collect()
+    sent = embeddings.sparkSession.sparkContext.broadcast([(r["id"], r["dim"], np.frombuffer(bytes(r["x"]))) for r in asked])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims, ids, blobs = b.column("dim").to_numpy(), b.column("id").to_numpy(), b.column("x").to_pylist()
+            for q, dim, x in sent.value:
+                at = np.flatnonzero((dims == dim) & (ids != q))
+                if len(at):
+                    score = (stack([blobs[i] for i in at], dim) * x).sum(axis=1)
+                    best = np.lexsort((ids[at], -score))[:k]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), q)), pa.array(ids[at][best]), pa.array(score[best])], names=["query_id", "vec_id", "score"])
+
+    near = rows.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    true = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).select("query_id", "vec_id")
+    hits = true.join(found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits")).first()
+    return hits["hits"] / hits["n"] if hits["n"] else 1.0
+
+
 def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"))

@@ -15,7 +15,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from genomill.llm import bpe, kmtree, langid, linededup, lm, minhash, packing, pii, pivots, toxicity
+from genomill.llm import bpe, common, kmtree, langid, linededup, lm, minhash, packing, pii, pivots, toxicity
 from genomill.llm import textkernel as tk
 from genomill.llm.components import connected_components
 
@@ -137,7 +137,8 @@ def test_remembered_chunks_are_bounded(tokenizer, monkeypatch):
         texts = [" ".join(f"w{i}x{k}" for k in range(100)), "again and again"]
         ids, at = enc.encode(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-        assert 20 * len(enc.keys) + 4 * enc.used <= 25_000
+        assert 24 * len(enc.keys) + 4 * enc.used <= 25_000
+        assert {"again", "and"} <= {enc.tokenizer.decode(enc.pool[enc.first[p] : enc.first[p] + enc.size[p]].tolist()).replace("</w>", "") for p in enc.place}
 
 
 def test_best_fit():
@@ -312,6 +313,56 @@ def test_attention_helps_on_held_out_text(data, tokenizer):
     assert whole > alone + 0.02
 
 
+def test_memory_of_spans(spark, tokenizer):
+    rng = random.Random(14)
+    passages = [prose("en", 150, rng) for _ in range(6)]
+    rows = [(i, " ".join([prose("en", 40, rng), *rng.sample(passages, rng.randint(0, 3)), prose("en", 30, rng)])) for i in range(60)] + [(100, None), (101, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    train = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2}
+    pairs, every = Counter(), {}
+    for i, t in rows:
+        y = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, lm.END], np.int64)
+        start, span, _ = lm.spans_of(y, np.array([0, len(y)]))
+        every[i] = y, span.tolist()
+        if i in train:
+            pairs.update(zip(span[:-1].tolist(), span[1:].tolist(), strict=True))
+    # Spans do not depend on what stands around a text, and a passage has the same ones anywhere.
+    flat = np.concatenate([y for y, _ in every.values()])
+    start, span, text = lm.spans_of(flat, np.concatenate([[0], np.cumsum([len(y) for y, _ in every.values()])]))
+    assert span.tolist() == [h for _, own in every.values() for h in own] and max(pairs.values()) > 3
+    followed = {}
+    for (b, a), n in pairs.items():
+        followed.setdefault(b, {})[a] = n
+    held = docs.select("doc_id", F.xxhash64("text").alias("h"), (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "text")
+    got = [lm.np.frombuffer(r[c], t).tolist() for r in lm._memory(lm.save(lm._survey(held, 3, None), "survey"), 3).collect() for c, t in (("befores", "<u8"), ("c", "<i8"), ("t", "<i8"), ("pair_before", "<u8"), ("pair_span", "<u8"), ("pair_n", "<i8"))]
+    befores, c, t, pb, ps, pn = (np.array(sum(got[k::6], []), np.uint64 if k in (0, 3, 4) else np.int64) for k in range(6))
+    assert {b: (x, y) for b, x, y in zip(befores.tolist(), c.tolist(), t.tolist(), strict=True)} == {b: (sum(f.values()), len(f)) for b, f in followed.items() if sum(f.values()) > len(f)}
+    assert {(b, a): n for b, a, n in zip(pb.tolist(), ps.tolist(), pn.tolist(), strict=True)} == {k: n for k, n in pairs.items() if n > 1}
+    order = np.argsort(befores)
+    asked = np.zeros(4, lm._SPANS)
+    (b, f) = max(((b, f) for b, f in followed.items() if len(f) > 1 and max(f.values()) > 1), key=lambda x: len(x[1]))
+    seen = max(f, key=f.get)
+    asked["before"], asked["span"] = [b, b, 5, b], [seen, 12345, seen, min(f, key=f.get)]
+    asked["logp"] = [-90, -90, -90, -800]
+    more = lm.remembered(asked, befores[order], c[order], t[order], pb, ps, pn)
+    n, m = sum(f.values()), len(f)
+    assert more[0] == pytest.approx(math.log10((f[seen] - 1) / n + m / n * 1e-90) + 90)
+    assert more[1] == pytest.approx(math.log10(m / n)) and more[2] == 0 and np.isfinite(more).all()
+    assert sum((x - 1) / n for x in f.values()) + m / n == pytest.approx(1)
+
+
+def test_scores_tell_repeated_documents(spark):
+    rng = random.Random(15)
+    rows = [(i, prose("en", 300, rng)) for i in range(80)]
+    rows += [(200 + i, rows[i][1]) for i in range(0, 40, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r for r in lm.score(docs).collect()}
+    held = lambda i: got[i]["held_out"]
+    twice = [got[i]["score"] / got[i]["n_tokens"] for i in range(0, 40, 2) if not held(i) and not held(200 + i)]
+    once = [got[i]["score"] / got[i]["n_tokens"] for i in range(41, 80)]
+    assert len(twice) > 8 and min(twice) > max(once)
+
+
 def test_large_attention_scores_stay_finite():
     model = lm.Attention(lm.CLASSES + 2)
     model.p = {k: v * np.float32(60) for k, v in model.p.items()}
@@ -460,6 +511,7 @@ def test_neighbours(vectors):
         assert [(-s, i) for _, i, s in got[q]] == sorted((-s, i) for _, i, s in got[q])
         hits.append(len({i for _, i in best} & {i for _, i, _ in got[q]}) / 20)
     assert np.mean(hits) >= 0.9
+    assert kmtree.recall(vectors, kmtree.neighbours(vectors), queries=1000) == pytest.approx(np.sum(np.array(hits)) / len(hits), abs=0.02)
     assert kmtree.neighbours(vectors.limit(0)).count() == 0
 
 
@@ -567,7 +619,10 @@ def test_line_candidates_let_go_between_batches(pairs, monkeypatch):
 
 
 @pytest.mark.parametrize("percent", [85, 80])
-def test_near_documents(docs, spark, percent):
+def test_near_documents(docs, spark, percent, monkeypatch):
+    if percent == 80:  # every larger bucket and component counts as hot
+        monkeypatch.setattr(common, "HOT_LEAST", 2)
+        monkeypatch.setattr(common, "HOT_PART", 1000)
     rng = random.Random(12)
     rows, base = [], prose("en", 150, rng).split()
     for i in range(40):
@@ -596,11 +651,21 @@ def test_near_documents(docs, spark, percent):
     assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
 
 
+def test_near_documents_of_repeated_ids(spark):
+    rng = random.Random(16)
+    a, b, c = (prose("en", 60, rng) for _ in range(3))
+    rows = [(1, a), (1, b), (1, a), (2, a + " end"), (3, b + " end"), (4, c), (None, a), (None, None)]
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"], r["n_shingles"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=str)
+    assert got == sorted([(1, 1, True, 56), (1, 1, True, 56), (1, 1, True, 56), (2, 1, False, 57), (3, 1, False, 57), (4, 4, True, 56), (None, 1, False, 56), (None, None, False, 0)], key=str)
+
+
 def test_no_near_documents(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("least", [1000, 2])
+def test_components(spark, least, monkeypatch):
+    monkeypatch.setattr(common, "HOT_LEAST", least)
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 130)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
     root = {x: x for e in edges for x in e}
@@ -651,6 +716,25 @@ def test_personal_data(spark):
     assert pii.detect(docs.limit(0)).count() == 0
 
 
+def test_added_spans_are_wider_candidates(spark, data):
+    wide = {"email": [pii.SPELT_EMAIL], "phone": [pii.PLAIN_PHONE, pii.FULL_PHONE], "card": [pii.SOLID_CARD, r"[0-9](?:[\x20-]?[0-9])+"], "ip": []}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    texts |= {10_000 + i: f"mail to: joe{i} (at) host{i}.example (dot) com or call (41{i % 10}) 555-01{i % 90 + 10} now" for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    added = 0
+    for r in pii.detect(docs).collect():
+        text, every = texts[r["doc_id"]], [x.split(":") for x in r["spans"].split(",") if x]
+        base = {tuple(x.split(":")) for x in base_spans(text).split(",") if x}
+        order = [(int(a), int(b)) for _, a, b in every]
+        assert base <= {tuple(x) for x in every} and order == sorted(order, key=lambda x: x[0])
+        for kind, a, b in every:
+            if (kind, a, b) not in base:
+                added += 1
+                assert any(m.span() == (int(a), int(b)) for p in wide[kind] for m in re.finditer(p, text)), (kind, text[int(a) : int(b)])
+                assert not any(int(a) < int(y) and int(x) < int(b) for _, x, y in base)
+    assert added > 20
+
+
 def test_estimate_trusts_agreeing_labelers():
     post = pii.estimate([(0, 1, 1, 1, 1, 1, 0, 500), (0, -1, -1, -1, 0, -1, 0, 400), (0, -1, 1, 1, 1, 1, 0, 30)])
     assert post[(0, 1, 1, 1, 1, 1)] > 0.9 and post[(0, -1, -1, -1, 0, -1)] < 0.1 and post[(0, -1, 1, 1, 1, 1)] > 0.5
