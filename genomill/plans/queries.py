@@ -407,7 +407,19 @@ def window_emissions(spark, d):
     return longs(rounded(out.select("sample_id", "chrom", "start", "n_sites", "l0", "l1"), "l0", "l1"), "start", "n_sites")
 
 
-@query("local_ancestry")
+#: The path of most likely sources as a recursion that carries the best path to each source.
+_STAY, _MOVE = "ln(1 - 0.02::DOUBLE)", "ln(0.02::DOUBLE)"
+_PATHS = f""", sp AS (SELECT chrom, min(pos) AS first FROM sites GROUP BY 1), o AS (SELECT c.sample_id, c.chrom, (c.pos - first) // 200000 AS w, n_alt, least(greatest(coalesce(a.p, 0.5), 1e-6), 1 - 1e-6) AS q0, least(greatest(coalesce(b.p, 0.5), 1e-6), 1 - 1e-6) AS q1 FROM c JOIN sp USING (chrom)
+ LEFT JOIN f a ON a.chrom = c.chrom AND a.pos = c.pos AND a.population = 0 LEFT JOIN f b ON b.chrom = c.chrom AND b.pos = c.pos AND b.population = 1 WHERE c.population = 2),
+ em AS (SELECT sample_id, chrom, w, sum(CASE n_alt WHEN 0 THEN 2 * ln(1 - q0) WHEN 2 THEN 2 * ln(q0) ELSE ln(2 * q0 * (1 - q0)) END) AS l0, sum(CASE n_alt WHEN 0 THEN 2 * ln(1 - q1) WHEN 2 THEN 2 * ln(q1) ELSE ln(2 * q1 * (1 - q1)) END) AS l1 FROM o GROUP BY ALL HAVING count(*) >= 3),
+ nu AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY w) AS i FROM em),
+ vi AS (SELECT sample_id, chrom, i, l0 AS s0, l1 AS s1, [0] AS p0, [1] AS p1 FROM nu WHERE i = 1 UNION ALL
+ SELECT vi.sample_id, vi.chrom, nu.i, greatest(s0 + {_STAY}, s1 + {_MOVE}) + l0, greatest(s0 + {_MOVE}, s1 + {_STAY}) + l1, list_append(CASE WHEN s0 + {_STAY} >= s1 + {_MOVE} THEN p0 ELSE p1 END, 0), list_append(CASE WHEN s0 + {_MOVE} >= s1 + {_STAY} THEN p0 ELSE p1 END, 1) FROM vi JOIN nu ON nu.sample_id = vi.sample_id AND nu.chrom = vi.chrom AND nu.i = vi.i + 1),
+ en AS (SELECT sample_id, chrom, arg_max(CASE WHEN s0 >= s1 THEN p0 ELSE p1 END, i) AS p FROM vi GROUP BY ALL), wi AS (SELECT sample_id, unnest(p) AS a FROM en)
+ SELECT sample_id, CAST(count(*) AS BIGINT) AS n_windows, round_even(avg(CASE WHEN a = 0 THEN 1.0::DOUBLE ELSE 0 END), 4) AS frac_0, round_even(avg(CASE WHEN a = 1 THEN 1.0::DOUBLE ELSE 0 END), 4) AS frac_1 FROM wi GROUP BY 1"""
+
+
+@query("local_ancestry", _PATHS)
 def local_ancestry(spark, d):
     c = called(spark, d)
     paths = windows.local_ancestry(windows.emissions(c, counts(c), [0, 1], [2], 200_000, 3), [0, 1])
