@@ -7,7 +7,7 @@ shifted circularly by k.  A shingle's values for all k are thus one contiguous s
 second permutation, and a signature is the column-wise minimum of such slices.
 
 1.  *Sets.*  Documents with the same set form one class, whatever their number; the class
-    is represented by its smallest doc_id.
+    is known by a hash of its digests and represented by a text of its smallest doc_id.
 2.  *Bands.*  Coordinates are grouped in bands; classes that agree on a band share a bucket.
     For a similarity of 0.85 there are 21 bands of 6: a pair just that similar shares a
     bucket with probability 1 - 5e-5.
@@ -20,8 +20,8 @@ second permutation, and a signature is the column-wise minimum of such slices.
 
 Sets are never gathered by key: comparisons are dealt into slots of bounded size, to which
 the texts concerned are sent.  Null, empty and wordless texts have no shingle and link with
-nothing; a text of fewer than five words is one shingle.  Repeated rows of a doc_id are
-documents of their own with the same id.
+nothing; a text of fewer than five words is one shingle.  Rows of one doc_id are documents of
+their own with the same id: each has the component of its own text.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bounded_batches, maybe_in, save, steps, table, trim
+from .common import bounded_batches, drop, hot_keys, maybe_in, save, spread_join, steps, table, trim
 from .components import connected_components
 
 SHINGLE = 5
@@ -62,8 +62,9 @@ def least_equal(percent: int) -> int:
     return math.floor(COORDINATES * p - 5.8 * math.sqrt(COORDINATES * p * (1 - p)))
 
 
-#: Classes in a block of a crossing; shingles in a part of a neighbourhood, and in a slot.
-BLOCK, PART, SLOT = 256, 60_000, 3_000_000
+#: Classes in a block of a crossing, blocks of a bucket before they grow, and classes in a
+#: block then; shingles in a part of a neighbourhood, and in a slot.
+BLOCK, BLOCKS, MOST_BLOCK, PART, SLOT = 256, 64, 16_384, 60_000, 3_000_000
 
 _RNG = np.random.Generator(np.random.PCG64(8))
 _PERM = _RNG.permutation(CIRCLE).astype(np.uint32)
@@ -76,6 +77,13 @@ def document_sets(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tk.distinct(*tk.shingles(ids, at, SHINGLE))
 
 
+def digest(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64 bits of each text's set, whatever its order."""
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(tk.mix(sets))])
+        return (sums[at[1:]] - sums[at[:-1]]).view(np.int64)
+
+
 def signatures(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One row of COORDINATES values a text; zeros for texts without a shingle."""
     out = np.zeros((len(at) - 1, COORDINATES), np.uint32)
@@ -114,17 +122,14 @@ def describe(docs: DataFrame, rows: int, bands: int) -> DataFrame:
             sigs = signatures(sets, at)
             keys = band_keys(sigs, rows, bands)
             m = len(n)
-            with np.errstate(over="ignore"):
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(tk.mix(sets))])
-                sums2 = np.concatenate([[np.uint64(0)], np.cumsum(tk.mix(sets ^ np.uint64(0xD6E8FEB86659FD93)))])
-                d1, d2 = sums[at[1:]] - sums[at[:-1]], sums2[at[1:]] - sums2[at[:-1]]
+            d1, d2 = digest(sets, at), digest(sets ^ np.uint64(0xD6E8FEB86659FD93), at)
             low = np.ascontiguousarray(sigs.astype(np.uint8))
             yield pa.RecordBatch.from_arrays(
                 [
                     step.column("doc_id"),
                     pa.array(n, pa.int64()),
-                    pa.array(d1.view(np.int64)),
-                    pa.array(d2.view(np.int64)),
+                    pa.array(d1),
+                    pa.array(d2),
                     pa.ListArray.from_arrays(pa.array(np.arange(m + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
                     pa.array([r.tobytes() for r in low], pa.binary()),
                 ],
@@ -141,9 +146,11 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataF
         return empty
     ids = texts["id"].to_numpy()
     sets, at = document_sets(pa.array(texts["text"].tolist(), pa.large_string()))
-    order = np.argsort(ids)
-    a = order[np.searchsorted(ids, np.concatenate(pairs["a"].tolist()), sorter=order)]
-    b = order[np.searchsorted(ids, np.concatenate(pairs["b"].tolist()), sorter=order)]
+    # Rows of a doc_id may have other texts; one row with its set stands for a class.
+    own = np.flatnonzero(digest(sets, at) == texts["d1"].to_numpy())
+    own = own[np.unique(ids[own], return_index=True)[1]]
+    a, b = (np.concatenate(pairs[c].tolist()) for c in ("a", "b"))
+    a, b = (own[np.searchsorted(ids[own], x)] for x in (a, b))
     size = np.diff(at)
     # The smaller is at least that part of the larger, or they cannot link.
     can = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
@@ -182,12 +189,14 @@ def _compare(texts: pd.DataFrame, pairs: pd.DataFrame, percent: int) -> pd.DataF
     return pd.DataFrame({"a": ids[root[joined]], "b": ids[joined]})
 
 
-def verify(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) that span the links among ``pairs(slot, a, b, ids)``: a slot's arrays of
-    left and right ids, and the distinct ids among them."""
+    left and right classes, and the distinct ones among them.  ``classes(id, rep, d1)``."""
     sent = pairs.select(F.explode("ids").alias("id"), F.col("slot").alias("to")).distinct()
-    texts = maybe_in(docs.select(F.col("doc_id").alias("id"), "text"), "id", sent).join(sent, "id").select("to", "id", "text")
-    return texts.groupBy("to").cogroup(pairs.select("slot", "a", "b").groupBy("slot")).applyInPandas(lambda t, p: _compare(t.drop_duplicates("id"), p, percent), "a bigint, b bigint")
+    wanted = sent.join(classes.select("id", "rep", "d1"), "id")
+    rows = docs.select(F.col("doc_id").alias("rep"), "text")
+    texts = maybe_in(rows, "rep", wanted.select(F.col("rep").alias("id"))).join(wanted, "rep").select("to", "id", "d1", "text")
+    return texts.groupBy("to").cogroup(pairs.select("slot", "a", "b").groupBy("slot")).applyInPandas(lambda t, p: _compare(t, p, percent), "a bigint, b bigint")
 
 
 def _parts(near: DataFrame) -> DataFrame:
@@ -251,24 +260,33 @@ def components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     """(described, classes): one row per document with its set's digests, and for each class
     ``d1, d2, component_id`` where the component holds more than one document."""
     described = save(describe(docs, *banding(percent)), "sets")
-    reps = described.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
+    reps = described.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     # n_shingles, bands and signature are functions of the set.
-    full = described.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "d1", "d2", "n_shingles", "bands", "sig")
-    whole = save(full.join(reps, ["d1", "d2", "id"], "left_semi").dropDuplicates(["id"]), "classes")
+    full = described.filter("n_shingles > 0").select(F.col("doc_id").alias("rep"), "d1", "d2", "n_shingles", "bands", "sig")
+    whole = full.join(reps, ["d1", "d2", "rep"], "left_semi").withColumn("id", F.xxhash64("d1", "d2"))
+    whole = save(whole.dropDuplicates(["id"]), "classes")
     rows = whole.select("id", F.posexplode("bands").alias("band", "key"))
-    buckets = rows.groupBy("band", "key").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = save(rows.join(buckets, ["band", "key"]).select("band", "key", "lead", "n", "id"), "members")
+    buckets = save(rows.groupBy("band", "key").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    # Hot buckets, of which a band has HOT_PART at most, go to their rows; the others meet theirs.
+    total = whole.count()
+    hot = F.broadcast(hot_keys(buckets, total))
+    cold = rows.join(hot.select("band", "key"), ["band", "key"], "left_anti").join(buckets, ["band", "key"])
+    members = save(rows.join(hot, ["band", "key"]).unionByName(cold).select("band", "key", "lead", "n", "id"), "members")
 
     stars = members.filter("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     near = save(members.groupBy("id").agg(F.min("lead").alias("hub")).join(whole.select("id", "n_shingles"), "id"), "near")
     parts = save(_parts(near), "parts")
-    first = save(verify(docs, save(_dealt(stars, parts), "stars"), percent), "links")
+    first = save(verify(docs, whole, save(_dealt(stars, parts), "stars"), percent), "links")
     found = connected_components(first)
 
     placed = members.filter("n > 2").join(found, "id", "left").select("band", "key", "lead", "n", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band", "key")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK))
-    open_ = placed.join(mixed, ["band", "key"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("n").alias("n")).filter("lo < hi").select("band", "key", "n")
+    mixed = save(mixed, "mixed")
+    crowded = F.broadcast(hot_keys(mixed, total).select("band", "key"))
+    rest = placed.join(crowded, ["band", "key"], "left_anti").join(mixed.select("band", "key"), ["band", "key"])
+    placed = placed.join(crowded, ["band", "key"]).unionByName(rest)
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / F.lit(BLOCK)), F.lit(BLOCKS)), F.ceil(F.col("n") / F.lit(MOST_BLOCK)))
+    open_ = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     meets = open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     meets = meets.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks", "n")
     meets = save(meets, "meets")
@@ -276,22 +294,30 @@ def components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     meets = meets.join(whole.select("id", "n_shingles", "bands", "sig"), "id").join(parts.select("id", "part"), "id").withColumn("group", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(groups)))
     slots = _slots(parts)
     crossing = meets.groupBy("group").applyInPandas(lambda rows: _crossing_pairs(rows, slots, percent), "slot bigint, a array<bigint>, b array<bigint>, ids array<bigint>")
-    second = verify(docs, save(crossing, "crossings"), percent)
+    second = verify(docs, whole, save(crossing, "crossings"), percent)
     links = save(first.union(second), "links")
     found = connected_components(links)
-
-    # From classes to documents.
-    return described, reps.join(found, "id").select("d1", "d2", F.col("component").alias("component_id"))
+    # A component's smallest doc_id.
+    least = found.join(whole.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+    joined = spread_join(found, least, "component", found.count()).join(whole.select("id", "d1", "d2"), "id")
+    known = save(joined.select("d1", "d2", "component_id"), "known")
+    drop(members, buckets, near, parts, first, mixed, meets, links, whole, clean=True)
+    return described, known
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
     described, classes = components(docs, percent)
-    reps = described.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    known = reps.join(classes, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
-    out = described.select("doc_id", "n_shingles", "d1", "d2").join(known, ["d1", "d2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    rows = described.select("doc_id", "n_shingles", "d1", "d2")
+    some, key = rows.filter("n_shingles > 0"), ["d1", "d2"]
+    reps = some.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    known = save(reps.join(classes, key, "left").select(*key, "n", F.coalesce("component_id", "rep").alias("component_id")), "known")
+    # Sets that many documents share go to them; the others meet theirs.
+    shared = F.broadcast(hot_keys(known, rows.count()).drop("n"))
+    cold = some.join(shared.select(*key), key, "left_anti").join(known.drop("n"), key)
+    alone = rows.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    out = some.join(shared, key).unionByName(cold).unionByName(alone).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
