@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,13 +81,14 @@ def newick(root: Node, support: dict[frozenset[str], float] | None = None) -> st
     return go(root, True)
 
 
-def block_distances(called: DataFrame, sites: DataFrame, by: str = "chrom") -> tuple[list, np.ndarray, np.ndarray]:
+def block_distances(called: DataFrame, sites: DataFrame, by: str = "chrom", kernel: Callable = dense.differences) -> tuple[list, np.ndarray, np.ndarray]:
     """(sample ids, differences of all pairs in each block, sites of each block), blocks in
-    order of their names.  A missing call counts as homozygous reference."""
+    order of their names.  A missing call counts as homozygous reference; another ``kernel``
+    (sums of distances of pairs, and the sites at [1, 0, 0]) gives another distance."""
     called = called.persist()
     try:
         ids = dense.sample_ids(called)
-        got = dense.pair_sums(called, sites, ids, dense.differences, by)
+        got = dense.pair_sums(called, sites, ids, kernel, by)
     finally:
         called.unpersist()
     keys = sorted(got)

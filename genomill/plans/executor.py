@@ -5,14 +5,16 @@ from __future__ import annotations
 import contextlib
 import json
 import os
+import pickle
 import platform
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import __version__
@@ -61,7 +63,47 @@ class Registry:
             point.load()
 
 
+class Names:
+    """Named objects of one kind, for plugins to add to; a name is taken once."""
+
+    def __init__(self, kind: str) -> None:
+        self.kind, self._held = kind, {}
+
+    def register(self, name: str) -> Callable:
+        def add(value: object) -> object:
+            if name in self._held:
+                raise ValueError(f"{self.kind} {name} is registered twice")
+            self._held[name] = value
+            return value
+
+        return add
+
+    def __getitem__(self, name: str) -> object:
+        if name not in self._held:
+            raise KeyError(f"unknown {self.kind} {name}; known: {', '.join(sorted(self._held))}")
+        return self._held[name]
+
+    def names(self) -> list[str]:
+        return sorted(self._held)
+
+
 STAGES = Registry()
+DATASETS, REFERENCES, ANALYSES = Names("dataset"), Names("reference"), Names("analysis")
+
+
+def map_parallel(spark: SparkSession, func: Callable, items: list) -> list:
+    """``[func(x) for x in items]``, each call a task of its own.  Items and results have to be
+    few and small: they pass through the driver."""
+    ship(spark)
+    rows = [(i, pickle.dumps(x)) for i, x in enumerate(items)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for i, x in zip(f["i"].tolist(), f["x"], strict=True):
+                yield pd.DataFrame({"i": [i], "x": [pickle.dumps(func(pickle.loads(x)))]})  # noqa: S301 - the driver's own
+
+    each = spark.createDataFrame(rows, "i bigint, x binary").repartition(max(1, len(rows)), "i")
+    return [pickle.loads(r["x"]) for r in sorted(each.mapInPandas(run, "i bigint, x binary").collect())]  # noqa: S301
 
 
 class Store:

@@ -177,6 +177,8 @@ def test_pair_statistics_are_those_of_dense_matrices(spark, monkeypatch):
             assert np.allclose(blocks[:, a, b], [diff[k::3].sum() / 2 for k in range(3)])
             both = (g[:, a] >= 0) & (g[:, b] >= 0)
             assert same[a, b] == (both.sum(), pytest.approx((g[both, a] == g[both, b]).mean()))
+    twice = lambda m, rows: dense.differences(m, rows) * np.array([2.0, 1.0])[:, None, None]
+    assert np.allclose(trees.block_distances(c, sites, kernel=twice)[1], 2 * blocks)
     ids, x = matrix.dosages(c, sites)
     assert x.shape == (6, 50) and sorted(map(tuple, x.T.tolist())) == sorted(map(tuple, (zero / 2).tolist()))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from genomill import cli
 from genomill.model import read_depths, calls
 from genomill.plans import config, queries, stages  # noqa: F401
-from genomill.plans.executor import STAGES, Context, Executor, Registry, Stage, levels
+from genomill.plans.executor import STAGES, Context, Executor, Names, Registry, Stage, levels, map_parallel
 
 
 def test_config():
@@ -39,6 +39,18 @@ def test_registry():
     assert len(STAGES.names()) == 34
 
 
+def test_named_objects_and_parallel_calls(spark):
+    n = Names("dataset")
+    n.register("a")([1])
+    assert n["a"] == [1] and n.names() == ["a"]
+    with pytest.raises(ValueError, match="twice"):
+        n.register("a")([2])
+    with pytest.raises(KeyError, match="unknown dataset b"):
+        n["b"]
+    assert map_parallel(spark, lambda x: (x["v"] ** 2, "y"), [{"v": v} for v in range(5)]) == [(v * v, "y") for v in range(5)]
+    assert map_parallel(spark, len, []) == []
+
+
 def test_run_and_cache(spark, data, tmp_path):
     depths = read_depths(spark, data)
     raw = {
