@@ -33,11 +33,13 @@ once, and is removed from all of them if in any of them it matches an earlier li
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,7 @@ PACKED = 100_000
 MAP_WORDS = 2
 _POST = np.dtype([("token", "<u8"), ("pos", "<u2")])
 _COLUMNS = (("token", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u2"), *((f"b{k}", "<u8") for k in range(MAP_WORDS)), ("i", "<u2"), ("j", "<u2"), ("block", "<u2"), ("open", "u1"))
+_WORD = re.compile(r"[^\x20\x09-\x0D]")
 #: A task's excess counts of one chunk.
 _MORE = np.dtype([("at", "<u4"), ("more", "<i8")])
 
@@ -545,10 +548,29 @@ def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     words is left goes.  Other columns stay as they are."""
     gone = removed.filter("size(removed) > 0").select(F.col("doc_id").alias("id"), "removed")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id")).join(gone, "id", "left")
-    kept = F.expr("array_join(filter(split(row.text, '\\n', -1), (l, i) -> not array_contains(removed, i)), '\\n')")
-    rows = rows.withColumn("left", F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept))
-    rows = rows.filter(F.col("removed").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]") | ~F.col("row.text").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select(F.col("row").withField("text", F.col("left")).alias("row")).select("row.*")
+    at, schema = docs.columns.index("text"), docs.schema
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols, removed = batch.column("row").flatten(), batch.column("removed")
+            some = np.flatnonzero(removed.is_valid().to_numpy(zero_copy_only=False))
+            keep, texts = np.ones(batch.num_rows, bool), []
+            for i, text, gone in zip(some.tolist(), cols[at].take(pa.array(some)).to_pylist(), removed.take(pa.array(some)).to_pylist(), strict=True):
+                if text is None:
+                    texts.append(None)
+                    continue
+                gone = set(gone)
+                left = "\n".join([x for k, x in enumerate(text.split("\n")) if k not in gone])
+                texts.append(left)
+                keep[i] = bool(_WORD.search(left)) or not _WORD.search(text)
+            if len(some):
+                mask = np.zeros(batch.num_rows, bool)
+                mask[some] = True
+                cols[at] = pc.replace_with_mask(cols[at], pa.array(mask), pa.array(texts, cols[at].type))
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names).filter(pa.array(keep))
+
+    return rows.select("row", "removed").mapInArrow(run, schema)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
