@@ -43,7 +43,7 @@ BLOCK = 64 << 10
 #: Margins below this get a second look, with this level and so many zeros; second looks
 #: below the other are narrow.  It stands where learned languages leave off: see the README.
 CLOSE, CLOSE_LEVEL, ZEROS = 0.03, 9, bytes(4096)
-MARGIN = 0.02
+MARGIN = 0.01
 
 _LETTER = re.compile(r"[^\W\d_]")
 _ASCII = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
