@@ -363,6 +363,31 @@ def test_scores_tell_repeated_documents(spark):
     assert len(twice) > 8 and min(twice) > max(once)
 
 
+def test_attention_learns_from_every_training_document(spark, tokenizer, monkeypatch):
+    rng = random.Random(16)
+    rows = [(i, prose("en", rng.randint(0, 60), rng)) for i in range(90)] + [(None, "no id"), (100, None), (101, "x"), (101, "x")]
+    held = spark.createDataFrame(rows, "doc_id bigint, text string").select("doc_id", F.xxhash64("text").alias("h"), (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "text")
+    train = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, np.int64) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    x, y, to = lm.sequences(np.concatenate(train), np.concatenate([[0], np.cumsum([len(t) for t in train])]))
+    counts = np.bincount(y, minlength=lm.VOCAB)
+    active = lm.active_ids(counts)
+    follow = np.bincount(active[x] * (lm.ACTIVE + 1) + active[y], minlength=(lm.ACTIVE + 1) ** 2)
+    pairs = lm.Pairs(counts, active, follow, lm.classes_of(active, follow, np.zeros(lm.VOCAB, bool)), lm.CLASSES + 2)
+    whole, ids = lm._train(lm.save(lm._survey(held.repartition(3), 3, None), "survey"), pairs, len(train))
+    assert ids == lm.EPOCHS * len(y)
+    # In rounds of several tasks each document is learned once, however the table is stored.
+    monkeypatch.setattr(lm, "LOCAL_DOCS", 8)
+    one, ids = lm._train(lm.save(lm._survey(held.repartition(3), 3, None), "survey"), pairs, len(train))
+    other, again = lm._train(lm.save(lm._survey(held.repartition(5), 3, None), "survey"), pairs, len(train))
+    assert ids == again == len(y)
+    seen = np.unique(active[x])
+    start = lm.Attention(lm.CLASSES + 2)
+    for model in (whole, one):
+        assert (model.p["e"][seen] != start.p["e"][seen]).any(axis=1).all()
+    for k in one.p:
+        assert np.allclose(one.p[k], other.p[k], atol=1e-5)
+
+
 def test_large_attention_scores_stay_finite():
     model = lm.Attention(lm.CLASSES + 2)
     model.p = {k: v * np.float32(60) for k, v in model.p.items()}
