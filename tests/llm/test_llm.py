@@ -396,6 +396,73 @@ def test_large_attention_scores_stay_finite():
     assert np.isfinite(model.shifts(x, np.zeros((3, lm.STRIDE), np.int64), np.full((lm.ACTIVE + 1, lm.CLASSES + 2), 0.03, np.float32))).all()
 
 
+def test_new_chunks_share_calls_and_keep_their_ids():
+    import pyarrow as pa
+
+    enc = bpe.Encoder(bpe.vocabulary())
+    assert enc.word_ends is not None
+    rng, handed = np.random.default_rng(3), []
+    alphabet = [*"abzABZ09.,;'<|>/w-éßØ÷×ÿÀÃİıﬁ中²ª\u0301\x00\x1c\x7f\u0085ſ", "'s", "'LL", "</w>", "<|endoftext|>", "don't"]
+    odd = ["".join(rng.choice(alphabet, rng.integers(1, 8))) for _ in range(3_000)]
+    plain = ["".join(rng.choice([*"abcdeABZ09.,;-éßØÿÀ"], rng.integers(1, 9))) for _ in range(4_000)]
+    chunks = sorted({*odd, *plain})
+    rng.shuffle(chunks)
+    whole = enc.tokenizer
+    want = [e.ids for e in whole.encode_batch(chunks, add_special_tokens=False)]
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(whole, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            handed.append(len(texts))
+            return whole.encode_batch_fast(texts, **kw)
+
+    enc.tokenizer = Counted()
+    ids, at = enc.encode(pa.array(chunks))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    assert sum(handed) < len(chunks) * 0.6  # before: one text for each chunk
+    # A tokenizer whose words aren't known is asked for each chunk.
+    enc.word_ends = None
+    enc._forget()
+    again, _ = enc.encode(pa.array(chunks))
+    assert again.tolist() == ids.tolist()
+
+
+def test_a_step_follows_the_gradient_of_its_loss():
+    rng = np.random.default_rng(5)
+    n, c = 3, lm.CLASSES + 2
+    x, y = rng.integers(0, 40, (n, lm.WINDOW)), rng.integers(0, c, (n, lm.STRIDE))
+    ok = rng.random((n, lm.STRIDE)) < 0.8
+    by_class = rng.dirichlet(np.ones(c), lm.ACTIVE + 1).astype(np.float32)
+    model = lm.Attention(c)
+    p = {k: v.astype(float) for k, v in model.p.items()}
+
+    def loss(p):
+        e = p["e"][x]
+        q, k, v = e[:, lm.OVERLAP :] @ p["q"] / np.sqrt(lm.WIDTH), e @ p["k"], e @ p["v"]
+        a = np.exp(q @ k.transpose(0, 2, 1) + p["d"][model.gap] + model.mask)
+        u = (a / a.sum(axis=2, keepdims=True)) @ v @ p["o"] + p["b"]
+        g = by_class[x[:, lm.OVERLAP :]] * np.exp(u)
+        return -np.log(np.take_along_axis(g, y[..., None], 2)[..., 0] / g.sum(axis=2))[ok].mean()
+
+    got = model.learn(x, y, ok, by_class, 0.1)
+    assert got == pytest.approx(loss(p), rel=1e-4)
+    for name, old in p.items():
+        # Adagrad's first step tells the gradient, whose square it has added to what it began with.
+        grad = np.sqrt(np.maximum(model.sq[name].astype(float) - 1e-3, 0)) * np.sign(old - model.p[name]) / 100
+        places = [tuple(i) for i in np.argwhere(np.abs(grad) > 5e-4)]
+        for at in [places[i] for i in rng.choice(len(places), min(8, len(places)), replace=False)]:
+            up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            assert grad[at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=2e-2, abs=2e-5), (name, at)
+    # What it learned is what it scores.
+    model.ready()
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    assert -(model.shifts(x, y, by_class) + np.log(by_class[x[:, lm.OVERLAP :], y]))[ok].mean() == pytest.approx(loss(p), rel=1e-4)
+
+
 def test_windows_score_each_id_once():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 50, n) for n in (0, 1, lm.STRIDE - 1, lm.STRIDE, 100)]
