@@ -388,6 +388,45 @@ def test_attention_learns_from_every_training_document(spark, tokenizer, monkeyp
         assert np.allclose(one.p[k], other.p[k], atol=1e-5)
 
 
+def test_a_corpus_of_many_tasks_is_learned_in_every_epoch(spark, tokenizer, monkeypatch):
+    rng = random.Random(17)
+    rows = [(i, prose("en", rng.randint(0, 30), rng)) for i in range(60)]
+    size = sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2)
+    took, train = [], lm._train
+
+    def noted(*args, **more):
+        model, ids = train(*args, **more)
+        took.append(ids)
+        return model, ids
+
+    monkeypatch.setattr(lm, "_train", noted)
+    for most in (lm.LOCAL_DOCS, 8):
+        monkeypatch.setattr(lm, "LOCAL_DOCS", most)
+        assert lm.score(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == len(rows)
+    assert took == [lm.EPOCHS * size] * 2
+
+
+def test_ids_of_one_task_are_not_thinned_by_the_others(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(lm, "LOCAL_DOCS", 1)
+    monkeypatch.setattr(lm, "ROUNDS", (64,))
+    rows = [(i, "the cat sat on the mat and the dog sat on the rug") for i in range(60)] + [(60, "a zebra jumps high over green hills " * 3)]
+    assert zlib.crc32(b"60") % 7 != 2
+    held = spark.createDataFrame(rows, "doc_id bigint, text string").select("doc_id", F.xxhash64("text").alias("h"), (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "text")
+    train = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.int64) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    x, y, to = lm.sequences(np.concatenate(train), np.concatenate([[0], np.cumsum([len(t) for t in train])]))
+    counts = np.bincount(y, minlength=lm.VOCAB)
+    active = lm.active_ids(counts)
+    follow = np.bincount(active[x] * (lm.ACTIVE + 1) + active[y], minlength=(lm.ACTIVE + 1) ** 2)
+    classes = np.arange(lm.VOCAB) % (lm.CLASSES + 2)
+    pairs = lm.Pairs(counts, active, follow, classes, lm.CLASSES + 2)
+    model, ids = lm._train(lm.save(lm._survey(held, 3, None), "survey"), pairs, len(train))
+    assert ids == len(y)
+    only = np.setdiff1d(active[train[-1]], active[np.concatenate(train[:-1])])
+    change = np.abs(model.p["e"] - lm.Attention(lm.CLASSES + 2).p["e"])[only].max(axis=1)
+    # A step of one task changes a weight by up to RATE; a mean over all tasks would leave 1 / 50 of it.
+    assert len(only) > 3 and (change > lm.RATE / 5).all()
+
+
 def test_large_attention_scores_stay_finite():
     model = lm.Attention(lm.CLASSES + 2)
     model.p = {k: v * np.float32(60) for k, v in model.p.items()}
