@@ -435,6 +435,23 @@ def test_large_attention_scores_stay_finite():
     assert np.isfinite(model.shifts(x, np.zeros((3, lm.STRIDE), np.int64), np.full((lm.ACTIVE + 1, lm.CLASSES + 2), 0.03, np.float32))).all()
 
 
+def test_scores_that_cannot_overflow_need_no_maximum():
+    model, rng = lm.Attention(lm.CLASSES + 2), np.random.default_rng(2)
+    # Long rows that stand apart: no two ids have a score near the product of the greatest lengths.
+    model.p["e"][:] = 0
+    model.p["e"][:9, 0], model.p["e"][9:, 1:] = 20, rng.normal(0, 0.1, (lm.ACTIVE - 8, lm.WIDTH - 1))
+    model.p["q"][:] = np.eye(lm.WIDTH)
+    model.p["k"][:] = np.roll(np.eye(lm.WIDTH), 1, axis=0)
+    model.p["v"] *= np.float32(0.1)
+    model.ready()
+    assert model.tables[-1]
+    x, y = rng.integers(0, 30, (5, lm.WINDOW)), rng.integers(0, 32, (5, lm.STRIDE))
+    by_class = rng.dirichlet(np.ones(32), lm.ACTIVE + 1).astype(np.float32)
+    quick = model.shifts(x, y, by_class)
+    model.tables = (*model.tables[:-1], False)
+    assert np.allclose(quick, model.shifts(x, y, by_class), atol=1e-4)
+
+
 def test_new_chunks_share_calls_and_keep_their_ids():
     import pyarrow as pa
 
